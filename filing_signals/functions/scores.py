@@ -52,7 +52,7 @@ def final_score(raw: Column, weight: Column) -> Column:
 
 def keyword_text(keywords: Column) -> Column:
     """Keywords split on comma, semicolon or bar, trimmed and joined by one space; null gives ''."""
-    parts = F.transform(F.split(F.coalesce(keywords, F.lit("")), "[,;|]"), F.trim)
+    parts = F.transform(F.split(F.coalesce(keywords, F.lit("")), "[,;|]"), lambda p: F.trim(p))
     return F.array_join(F.filter(parts, lambda p: p != ""), " ")
 
 
