@@ -41,8 +41,8 @@ def number_rows(
         return F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
     slots = keyed.groupBy(*slot).agg(F.count(F.lit(1)).alias("_n"))
-    chunks = slots.groupBy(*chunk).agg(F.sum("_n").alias("_chunk_n"))
-    first_of_chunk = chunks.select(*chunk, before(group, ["_chunk"], "_chunk_n").alias("_before"))
+    chunks = keyed.groupBy(*chunk).agg(F.count(F.lit(1)).alias("_n"))
+    first_of_chunk = chunks.select(*chunk, before(group, ["_chunk"], "_n").alias("_before"))
     first_of_slot = (
         slots.withColumn("_inside", before(chunk, ["_major", "_slot"], "_n"))
         .join(first_of_chunk, chunk)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filing_signals import fixed
@@ -58,18 +58,18 @@ def ratio_filters(
 
     Cleaned text holds no symbols, so their share is 0 at any threshold; `symbol_on="raw"`
     measures the text as it came.
+
+    The cleaned text goes through a one-element array, so it is computed once per row rather
+    than once per condition, and later conditions on it stay above the steps before it.
     """
-    raw_share: Column = (
-        tx.symbol_ratio(F.col("text")) if symbol_on == "raw" else F.lit(0.0)
+    raw = tx.symbol_ratio(F.col("text")) if symbol_on == "raw" else F.lit(0.0)
+    kept = F.filter(
+        F.array(tx.clean_sentence(F.col("text"))),
+        lambda t: (F.length(t) > 0) & (tx.clean_digit_ratio(t) <= digit_thresh),
     )
-    cleaned = sentences.select(
-        "doc_id", "sentence_id", raw_share.alias("_symbols"), tx.clean_sentence(F.col("text")).alias("text")
+    return sentences.filter(raw <= symbol_thresh).select(
+        "doc_id", "sentence_id", F.explode(kept).alias("text")
     )
-    return cleaned.filter(
-        (F.length("text") > 0)
-        & (F.col("_symbols") <= symbol_thresh)
-        & (tx.clean_digit_ratio(F.col("text")) <= digit_thresh)
-    ).drop("_symbols")
 
 
 def length_bounds(sentences: DataFrame, share: float = fixed.TRIM_SHARE) -> DataFrame:
@@ -82,14 +82,11 @@ def length_bounds(sentences: DataFrame, share: float = fixed.TRIM_SHARE) -> Data
     return histogram.agg(F.percentile("len", ends, F.col("n")).alias("bounds"))
 
 
-def trim_lengths(
-    sentences: DataFrame, share: float = fixed.TRIM_SHARE, measured: DataFrame | None = None
-) -> DataFrame:
-    """Rows between the two length quantiles of `measured` (default: the rows themselves), both
-    ends kept; no trimming for share <= 0."""
+def trim_lengths(sentences: DataFrame, share: float = fixed.TRIM_SHARE) -> DataFrame:
+    """Rows between the two length quantiles, both ends kept; no trimming for share <= 0."""
     if share <= 0:
         return sentences
-    bounds = length_bounds(sentences if measured is None else measured, share).scalar()
+    bounds = length_bounds(sentences, share).scalar()
     return sentences.filter((F.length("text") >= bounds[0]) & (F.length("text") <= bounds[1]))
 
 
@@ -118,19 +115,12 @@ def clean(
     symbol_on: str = "clean",
 ) -> DataFrame:
     """The strict cleaning chain. Length quantiles see distinct rows after the ratio filters and
-    before texts are deduplicated.
-
-    Where one row per text is kept anyway, exact copies do not change that row, so only the
-    quantiles pay for the distinct step.
-    """
-
-    def filtered(df: DataFrame) -> DataFrame:
-        return ratio_filters(df, symbol_thresh, digit_thresh, symbol_on)
-
-    rows = usable(sentences)
-    distinct = filtered(drop_exact_copies(rows))
-    kept = trim_lengths(distinct if keep_copies else filtered(rows), trim_share, distinct)
-    return renumber(kept if keep_copies else keep_first_texts(kept))
+    before texts are deduplicated; the shuffle behind the distinct rows is done once and read by
+    the quantiles and by the rest of the chain."""
+    rows = drop_exact_copies(usable(sentences))
+    rows = ratio_filters(rows, symbol_thresh, digit_thresh, symbol_on)
+    rows = trim_lengths(rows, trim_share)
+    return renumber(rows if keep_copies else keep_first_texts(rows))
 
 
 def observed(df: DataFrame, stage: str) -> DataFrame:
