@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filing_signals.operators.pairing import join_dimension
 from filing_signals.plans import sentences as S
 from filing_signals.session import ship
 
@@ -71,7 +72,7 @@ def tones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toned_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentences(spark, sf_dir).join(tones(spark, sf_dir), "doc_id")
+    return join_dimension(sentences(spark, sf_dir), tones(spark, sf_dir), ["doc_id"])
 
 
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,18 @@ def is_small(dim: DataFrame, limit: int = SMALL_BYTES) -> bool:
     return dim.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"] <= limit
 
 
+def join_dimension(
+    df: DataFrame, dim: DataFrame, keys: list[str], limit: int = SMALL_BYTES
+) -> DataFrame:
+    """Inner join of a large table with one keyed by `keys`.
+
+    The dimension is broadcast only when its measured size allows. Otherwise both sides are
+    sorted and merged, where AQE splits the partitions of a hot key. Left to its estimates,
+    Spark may take the large side for the small one: it does not foresee what `explode` adds.
+    """
+    return df.join(F.broadcast(dim) if is_small(dim, limit) else dim.hint("merge"), keys)
+
+
 def with_each(df: DataFrame, rows: list, schema: T.StructType, alias: str) -> DataFrame:
     """Each row of `df` once per dimension row, as struct `alias`, with its position `<alias>_pos`.
 

@@ -12,10 +12,23 @@ DRIVER_ROWS = 100_000
 def top_per_group(
     df: DataFrame, group: list[str], order: list[Column], k: int, rank: str = "rank"
 ) -> DataFrame:
-    """The first k rows of each group. Spark limits each task's groups to k rows before the
-    shuffle (WindowGroupLimit), so a hot group sends at most k rows per task."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
+    """The first k rows of each group.
+
+    Spark limits each task's groups to k rows before the shuffle (WindowGroupLimit), so a hot
+    group sends at most k rows per task. It does so up to a set k; beyond it the groups are
+    first cut into salted parts, of which each keeps its first k rows.
+    """
+
+    def first_k(rows: DataFrame, by: list[str]) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(*order)
+        return rows.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
+
+    conf = df.sparkSession.conf
+    if k > int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        parts = int(conf.get("spark.sql.shuffle.partitions"))
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
+        df = first_k(salted, [*group, "_salt"]).drop("_salt", rank)
+    return first_k(df, group)
 
 
 def ordered_page(df: DataFrame, keys: list[str], offset: int, limit: int) -> DataFrame:

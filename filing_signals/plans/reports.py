@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filing_signals import fixed
 from filing_signals.operators.ranking import ordered_page, top_per_group
+from filing_signals.plans.scoring import with_documents
 
 
 def _best(score: str, *keys: str):
@@ -100,5 +101,4 @@ def scores_page(
     sentences: DataFrame, documents: DataFrame, offset: int, limit: int = fixed.PAGE_ROWS
 ) -> DataFrame:
     """One page of sentences with company and date, in key order."""
-    joined = sentences.join(documents.select("doc_id", "company_id", "date"), "doc_id")
-    return ordered_page(joined, ["doc_id", "sentence_id"], offset, limit)
+    return ordered_page(with_documents(sentences, documents), ["doc_id", "sentence_id"], offset, limit)

@@ -28,9 +28,9 @@ def newest_date(documents: DataFrame) -> DataFrame:
 
 
 def with_documents(sentences: DataFrame, documents: DataFrame) -> DataFrame:
-    """Sentences with their document's company and date. Spark broadcasts the documents if they
-    turn out small and splits the partitions of a hot document otherwise (AQE skew join)."""
-    return sentences.join(documents.select("doc_id", "company_id", "date"), "doc_id")
+    """Sentences with their document's company and date."""
+    wanted = documents.select("doc_id", "company_id", "date")
+    return pairing.join_dimension(sentences, wanted, ["doc_id"])
 
 
 def with_time_weight(rows: DataFrame, documents: DataFrame, weights: Weights = Weights()) -> DataFrame:

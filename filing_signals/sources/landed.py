@@ -26,7 +26,8 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header and doubled quotes, under declared types.
 
-    The header is checked against the schema, as Spark binds CSV columns by position. A file
+    Only an empty field reads as null: words such as NA or null stay texts. The header is
+    checked against the schema, as Spark binds CSV columns by position. A file
     with line breaks inside quotes cannot be split, so each is one task; pass
     `multi_line=False` for tables whose texts hold none (cleaned sentences, manifests).
     """

@@ -24,12 +24,12 @@ def staging_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/filing-signals-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Write a result to the shared folder and read it back, which cuts its lineage.
 
-    Used where a Python step or a long plan would otherwise run once per action.
+    Used where a Python step or a long plan would otherwise run once per use.
     """
-    folder = staging_folder(df.sparkSession)
+    folder = folder or staging_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
@@ -45,18 +45,20 @@ class SnapshotTable:
         self.spark, self.relation = spark, relation
         self.root = f"{root.rstrip('/')}/{relation.name}"
 
+    def _files(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
     def _versions(self) -> list[tuple[int, bool]]:
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, root = self._files(self.root)
         if not fs.exists(root):
             return []
         out = []
         for status in fs.listStatus(root):
-            folder = status.getPath()
-            if folder.getName().startswith("snapshot="):
-                done = fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
-                out.append((int(folder.getName().split("=")[1]), bool(done)))
+            name = status.getPath().getName()
+            if name.startswith("snapshot="):
+                done = fs.exists(self._files(f"{self.root}/{name}/_SUCCESS")[1])
+                out.append((int(name.split("=")[1]), bool(done)))
         return sorted(out)
 
     def _folder(self, version: int) -> str:
@@ -82,13 +84,25 @@ class SnapshotTable:
     def upsert(
         self, incoming: DataFrame, replace_by: str | None = None, unique: bool = False
     ) -> DataFrame:
-        """Merge rows by the relation's key; a key that comes twice raises before any write.
+        """Merge rows by the relation's key; a key that comes twice raises before any change.
 
-        `unique=True` skips that check where the rows are unique by how they were made (a
-        group-by on the key, a join of keyed tables), which saves computing them twice.
+        Incoming rows are needed more than once, so they are staged: what makes them (scoring,
+        say) runs once, and joins are planned from their true size. `unique=True` skips the key
+        check where rows are unique by how they were made (a group-by on the key, a join of
+        keyed tables). The first load has nothing to merge with.
         """
-        self.create_if_missing()
         rows = conform(incoming, self.relation)
-        if not unique:
-            require_unique(rows, self.relation.keys)
-        return self.write(upsert(self.read(), rows, self.relation.keys, replace_by))
+        first = not any(done for _, done in self._versions())
+        if first and unique:
+            return self.write(rows)
+        folder = staging_folder(self.spark)
+        try:
+            rows = staged(rows, folder)
+            if not unique:
+                require_unique(rows, self.relation.keys)
+            if first:
+                return self.write(rows)
+            return self.write(upsert(self.read(), rows, self.relation.keys, replace_by))
+        finally:
+            fs, path = self._files(folder)
+            fs.delete(path, True)

@@ -1,0 +1,140 @@
+"""Cleaning chain against a row-by-row reading of it, numbering under skew, and plans."""
+
+import math
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from filing_signals.operators.numbering import number_rows
+from filing_signals.plans import sentences as S
+from filing_signals.sources.landed import MissingColumns
+from tests.test_text import clean_py
+
+SCHEMA = "doc_id string, sentence_id long, text string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def quantile(values, q):
+    v = sorted(values)
+    pos = (len(v) - 1) * q
+    lo, hi = math.floor(pos), math.ceil(pos)
+    return v[lo] + (v[hi] - v[lo]) * (pos - lo)
+
+
+def clean_rows(rows, digit=0.7, share=0.01, keep_copies=False):
+    rows = {r for r in rows if r[0] is not None and r[2] is not None and r[0].lower() != "doc_id"}
+    out = []
+    for d, i, t in rows:
+        t = clean_py(t)
+        dense = t.replace(" ", "")
+        if t and len(re.findall(r"\d", dense)) / len(dense) <= digit:
+            out.append((d, i, t))
+    if out and share > 0:
+        low, high = (quantile([len(t) for _, _, t in out], q) for q in (share, 1 - share))
+        out = [r for r in out if low <= len(r[2]) <= high]
+    out.sort(key=lambda r: (r[0], r[1] is None, r[1] or 0))
+    if not keep_copies:
+        seen = {}
+        for d, i, t in out:
+            seen.setdefault((d, t), (d, i, t))
+        out = list(seen.values())
+    return out
+
+
+@pytest.fixture(scope="module")
+def messy():
+    rng = random.Random(7)
+    words = ["rate", "x1", "2020", "77", "grow—th", "up", "café", "a,b", "12.5"]
+    rows = []
+    for _ in range(3000):
+        doc = rng.choice(["hot", "hot", "hot", "a", "b", "Doc_ID", None])
+        sid = rng.choice([None, rng.randrange(700), rng.randrange(700), 3])
+        text = None if rng.random() < 0.02 else " ".join(rng.choices(words, k=rng.randrange(0, 6)))
+        rows.append((doc, sid, text))
+    return rows + rows[:500]
+
+
+@pytest.mark.parametrize("keep_copies", [False, True])
+@pytest.mark.parametrize("digit, share", [(0.7, 0.01), (0.3, 0.1), (0.7, 0.0)])
+def test_clean_equals_brute_force(spark, messy, digit, share, keep_copies):
+    got = S.clean(frame(spark, messy), digit_thresh=digit, trim_share=share, keep_copies=keep_copies)
+    got = [tuple(r) for r in got.collect()]
+    want = clean_rows(messy, digit, share, keep_copies)
+    assert sorted((d, t) for d, _, t in got) == sorted((d, t) for d, _, t in want)
+    order = {}
+    for d, i, t in want:
+        order.setdefault((d, t), []).append((i is None, i or 0))
+    for doc in {d for d, _, _ in got}:
+        numbered = sorted((i, t) for d, i, t in got if d == doc)
+        assert [i for i, _ in numbered] == list(range(len(numbered)))
+        if not keep_copies:
+            places = [order[(doc, t)][0] for _, t in numbered]
+            assert places == sorted(places)
+
+
+def test_golden_renumber(spark):
+    rows = [("d", 5, "x"), ("d", 2, "x"), ("d", 9, "y"), ("d", None, "z")]
+    got = S.renumber(S.keep_first_texts(S.usable(frame(spark, rows))))
+    assert sorted(tuple(r) for r in got.collect()) == [("d", 0, "x"), ("d", 1, "y"), ("d", 2, "z")]
+
+
+def test_length_trim_keeps_both_ends(spark):
+    rows = [("d", n, "x" * n) for n in range(1, 102)]
+    got = S.trim_lengths(frame(spark, rows), 0.01)
+    assert sorted(r["sentence_id"] for r in got.collect()) == list(range(2, 101))
+
+
+def test_clean_is_stable_on_its_own_output(spark, messy):
+    once = S.clean(frame(spark, messy), trim_share=0.0)
+    twice = S.clean(once, trim_share=0.0)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+
+
+def test_empty_input(spark):
+    assert S.clean(frame(spark, [])).count() == 0
+
+
+def test_missing_columns(spark):
+    with pytest.raises(MissingColumns, match="text"):
+        S.clean(frame(spark, []).drop("text"))
+
+
+def test_numbering_of_a_hot_group_with_ties(spark):
+    rng = random.Random(1)
+    rows = [("hot", rng.choice([None, 0, 0, 0, rng.randrange(100_000)]), f"t{i}") for i in range(20_000)]
+    rows += [(f"g{i % 50}", i, f"u{i}") for i in range(500)]
+    df = frame(spark, rows)
+    got = number_rows(df, ["doc_id"], F.col("sentence_id"), F.col("text"), "k").collect()
+    for doc in {r["doc_id"] for r in got}:
+        mine = sorted((r["k"], r["sentence_id"]) for r in got if r["doc_id"] == doc)
+        assert [k for k, _ in mine] == list(range(len(mine)))
+        places = [(s is None, s or 0) for _, s in mine]
+        assert places == sorted(places)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_extraction_is_one_narrow_stage(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert "Exchange" not in plan(S.extract(docs))
+
+
+def test_no_window_over_a_whole_document(spark):
+    text = plan(S.clean(spark.createDataFrame([("d", 1, "t")], SCHEMA)))
+    for line in text.splitlines():
+        if "Window [row_number()" in line:
+            assert "_slot" in line
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_copies_combine_before_the_shuffle(spark):
+    df = spark.createDataFrame([("d", 1, "t")], SCHEMA)
+    assert "partial_min" in plan(S.keep_first_texts(df))
+    assert plan(S.drop_exact_copies(df)).count("HashAggregate") == 2
