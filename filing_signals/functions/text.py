@@ -30,8 +30,8 @@ HIDDEN = (
     r"|<noscript\b[^>]*>.*?(?:</noscript\s*>|\z)"
 )
 # Tags, where quoted attribute values may hold '>'; then doctype, other declarations and
-# whatever tag has an unbalanced quote.
-TAG = r"""</?[A-Za-z][^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*>"""
+# whatever tag has an unbalanced quote. The possessive loop keeps Java's stack flat.
+TAG = r"""</?[A-Za-z][^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*+>"""
 LOOSE_TAG = r"<[/!?A-Za-z][^>]*>"
 ENTITY_NAME = r"^([A-Za-z][A-Za-z0-9]*);"
 ENTITY_DEC = r"^#([0-9]{1,7});?"

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Majors per chunk and hash slots per major: together they bound every window below.
-CHUNK = 256
+# Majors per chunk (2^8) and hex digits of the tie hash per slot: they bound every window below.
+CHUNK_BITS = 8
 SLOT_DIGITS = 4
-NULL_MAJOR = 2**31
+NULL_MAJOR = 2**62
 
 
 def number_rows(
@@ -16,7 +16,7 @@ def number_rows(
 ) -> DataFrame:
     """Number the rows of each group 0, 1, 2, … by (major, nulls last), ties by md5 of `tie`.
 
-    `major` is a 32-bit whole number. A plain `row_number` would sort a whole group in one task,
+    `major` is a whole number, 32 bits wide in the stored tables. A plain `row_number` would sort a whole group in one task,
     so rows are ranked inside small slots only and the slots' sizes, which are counted with
     map-side combining, give each slot its first number:
 
@@ -29,7 +29,7 @@ def number_rows(
     """
     keyed = (
         df.withColumn("_major", F.coalesce(major.cast("long"), F.lit(NULL_MAJOR).cast("long")))
-        .withColumn("_chunk", F.floor(F.col("_major") / CHUNK))
+        .withColumn("_chunk", F.shiftright("_major", CHUNK_BITS))
         .withColumn("_hash", F.md5(tie.cast("binary")))
         .withColumn("_slot", F.substring("_hash", 1, SLOT_DIGITS))
     )

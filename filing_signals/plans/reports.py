@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filing_signals import fixed
+from filing_signals.operators.pairing import join_dimension
 from filing_signals.operators.ranking import ordered_page, top_per_group
 from filing_signals.plans.scoring import with_documents
+from filing_signals.sources.snapshots import staged
 
 
 def _best(score: str, *keys: str):
@@ -30,7 +32,7 @@ def top_themes(
 ) -> DataFrame:
     """Top themes of one company, or of every company with a rank."""
     cols = ["theme_id", "theme", "avg_final_100", "n_sentences"]
-    named = company_scores.join(themes.select("theme_id", "theme"), "theme_id")
+    named = join_dimension(company_scores, themes.select("theme_id", "theme"), ["theme_id"])
     order = _best("avg_final_100", "theme_id")
     if company_id is not None:
         return named.filter(F.col("company_id") == company_id).orderBy(*order).limit(k).select(*cols)
@@ -46,8 +48,9 @@ def top_evidence(
 ) -> DataFrame:
     """Top sentences of one (company, theme), or of every such pair with a rank.
 
-    Scores whose sentence is gone are dropped by key first and ranked without their texts; only
-    the ranked rows fetch a text.
+    Scores whose sentence is gone are dropped by key first and ranked without their texts. The
+    ranked rows are staged, so that their size is known before they fetch their texts: while
+    they are few the sentences are read in place, without a shuffle.
     """
     keys = ["doc_id", "sentence_id"]
     order = _best("final_score_100", *keys)
@@ -61,12 +64,12 @@ def top_evidence(
     if company_id is not None and theme_id is not None:
         best = rows.orderBy(*order).limit(k).select(*keys, "final_score_100")
         return (
-            best.join(sentences, keys)
+            join_dimension(sentences, staged(best), keys)
             .orderBy(*order)
             .select(*keys, "text", "final_score_100")
         )
-    best = top_per_group(rows, ["company_id", "theme_id"], order, k)
-    return best.join(sentences, keys).select(
+    best = staged(top_per_group(rows, ["company_id", "theme_id"], order, k))
+    return join_dimension(sentences, best, keys).select(
         "company_id", "theme_id", "rank", *keys, "text", "final_score_100"
     )
 

@@ -128,7 +128,10 @@ def test_reports(spark):
     best = R.top_evidence(scores, sents, "A", "t1", k=3).collect()
     assert [(r["sentence_id"], r["final_score_100"]) for r in best] == [(0, None), (4, 4.0), (9, 4.0)]
     ranked = R.top_evidence(scores, sents, k=3)
-    assert "WindowGroupLimit" in ranked._jdf.queryExecution().executedPlan().toString()
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    top = ranking.top_per_group(scores, ["company_id"], [F.col("sentence_id")], 3)
+    assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
     assert sorted((r["company_id"], r["rank"], r["sentence_id"]) for r in ranked.collect()) == [
         ("A", 1, 0), ("A", 2, 4), ("A", 3, 9), ("B", 1, 3)
     ]

@@ -30,6 +30,8 @@ def one(spark, value, f, kind="string"):
         ("a < b and 3 > 2", "a < b and 3 > 2"),
         ("<!DOCTYPE html><p>x  y", "x y"),
         ("<script>never closed", ""),
+        ("<p " + 'a="b" ' * 20000 + ">long", "long"),
+        ('<p class="open>text', "text"),
         ("", ""),
     ],
 )
