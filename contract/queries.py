@@ -453,7 +453,7 @@ def time_weight(spark, sf):
 @query
 def semantic_cosine(spark, sf):
     """Every vector with every label's mean vector."""
-    centroids = X.label_centroids(spark, sf)
+    centroids = staged(X.label_centroids(spark, sf))
     if not pairing.is_small(centroids):
         raise ValueError("too many labels for one matrix product")
     small = sorted(centroids.collect(), key=lambda r: r["theme_id"])

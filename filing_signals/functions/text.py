@@ -5,6 +5,7 @@ Everything here is a built-in expression, so it stays in the JVM and inside one
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -38,6 +39,11 @@ ENTITY_DEC = r"^#([0-9]{1,7});?"
 ENTITY_HEX = r"^#[xX]([0-9A-Fa-f]{1,6});?"
 
 
+def bind(value: Column, f: Callable[[Column], Column]) -> Column:
+    """`f(value)` with `value` computed once per row, however often `f` refers to it."""
+    return F.element_at(F.transform(F.array(value), lambda v: f(v)), 1)
+
+
 def collapse_space(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, WS_RUN, " "))
 
@@ -77,18 +83,18 @@ def unescape_entities(c: Column) -> Column:
             .otherwise(F.concat(F.lit("&"), p))
         )
 
-    parts = F.split(c, "&")
-    rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), piece)
-    return F.when(~c.contains("&"), c).otherwise(
-        F.concat(F.element_at(parts, 1), F.array_join(rest, ""))
-    )
+    def joined(parts: Column) -> Column:
+        rest = F.transform(F.slice(parts, F.lit(2), F.size(parts)), piece)
+        return F.concat(F.element_at(parts, 1), F.array_join(rest, ""))
+
+    return F.when(~c.contains("&"), c).otherwise(bind(F.split(c, "&"), joined))
 
 
 def html_to_text(c: Column) -> Column:
     """Readable text of a page: text nodes joined by a space, white space collapsed."""
     shown = F.regexp_replace(c, HIDDEN, " ")
     plain = F.regexp_replace(F.regexp_replace(shown, TAG, " "), LOOSE_TAG, " ")
-    return collapse_space(unescape_entities(plain))
+    return bind(plain, lambda p: collapse_space(unescape_entities(p)))
 
 
 def clean_sentence(c: Column) -> Column:
@@ -120,11 +126,14 @@ def sentence_array(c: Column, min_len: int = fixed.MIN_SENTENCE_LENGTH) -> Colum
 
 def ratio_over(c: Column, char_class: str) -> Column:
     """Share of characters matching `char_class` among non-space ones; 1.0 where there are none."""
-    dense = F.regexp_replace(c, WS_RUN, "")
-    hits = F.length(dense) - F.length(F.regexp_replace(dense, char_class, ""))
-    return F.when(F.length(dense) == 0, F.lit(1.0)).otherwise(
-        hits.cast("double") / F.length(dense).cast("double")
-    )
+
+    def share(dense: Column) -> Column:
+        hits = F.length(dense) - F.length(F.regexp_replace(dense, char_class, ""))
+        return F.when(F.length(dense) == 0, F.lit(1.0)).otherwise(
+            hits.cast("double") / F.length(dense).cast("double")
+        )
+
+    return bind(F.regexp_replace(c, WS_RUN, ""), share)
 
 
 def digit_ratio(c: Column) -> Column:

@@ -30,7 +30,7 @@ def number_rows(
     keyed = (
         df.withColumn("_major", F.coalesce(major.cast("long"), F.lit(NULL_MAJOR).cast("long")))
         .withColumn("_chunk", F.shiftright("_major", CHUNK_BITS))
-        .withColumn("_hash", F.md5(tie.cast("binary")))
+        .withColumn("_hash", F.coalesce(F.md5(tie.cast("binary")), F.lit("")))
         .withColumn("_slot", F.substring("_hash", 1, SLOT_DIGITS))
     )
     chunk = [*group, "_chunk"]
@@ -41,7 +41,7 @@ def number_rows(
         return F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
     slots = keyed.groupBy(*slot).agg(F.count(F.lit(1)).alias("_n"))
-    chunks = keyed.groupBy(*chunk).agg(F.count(F.lit(1)).alias("_n"))
+    chunks = slots.groupBy(*chunk).agg(F.sum("_n").alias("_n"))
     first_of_chunk = chunks.select(*chunk, before(group, ["_chunk"], "_n").alias("_before"))
     first_of_slot = (
         slots.withColumn("_inside", before(chunk, ["_major", "_slot"], "_n"))

@@ -62,7 +62,8 @@ def filing_index_rows(df: DataFrame, json: str = "json") -> tuple[DataFrame, Dat
     """
     recent = F.from_json(F.col(json), FILING_INDEX)["filings"]["recent"]
     names = ["form", "filingDate", "accessionNumber", "primaryDocument"]
-    parsed = df.withColumn("_recent", recent)
+    # Through a one-element array, so that each document is parsed once.
+    parsed = df.select("*", F.explode(F.array(recent)).alias("_recent"))
     sizes = F.array(*[F.coalesce(F.size(F.col("_recent")[n]), F.lit(-1)) for n in names])
     even = F.array_min(sizes) == F.array_max(sizes)
     ragged = F.col("_recent").isNotNull() & ~even
