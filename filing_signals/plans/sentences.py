@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from filing_signals import fixed
 from filing_signals.functions import text as tx
 from filing_signals.operators.numbering import number_rows
-from filing_signals.sources.landed import require_columns
+from filing_signals.operators.ranking import first_rows
+from filing_signals.sources.landed import landed_files, match_manifest, require_columns
 
 
 def extract(
@@ -29,6 +30,26 @@ def extract_html(
     return extract(plain, "text", min_len)
 
 
+def extract_landed(
+    manifest: DataFrame,
+    root: str,
+    pattern: str = "*",
+    min_len: int = fixed.MIN_SENTENCE_LENGTH,
+    limit: int = 0,
+) -> tuple[DataFrame, DataFrame]:
+    """Sentences of the manifest's landed HTML files, and the manifest rows without a file.
+
+    HTML is reduced to text before files meet the manifest, so a join that has to shuffle
+    carries texts only. `limit` keeps the first documents by id; 0 keeps all.
+    """
+    docs = first_rows(require_columns(manifest, ["doc_id", "file_path"], "manifest"), ["doc_id"], limit)
+    files = landed_files(manifest.sparkSession, root, pattern).select(
+        "file_path", tx.html_to_text(F.col("text")).alias("text")
+    )
+    found, missing = match_manifest(docs, files)
+    return extract(found, "text", min_len), missing
+
+
 def usable(sentences: DataFrame) -> DataFrame:
     """Rows with an id and a text that are not stray header lines."""
     df = require_columns(sentences, ["doc_id", "sentence_id", "text"], "sentences")

@@ -1,0 +1,98 @@
+"""From index documents and landed pages to the evidence report, through every stored form."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from filing_signals.operators.upsert import ConstraintError
+from filing_signals.plans import load, manifest, reports, scoring, sentences
+from filing_signals.schemas import SENTENCES_CSV, THEMES
+from filing_signals.sources import landed
+from filing_signals.sources.snapshots import SnapshotTable
+
+PAGE = "<html><head><style>p{{}}</style></head><body><p>{}</p><!-- note --></body></html>"
+
+
+def index(*filings):
+    names = ("form", "filingDate", "accessionNumber", "primaryDocument")
+    return json.dumps({"filings": {"recent": dict(zip(names, map(list, zip(*filings))))}})
+
+
+def test_whole_job(spark, tmp_path):
+    listing = spark.createDataFrame(
+        [(0, "AA.A", "Alpha"), (1, "BB", "Beta"), (2, "ZZ", "Unmapped")], "pos int, Symbol string, Security string"
+    )
+    tickers = json.dumps({"0": {"ticker": "AA-A", "cik_str": 11}, "1": {"ticker": "BB", "cik_str": 22}})
+    tmap = landed.ticker_map_rows(spark.createDataFrame([(tickers,)], "json string"))
+    rows, rejects = landed.filing_index_rows(
+        spark.createDataFrame(
+            [
+                (11, index(("10-K", "2024-01-05", "0-1", "old.htm"), ("10-K", "2024-02-05", "0-2", "new.htm"), ("10-Q", "2024-02-01", "0-3", "q.htm"))),
+                (22, index(("10-K", "2024-01-09", "0-4", "b.htm"), ("8-K", "2024-03-01", "0-5", "c.htm"))),
+            ],
+            "cik_num long, json string",
+        )
+    )
+    assert rejects.count() == 0
+    base = tmp_path / "filings"
+    companies = manifest.map_companies(manifest.constituents(listing, "pos"), tmap)
+    docs = manifest.manifest(companies, manifest.latest_filings(rows), str(base))
+    texts = {
+        "new.htm": "Artificial intelligence drives our growth this year. Supply chains were under strain; the supply chain recovered later!",
+        "b.htm": "We invest in artificial intelligence &amp; neural networks. We invest in artificial intelligence &amp; neural networks. 2020 2021 2022 2023 2024 2025",
+    }
+    for r in docs.collect():
+        name = r["file_path"].rsplit("/", 1)[1]
+        if name in texts:
+            folder = base / r["file_path"][len(str(base)) + 1 :].rsplit("/", 1)[0]
+            folder.mkdir(parents=True)
+            (folder / name).write_text(PAGE.format(texts[name]), encoding="utf-8")
+
+    landed.write_csv(docs, str(tmp_path / "manifest_csv"))
+    stored = load.load_documents(spark, str(tmp_path / "db"), str(tmp_path / "manifest_csv"))
+    assert [(r["doc_id"], r["ticker"], r["source_type"], str(r["date"])) for r in stored.orderBy("doc_id").collect()] == [
+        ("D001", "AA-A", "10-K", "2024-02-05"),
+        ("D002", "AA-A", "10-Q", "2024-02-01"),
+        ("D003", "BB", "10-K", "2024-01-09"),
+    ]
+
+    found, missing = sentences.extract_landed(stored, str(base), "*.htm")
+    assert [r["doc_id"] for r in missing.collect()] == ["D002"]
+    landed.write_csv(found, str(tmp_path / "raw_csv"))
+    raw = landed.read_csv(spark, str(tmp_path / "raw_csv"), SENTENCES_CSV, multi_line=False)
+    assert raw.count() == 6
+    landed.write_csv(sentences.clean(raw, trim_share=0.0), str(tmp_path / "clean_csv"))
+
+    with pytest.raises(ConstraintError, match="not stored"):
+        load.create_tables(spark, str(tmp_path / "empty"))
+        load.load_sentences(spark, str(tmp_path / "empty"), str(tmp_path / "clean_csv"))
+    sents = load.load_sentences(spark, str(tmp_path / "db"), str(tmp_path / "clean_csv"))
+    assert sorted((r["doc_id"], r["sentence_id"], r["text"]) for r in sents.collect()) == [
+        ("D001", 0, "Artificial intelligence drives our growth this year"),
+        ("D001", 1, "Supply chains were under strain"),
+        ("D001", 2, "the supply chain recovered later"),
+        ("D003", 0, "We invest in artificial intelligence neural networks"),
+    ]
+
+    themes = SnapshotTable(spark, str(tmp_path / "db"), THEMES).upsert(
+        spark.createDataFrame(
+            [("AI", "artificial intelligence", "neural, networks"), ("SC", "supply chain", None)],
+            "theme_id string, theme string, keywords string",
+        )
+    )
+    toned = sents.withColumn("label", F.when(F.col("text").contains("strain"), "NEGATIVE").otherwise("POSITIVE"))
+    toned = toned.withColumn("confidence", F.lit(0.9))
+    scored = scoring.score(toned, stored, themes)
+    kept, by_company = scoring.store(spark, str(tmp_path / "db"), scored)
+    assert kept.count() == 8 and by_company.count() == 4
+    top = reports.top_themes(by_company, themes, k=1)
+    best = {}
+    for r in by_company.collect():
+        best[r["company_id"]] = max(best.get(r["company_id"], (-101.0, "")), (r["avg_final_100"], r["theme_id"]))
+    assert {r["company_id"]: r["theme_id"] for r in top.collect()} == {c: t for c, (_, t) in best.items()}
+    report = {(r["company_id"], r["theme_id"]): r["evidence"] for r in reports.evidence_report(by_company, themes, kept, sents, 2, 2).collect()}
+    assert report[("22", "AI")] == "We invest in artificial intelligence neural networks"
+    assert report[("11", "SC")].startswith("the supply chain recovered later | ")
+    landed.write_csv(reports.top_themes(by_company, themes), str(tmp_path / "report_csv"))
+    assert tuple(reports.counts(stored, sents).first()) == (3, 4)
