@@ -1,5 +1,65 @@
-"""DuckDB twins of this package's queries, where SQL can express them."""
+"""DuckDB twins of this package's queries, where SQL can express them on whole tables."""
 
 from __future__ import annotations
 
+from filing_signals.llm import license_scan as L
+
 ORACLE: dict[str, str] = {}
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _lines(table: str) -> str:
+    return f"""SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM {table})"""
+
+
+def _key(line: str) -> str:
+    return f"translate(trim({line}, E' \\t\\n\\x0b\\x0c\\r'), '{_UPPER}', '{_LOWER}')"
+
+
+ORACLE["op9_line_dedup"] = f"""
+WITH keys AS (SELECT *, {_key("line")} AS key FROM ({_lines("documents")})),
+common AS (
+    SELECT key, max(doc_id) AS keeper FROM keys WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+),
+marked AS (
+    SELECT k.doc_id, k.pos, k.line, c.key IS NOT NULL AND k.doc_id <> c.keeper AS dropped
+    FROM keys k LEFT JOIN common c ON k.key = c.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    """Twin of `license_scan.canonical`."""
+    lines = f"list_filter(list_transform(string_split({text}, chr(10)), lambda x: {_key('x')}), lambda x: NOT regexp_matches(x, {_quoted(L._COPYRIGHT)}))"
+    c = f"' ' || trim(regexp_replace(array_to_string({lines}, chr(10)), {_quoted(L._OTHER_ASCII)}, ' ', 'g')) || ' '"
+    for a, b in L.SPELLINGS.items():
+        c = f"replace({c}, ' {a} ', ' {b} ')"
+    return f"trim({c})"
+
+
+def _known(texts: dict[str, list[str]]) -> str:
+    rows = ", ".join(f"({_quoted(k)}, {_quoted(t)})" for k, ts in texts.items() for t in ts)
+    return f"SELECT DISTINCT license_id, sha256({_canonical('text')}) AS digest FROM (VALUES {rows}) AS t(license_id, text)"
+
+
+ORACLE["op10_license_scan"] = f"""
+WITH texts AS ({_known({k: [v] for k, v in L.TEXTS.items()})}),
+notices AS ({_known(L.NOTICES)})
+SELECT d.doc_id, 'text' AS scope, CAST(NULL AS INTEGER) AS line, k.license_id, k.digest
+FROM (SELECT doc_id, sha256({_canonical("text")}) AS digest FROM documents WHERE text IS NOT NULL) d
+JOIN texts k ON d.digest = k.digest
+UNION ALL
+SELECT d.doc_id, 'line', CAST(d.pos AS INTEGER), k.license_id, k.digest
+FROM (SELECT doc_id, pos, sha256({_canonical("line")}) AS digest FROM ({_lines("documents")})) d
+JOIN notices k ON d.digest = k.digest
+"""

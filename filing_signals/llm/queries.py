@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filing_signals.llm import packing, repetition, toxicity
+from filing_signals.functions.text import bind
+from filing_signals.llm import license_scan, line_dedup, packing, repetition, secret_scan, toxicity
 from filing_signals.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +53,30 @@ def op6_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.line_dedup(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "counts.*", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_scan(read(spark, sf_dir, "documents"))
+
+    def outputs(spans: Column) -> Column:
+        base = F.filter(spans, lambda s: s["kind"] < 3)
+        count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+        return F.struct(
+            *(count(k).alias(f"n_{name}") for k, name in enumerate(secret_scan.KINDS[:3])),
+            F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
+            secret_scan.written(spans).alias("spans"),
+        )
+
+    return found.select("doc_id", bind(F.col("secrets"), outputs).alias("out")).select("doc_id", "out.*")
