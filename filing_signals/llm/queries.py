@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filing_signals.functions.text import bind
-from filing_signals.llm import jaccard_join, license_scan, line_dedup, packing, repetition, secret_scan, toxicity
+from filing_signals.llm import decontamination, jaccard_join, license_scan, line_dedup, packing, repetition, secret_scan, toxicity
 from filing_signals.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
