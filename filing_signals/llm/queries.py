@@ -9,7 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filing_signals.functions.text import bind
-from filing_signals.llm import decontamination, jaccard_join, license_scan, line_dedup, packing, repetition, secret_scan, toxicity
+from filing_signals.llm import (
+    decontamination,
+    html_extraction,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    packing,
+    repetition,
+    secret_scan,
+    toxicity,
+)
 from filing_signals.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +100,9 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extraction.extract(read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
