@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from filing_signals.functions.text import bind
 from filing_signals.llm import (
+    chunk_dedup,
     decontamination,
     html_extraction,
     jaccard_join,
@@ -106,3 +107,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_extraction.extract(read(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query
+def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.repeated_passages(read(spark, sf_dir, "documents"))
