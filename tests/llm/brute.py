@@ -1,0 +1,147 @@
+"""Plain versions of the operators, for small inputs, and an awkward table to feed all of them."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+#: Names that the operators use inside, as further columns.
+CLASHING = (
+    "row score label component component_id node sequence_id offset start length counts kept key pos line h1 h2 subset comp "
+    "hash size item_id digest drops _in _kept _of _drops _gone page_id url features"
+).split()
+
+
+def awkward(spark):
+    """Nulls in any column, empty, blank and very long texts, repeated rows and ids, clashing names."""
+    long_text = " ".join(f"w{i * 7919 % 5003}" for i in range(60_000))
+    same = "a line that is common to several texts\nand some more words of this one"
+    texts = [
+        (1, "plain words in a first text"), (2, None), (3, ""), (4, " \n\t "), (5, long_text), (6, same), (6, same),
+        (7, same), (8, "other\n" + same), (8, "an id with two texts"), (None, same), (None, None), (9, "\n\n\n"),
+        (10, "tail of é́ 𝄞 signs <|endoftext|> it's 12.5% &amp; Straße İ"), (11, "one"), (12, "one"),
+    ]
+    rows = [(i, t, None if k % 2 else "en", None if k % 3 else "s", None) for k, (i, t) in enumerate(texts)]
+    from pyspark.sql import functions as F
+
+    return spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(c) for c in CLASHING})
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def lines_kept(docs, least_chars=20, least_docs=3):
+    """[(doc_id, n_lines, n_dropped, text)] of (doc_id, text) rows."""
+    key = lambda line: line.strip(BLANKS).translate(LOWER)
+    holders = defaultdict(set)
+    for i, t in docs:
+        for line in (t or "").split("\n"):
+            if i is not None and len(key(line)) >= least_chars:
+                holders[key(line)].add(i)
+    out = []
+    for i, t in docs:
+        lines = (t or "").split("\n")
+        drop = lambda x: i is not None and len(holders.get(key(x), ())) >= least_docs and max(holders[key(x)]) != i
+        stay = [x for x in lines if not drop(x)]
+        out.append((i, len(lines), len(lines) - len(stay), "\n".join(stay)))
+    return out
+
+
+def shingles(text, k):
+    w = words((text or "").translate(LOWER))
+    if len(w) < k:
+        return {tuple(w)} if w else set()
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
+
+
+def jaccard(docs, k, percent):
+    """{doc_id: smallest reachable id} of (doc_id, text) rows, by comparing all pairs."""
+    sets = [(i, shingles(t, k)) for i, t in docs if i is not None]
+    parent = {i: i for i, _ in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            (i, x), (j, y) = sets[a], sets[b]
+            shared = len(x & y)
+            if shared and 100 * shared >= percent * (len(x) + len(y) - shared):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    return {i: root(i) for i in parent}
+
+
+def token_pieces(tokenizer, docs, longest=2048):
+    """{(doc_id, start, length, crc32)} of (doc_id, text) rows."""
+    out = []
+    for i, t in docs:
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
+        at = 0
+        while at < len(ids):
+            n = min(longest, 1 << (len(ids) - at).bit_length() - 1)
+            out.append((i, at, n, zlib.crc32(np.array(ids[at : at + n], "<u4").tobytes()), len(ids)))
+            at += n
+    return out
+
+
+def repetition(text, lengths):
+    w = words(text)
+    out = {"n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text or ""))}
+    seen, dup, chars = set(), 0, 0
+    for line in (text or "").split("\n"):
+        if words(line):
+            dup += line in seen
+            chars += sum(map(len, words(line))) if line in seen else 0
+            seen.add(line)
+    out |= {"n_dup_lines": dup, "dup_line_chars": chars}
+    grams = lambda n: [tuple(w[i : i + n]) for i in range(len(w) - n + 1)]
+    count, inside = Counter(grams(3)), set()
+    for i, g in enumerate(grams(3)):
+        inside |= set(range(i, i + 3)) if count[g] > 1 else set()
+    out["n_repeat_words"] = len(inside)
+    for n in lengths:
+        known, inside = set(), set()
+        for i, g in enumerate(grams(n)):
+            inside |= set(range(i, i + n)) if g in known else set()
+            known.add(g)
+        out[f"covered_{n}"] = sum(len(w[i]) for i in inside)
+    return out
+
+
+def base_secrets(text):
+    """[(start, kind, end)] of the three known forms, in order."""
+    patterns = (
+        (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+        (r"AKIA[A-Z0-9]+", 0, 20),
+        (r"[0-9a-f]+", 0, 24),
+    )
+    out = []
+    for kind, (p, group, least) in enumerate(patterns):
+        out += [(m.start(), kind, m.end()) for m in re.finditer(p, text or "") if len(m[group]) >= least]
+    return sorted(out)
+
+
+def window_entropy(s, window):
+    """The largest Shannon entropy of a window, in bits."""
+    best = 0.0
+    for i in range(len(s) - window + 1):
+        counts = Counter(s[i : i + window]).values()
+        best = max(best, -sum(c / window * math.log2(c / window) for c in counts))
+    return best
+
+
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
