@@ -6,7 +6,7 @@ Everything here is a built-in expression, so it stays in the JVM and inside one
 from __future__ import annotations
 
 from collections.abc import Callable
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,9 +34,14 @@ HIDDEN = (
 # whatever tag has an unbalanced quote. The possessive loop keeps Java's stack flat.
 TAG = r"""</?[A-Za-z][^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*+>"""
 LOOSE_TAG = r"<[/!?A-Za-z][^>]*>"
-ENTITY_NAME = r"^([A-Za-z][A-Za-z0-9]*);"
-ENTITY_DEC = r"^#([0-9]{1,7});?"
-ENTITY_HEX = r"^#[xX]([0-9A-Fa-f]{1,6});?"
+ENTITY_NAME = r"^([A-Za-z][A-Za-z0-9]*;)"
+# Old names count without ';' too; the longest that fits is meant.
+_OLD_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+ENTITY_OLD = f"^({'|'.join(_OLD_NAMES)})"
+ENTITY_DEC = r"^#0*([0-9]*);?"
+ENTITY_HEX = r"^#[xX]0*([0-9A-Fa-f]*);?"
+# Looked up before the whole table, which is searched in line.
+COMMON_ENTITIES = ("amp;", "nbsp;", "quot;", "lt;", "gt;", "apos;")
 
 
 def bind(value: Column, f: Callable[[Column], Column]) -> Column:
@@ -60,26 +65,40 @@ def unescape_entities(c: Column) -> Column:
     """Replace named and numeric character references in one pass.
 
     The text is cut at every '&' and only the head of each piece is read, so `&amp;lt;` gives
-    `&lt;` and nothing is decoded twice.
+    `&lt;` and nothing is decoded twice. Names are those of HTML 5; old ones need no ';'. Numbers
+    may have any number of digits; those that are no character give nothing.
     """
-    named = F.create_map(*[F.lit(x) for n, k in name2codepoint.items() for x in (n, chr(k))])
+    every = F.create_map(*[F.lit(x) for name, char in sorted(html5.items()) for x in (name, char)])
 
-    def piece(p: Column) -> Column:
+    def named(name: Column) -> Column:
+        found = F.when(name == "", F.lit(None))
+        for common in COMMON_ENTITIES:
+            found = found.when(name == common, F.lit(html5[common]))
+        return found.otherwise(every[name])
+
+    def numbered(p: Column, digits: str, most: int, code: Callable[[Column], Column]) -> Column:
+        n = F.regexp_extract(p, digits, 1)
+        inside = (n != "") & (F.length(n) <= most)
+        return F.concat(F.when(inside, _char(code(F.when(inside, n)))).otherwise(""), F.regexp_replace(p, digits, ""))
+
+    def by_name(p: Column) -> Column:
         name = F.regexp_extract(p, ENTITY_NAME, 1)
-        dec = F.regexp_extract(p, ENTITY_DEC, 1)
-        hexa = F.regexp_extract(p, ENTITY_HEX, 1)
-        return (
-            F.when(
-                (name != "") & named[name].isNotNull(),
-                F.concat(named[name], F.regexp_replace(p, ENTITY_NAME, "")),
-            )
-            .when(dec != "", F.concat(_char(dec.cast("long")), F.regexp_replace(p, ENTITY_DEC, "")))
-            .when(
-                hexa != "",
-                F.concat(
-                    _char(F.conv(hexa, 16, 10).cast("long")), F.regexp_replace(p, ENTITY_HEX, "")
-                ),
+        old = F.regexp_extract(p, ENTITY_OLD, 1)
+
+        def result(char: Column) -> Column:
+            return (
+                F.when(char.isNotNull(), F.concat(char, F.regexp_replace(p, ENTITY_NAME, "")))
+                .when(old != "", F.concat(every[old], F.regexp_replace(p, ENTITY_OLD, "")))
+                .otherwise(F.concat(F.lit("&"), p))
             )
+
+        return bind(named(name), result)
+
+    def piece(p: Column) -> Column:
+        return (
+            F.when(p.rlike("^[A-Za-z]"), by_name(p))
+            .when(p.rlike("^#[0-9]"), numbered(p, ENTITY_DEC, 7, lambda n: n.cast("long")))
+            .when(p.rlike("^#[xX][0-9A-Fa-f]"), numbered(p, ENTITY_HEX, 6, lambda n: F.conv(n, 16, 10).cast("long")))
             .otherwise(F.concat(F.lit("&"), p))
         )
 
@@ -200,3 +219,13 @@ def path_file_name(path: Column) -> Column:
 
 def display_id(number: Column) -> Column:
     return F.format_string("D%03d", number)
+
+
+def display_number(doc_id: Column) -> Column:
+    """The number in a display id, so that D1000 comes after D999; null where there is none."""
+    return F.regexp_extract(doc_id.cast("string"), r"^D0*([0-9]{1,18})$", 1).try_cast("long")
+
+
+def filing_key(cik: Column, accession: Column, document: Column) -> Column:
+    """A key of a filing's document that does not change between runs, as display ids do."""
+    return F.concat_ws("/", padded_cik(cik), accession_key(accession), document)

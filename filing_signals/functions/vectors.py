@@ -6,12 +6,13 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filing_signals import fixed
-from filing_signals.functions.text import tokens
+from filing_signals.functions.text import bind, tokens
 
 
 def _norm(v: Column) -> Column:
@@ -20,23 +21,35 @@ def _norm(v: Column) -> Column:
 
 def l2_normalise(v: Column) -> Column:
     """Vector scaled to unit length; a zero vector stays zero."""
-    norm = _norm(v)
-    return F.transform(
-        v, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0))
+    both = F.struct(v.alias("v"), _norm(v).alias("norm"))
+    return bind(
+        both,
+        lambda b: F.transform(
+            b["v"], lambda x: F.when(b["norm"] > 0, x.cast("double") / b["norm"]).otherwise(F.lit(0.0))
+        ),
     )
 
 
 def semantic_similarity(a: Column, b: Column) -> Column:
-    """max(0, cosine) of two dense vectors; 0 for a zero norm or NaN."""
+    """max(0, cosine) of two dense vectors; 0 for a null vector, a zero norm or NaN.
+
+    Vectors of different widths raise.
+    """
     dot = F.aggregate(
         F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")),
         F.lit(0.0),
         lambda s, x: s + x,
     )
-    norms = _norm(a) * _norm(b)
-    return F.when(
-        norms > 0, F.greatest(F.lit(0.0), F.nanvl(dot / norms, F.lit(0.0)))
-    ).otherwise(F.lit(0.0))
+    parts = F.struct(dot.alias("dot"), (_norm(a) * _norm(b)).alias("norms"))
+    cosine = bind(
+        parts,
+        lambda p: F.when(
+            p["norms"] > 0, F.greatest(F.lit(0.0), F.nanvl(p["dot"] / p["norms"], F.lit(0.0)))
+        ).otherwise(F.lit(0.0)),
+    )
+    unequal = F.size(a) != F.size(b)  # null, so not unequal, where a vector is null
+    wrong = F.raise_error(F.lit("vectors of different widths")).cast("double")
+    return F.when(unequal, wrong).otherwise(F.when(a.isNull() | b.isNull(), F.lit(0.0)).otherwise(cosine))
 
 
 def _unit_rows(m: np.ndarray) -> np.ndarray:
@@ -44,25 +57,33 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
     return np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
 
 
-def semantic_similarities(v: Column, theme_vectors: Sequence[Sequence[float]]) -> Column:
+def semantic_similarities(v: Column, theme_vectors: Sequence[Sequence[float] | None]) -> Column:
     """max(0, cosine) of one vector to each of a bounded list, as an array: one matrix product
-    per Arrow batch."""
-    themes = _unit_rows(np.asarray(theme_vectors, dtype="float64")).T
+    per Arrow batch. The same values as `semantic_similarity`, nulls and widths included."""
+    given = [t for t in theme_vectors if t is not None]
+    wide = {len(t) for t in given}
+    rows_of_themes = np.zeros((len(theme_vectors), max(wide, default=0)))
+    same = len(wide) <= 1
+    for i, t in enumerate(theme_vectors):
+        if t is not None and same:
+            rows_of_themes[i] = t
+    themes = _unit_rows(rows_of_themes).T
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def to_all(vectors: pa.Array) -> pa.Array:
         n, width = len(vectors), themes.shape[1]
         valid = np.asarray(vectors.is_valid())
         out = np.zeros((n, width))
-        if valid.any():
-            flat = vectors.drop_null().flatten().to_numpy(zero_copy_only=False)
+        if valid.any() and given:
+            filled = vectors.drop_null()
+            if not same or (pc.list_value_length(filled).to_numpy() != themes.shape[0]).any():
+                raise ValueError("vectors of different widths")
+            flat = filled.flatten().to_numpy(zero_copy_only=False)
             rows = flat.astype("float64").reshape(int(valid.sum()), themes.shape[0])
             cos = _unit_rows(rows) @ themes
             out[valid] = np.where(cos > 0, cos, 0.0)
         offsets = np.arange(0, (n + 1) * width, width, dtype="int32")
-        return pa.ListArray.from_arrays(
-            pa.array(offsets), pa.array(out.ravel()), mask=pa.array(~valid)
-        )
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
 
     return to_all(v)
 

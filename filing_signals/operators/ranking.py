@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Above this many rows a page is cut from a distributed sort instead of the driver's top-n.
-DRIVER_ROWS = 100_000
+from filing_signals.sources.snapshots import staged
+
+# Pages that end beyond this many rows are cut from a sorted table instead of a top-n.
+TOP_ROWS = 100_000
 
 
 def top_per_group(
@@ -31,24 +33,30 @@ def top_per_group(
     return first_k(df, group)
 
 
-def ordered_page(df: DataFrame, keys: list[str], offset: int, limit: int) -> DataFrame:
-    """Rows offset … offset + limit - 1 in the order of `keys`, which identify a row.
+def ordered_page(
+    df: DataFrame, keys: list[str | Column], offset: int, limit: int, top_rows: int = TOP_ROWS
+) -> DataFrame:
+    """Rows offset … offset + limit - 1 in the order of `keys`, nulls first.
 
-    A shallow page is a top-n. For a deep one the keys alone are sorted over the cluster and
-    numbered, the page's keys are kept, and the full rows are fetched by key.
+    Rows with equal keys are ordered by a hash of all their columns, so both ways below cut the same
+    sequence. A page within the first `top_rows` rows is a top-n. A deeper one is cut from a table
+    sorted over the cluster and staged: its files are in order, so the rows of the files before
+    one and a row's place in its file give its number.
     """
-    if offset + limit <= DRIVER_ROWS:
-        return df.orderBy(*keys).offset(offset).limit(limit)
-    sorted_keys = df.select(*keys).orderBy(*keys)
-    page = (
-        sorted_keys.rdd.zipWithIndex()
-        .filter(lambda r: offset <= r[1] < offset + limit)
-        .map(lambda r: r[0])
+    order = [*keys, F.xxhash64(*df.columns)]
+    if offset + limit <= top_rows:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    rows = staged(df.orderBy(*order)).select("*", "_metadata.file_name", "_metadata.row_index")
+    files = rows.groupBy("file_name").agg(F.count("*").alias("_n"))  # one row per task of the sort
+    before = Window.orderBy("file_name").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = files.select("file_name", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    number = F.col("_first") + F.col("row_index")
+    page = rows.join(F.broadcast(firsts), "file_name").filter(
+        (number >= offset) & (number < offset + limit)
     )
-    wanted = df.sparkSession.createDataFrame(page, sorted_keys.schema)
-    return df.join(wanted, keys, "left_semi").orderBy(*keys)
+    return page.orderBy(number).select(*df.columns)
 
 
-def first_rows(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
+def first_rows(df: DataFrame, keys: list[str | Column], limit: int) -> DataFrame:
     """The first `limit` rows in key order; 0 keeps every row."""
     return ordered_page(df, keys, 0, limit) if limit > 0 else df

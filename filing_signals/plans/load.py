@@ -25,24 +25,41 @@ def create_tables(spark: SparkSession, root: str) -> None:
         SnapshotTable(spark, root, relation).create_if_missing()
 
 
-def load_documents(spark: SparkSession, root: str, manifest_csv: str) -> DataFrame:
+def load_documents(
+    spark: SparkSession, root: str, manifest_csv: str, multi_line: bool = True
+) -> DataFrame:
     """Merge a manifest by document id; rows without an id are skipped."""
-    rows = read_csv(spark, manifest_csv, MANIFEST_CSV, multi_line=False)
+    rows = read_csv(spark, manifest_csv, MANIFEST_CSV, multi_line)
     rows = rows.dropna(subset=["doc_id"]).withColumn("date", F.try_to_date("date"))
     return SnapshotTable(spark, root, DOCUMENTS).upsert(rows)
 
 
 def load_sentences(
-    spark: SparkSession, root: str, sentences_csv: str, replace_documents: bool = False
+    spark: SparkSession,
+    root: str,
+    sentences_csv: str,
+    replace_documents: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Merge cleaned sentences by (document, number); rows without id or text are skipped.
 
-    A sentence of an unknown document raises before anything is written.
+    A sentence of an unknown document raises before anything is written. `multi_line=False` lets
+    Spark split files, for texts known to hold no line break.
     """
-    rows = read_csv(spark, sentences_csv, SENTENCES_CSV, multi_line=False)
+    rows = read_csv(spark, sentences_csv, SENTENCES_CSV, multi_line)
     rows = rows.dropna(subset=["doc_id", "text"])
     lost = orphans(rows, SnapshotTable(spark, root, DOCUMENTS).read(), "doc_id").head(1)
     if lost:
         raise ConstraintError(f"sentences of a document that is not stored: {lost[0].asDict()}")
     replace_by = "doc_id" if replace_documents else None
     return SnapshotTable(spark, root, SENTENCES).upsert(rows, replace_by)
+
+
+def delete_documents(spark: SparkSession, root: str, ids: DataFrame) -> None:
+    """Drop stored documents, and with them their sentences, by the `doc_id` of `ids`.
+
+    Sentences go first: a job that fails in between leaves no sentence without its document, and
+    can be run again.
+    """
+    for relation in (SENTENCES, DOCUMENTS):
+        SnapshotTable(spark, root, relation).delete(ids.select("doc_id").distinct(), "doc_id")

@@ -52,11 +52,12 @@ def manifest(
     base_dir: str,
     forms: Sequence[str] = fixed.FORMS,
     one_per_filing: bool = False,
+    keyed: bool = False,
 ) -> DataFrame:
     """Document rows numbered D001, D002, … in (listing position, form) order.
 
-    The number depends on the run; (cik, accession, primary document) in `file_path` is the
-    lasting key. `one_per_filing` keeps a filing once when two share classes list its company.
+    The number depends on the run; `keyed` adds `filing_key`, which does not: a load that should
+    find a filing again under another number can use it as `doc_id`. `one_per_filing` keeps a filing once when two share classes list its company.
     """
     wanted = valid_companies(companies).select(
         "*", F.posexplode(F.array(*[F.lit(f) for f in forms])).alias("form_pos", "form")
@@ -86,4 +87,5 @@ def manifest(
             F.col("accessionNumber"),
             F.col("primaryDocument"),
         ).alias("file_path"),
+        *([text.filing_key(F.col("cik_num"), F.col("accessionNumber"), F.col("primaryDocument")).alias("filing_key")] if keyed else []),
     )

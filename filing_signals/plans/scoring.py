@@ -162,12 +162,13 @@ def store(
 ) -> tuple[DataFrame, DataFrame]:
     """Merge scores into the stored table, then refresh every company score from all of it.
 
-    The rollup reads the new snapshot, so scoring itself runs once. A dry run writes nothing and
+    A key that comes twice (a tone or label table with two rows for a document, say) raises and
+    leaves the stored table as it was. The rollup reads the new snapshot, so scoring itself runs once. A dry run writes nothing and
     returns both results unwritten.
     """
     if dry_run:
         return scored, roll_up(scored)
     replace_by = "doc_id" if replace_documents else None
-    stored = SnapshotTable(spark, root, SENTENCE_SCORES).upsert(scored, replace_by, unique=True)
+    stored = SnapshotTable(spark, root, SENTENCE_SCORES).upsert(scored, replace_by)
     companies = SnapshotTable(spark, root, COMPANY_SCORES).upsert(roll_up(stored), unique=True)
     return stored, companies

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from filing_signals import fixed
 from filing_signals.functions import text as tx
 from filing_signals.operators.numbering import number_rows
+from filing_signals.operators.pairing import is_small
 from filing_signals.operators.ranking import first_rows
 from filing_signals.sources.landed import landed_files, match_manifest, require_columns
 
@@ -39,14 +40,21 @@ def extract_landed(
 ) -> tuple[DataFrame, DataFrame]:
     """Sentences of the manifest's landed HTML files, and the manifest rows without a file.
 
-    HTML is reduced to text before files meet the manifest, so a join that has to shuffle
-    carries texts only. `limit` keeps the first documents by id; 0 keeps all.
+    A manifest whose measured size allows is handed to the tasks that read the files, and only files
+    that it lists are decoded and parsed. For a larger one HTML is reduced to text first, so that the
+    join that has to shuffle carries texts only. `limit` keeps the first documents by the number in
+    their id; 0 keeps all.
     """
-    docs = first_rows(require_columns(manifest, ["doc_id", "file_path"], "manifest"), ["doc_id"], limit)
-    files = landed_files(manifest.sparkSession, root, pattern).select(
-        "file_path", tx.html_to_text(F.col("text")).alias("text")
-    )
-    found, missing = match_manifest(docs, files)
+    listed = require_columns(manifest, ["doc_id", "file_path"], "manifest")
+    order = [tx.display_number(F.col("doc_id")), F.col("doc_id")]
+    docs = first_rows(listed, order, limit)
+    files = landed_files(manifest.sparkSession, root, pattern)
+    plain = tx.html_to_text(F.col("text")).alias("text")
+    if is_small(docs):
+        found, missing = match_manifest(docs, files, broadcast=True)
+        found = found.select(*docs.columns, plain)
+    else:
+        found, missing = match_manifest(docs, files.select("file_path", plain))
     return extract(found, "text", min_len), missing
 
 

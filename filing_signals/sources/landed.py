@@ -10,6 +10,9 @@ from filing_signals.functions.text import decode_tolerant
 from filing_signals.schemas import FILING_INDEX, TICKER_MAP
 
 
+_CORRUPT = "_corrupt_record"
+
+
 class MissingColumns(ValueError):
     """An input lacks columns a stage needs."""
 
@@ -57,21 +60,24 @@ def write_csv(df: DataFrame, path: str) -> None:
 def filing_index_rows(df: DataFrame, json: str = "json") -> tuple[DataFrame, DataFrame]:
     """One row per filing from index documents that hold parallel arrays; and the rejects.
 
-    A document without filings gives no rows. One whose arrays differ in length goes to the
-    rejects whole, as its rows cannot be lined up.
+    A document without filings, a null or an empty one gives no rows. One that is not JSON, and one
+    whose arrays differ in length and so cannot be lined up, go to the rejects whole.
     """
-    recent = F.from_json(F.col(json), FILING_INDEX)["filings"]["recent"]
+    schema = f"{FILING_INDEX}, {_CORRUPT} string"
+    read = F.from_json(F.col(json), schema, {"columnNameOfCorruptRecord": _CORRUPT})
     names = ["form", "filingDate", "accessionNumber", "primaryDocument"]
     # Through a one-element array, so that each document is parsed once.
-    parsed = df.select("*", F.explode(F.array(recent)).alias("_recent"))
-    sizes = F.array(*[F.coalesce(F.size(F.col("_recent")[n]), F.lit(-1)) for n in names])
-    even = F.array_min(sizes) == F.array_max(sizes)
-    ragged = F.col("_recent").isNotNull() & ~even
+    parsed = df.select("*", F.explode(F.array(read)).alias("_read"))
+    recent = F.col("_read")["filings"]["recent"]
+    sizes = F.array(*[F.coalesce(F.size(recent[n]), F.lit(-1)) for n in names])
+    ragged = recent.isNotNull() & (F.array_min(sizes) != F.array_max(sizes))
+    filled = F.coalesce(F.trim(F.col(json)) != "", F.lit(False))
+    rejected = filled & (F.col("_read")[_CORRUPT].isNotNull() | ragged)
     rest = [c for c in df.columns if c != json]
-    rows = parsed.filter(~ragged).select(
-        *rest, F.inline(F.arrays_zip(*[F.col("_recent")[n].alias(n) for n in names])).alias(*names)
+    rows = parsed.filter(~rejected).select(
+        *rest, F.inline(F.arrays_zip(*[recent[n].alias(n) for n in names])).alias(*names)
     )
-    return rows, parsed.filter(ragged).drop("_recent")
+    return rows, parsed.filter(rejected).drop("_read")
 
 
 def ticker_map_rows(df: DataFrame, json: str = "json") -> DataFrame:
@@ -101,13 +107,16 @@ def landed_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFram
     )
 
 
-def match_manifest(manifest: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+def match_manifest(
+    manifest: DataFrame, files: DataFrame, broadcast: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Manifest rows with their file's columns, and the manifest rows without a file.
 
-    Reduce `files` to what is needed (text taken from HTML, say) before the call: what it holds
-    is what a large manifest makes the join shuffle.
+    `broadcast` hands a manifest of checked size to the scan of the files. Without it, reduce `files`
+    to what is needed (text taken from HTML, say) before the call: what it holds is what a large
+    manifest makes the join shuffle.
     """
     keyed = manifest.withColumn("file_path", plain_path(F.col("file_path")))
-    found = keyed.join(files, "file_path")
+    found = files.join(F.broadcast(keyed) if broadcast else keyed, "file_path")
     missing = keyed.join(files.select("file_path"), "file_path", "left_anti")
     return found, missing

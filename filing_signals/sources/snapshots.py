@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filing_signals.operators.upsert import conform, require_unique, upsert
+from filing_signals.operators.upsert import cascade_delete, conform, require_unique, upsert
 from filing_signals.schemas import Relation
 
 
@@ -106,3 +106,7 @@ class SnapshotTable:
         finally:
             fs, path = self._files(folder)
             fs.delete(path, True)
+
+    def delete(self, keys: DataFrame, key: str) -> DataFrame:
+        """Drop the rows whose `key` is among those of `keys`; the rest is a new snapshot."""
+        return self.write(cascade_delete(self.read(), keys, key))

@@ -33,7 +33,8 @@ def test_filing_index(spark):
     ragged = recent(form=["10-K"], filingDate=[], accessionNumber=["1"], primaryDocument=["a"])
     empty = recent(form=[], filingDate=[], accessionNumber=[], primaryDocument=[])
     df = spark.createDataFrame(
-        [(1, good), (2, ragged), (3, "{}"), (4, empty), (5, '{"filings": {}}'), (6, None)],
+        [(1, good), (2, ragged), (3, "{}"), (4, empty), (5, '{"filings": {}}'), (6, None),
+         (7, "<html>Too many requests</html>"), (8, good[:60]), (9, ""), (10, " ")],
         "cik_num long, json string",
     )
     rows, rejects = landed.filing_index_rows(df)
@@ -41,7 +42,7 @@ def test_filing_index(spark):
         (1, "10-K", "2024-01-01", "1-1", "a.htm"),
         (1, "8-K", "2024-02-01", "1-2", "b.htm"),
     ]
-    assert [r["cik_num"] for r in rejects.collect()] == [2]
+    assert sorted(r["cik_num"] for r in rejects.collect()) == [2, 7, 8]
 
 
 def test_ticker_map(spark):
@@ -86,3 +87,12 @@ def test_latest_and_manifest_equal_brute_force(spark):
     assert once.select("cik", "source_type").distinct().count() == once.count()
     ids = sorted(int(r["doc_id"][1:]) for r in once.collect())
     assert ids == list(range(1, len(ids) + 1))
+
+
+def test_filing_keys_last(spark):
+    companies = spark.createDataFrame([(1, "A", "n", 5), (2, "B", "m", 6)], "position int, ticker string, name string, cik_num long")
+    latest = spark.createDataFrame([(5, "10-K", "2024-01-01", "1-2", "a.htm"), (6, "10-K", "2024-01-01", "3-4", "b.htm")], "cik_num long, form string, filingDate string, accessionNumber string, primaryDocument string")
+    both = {r.doc_id: r.filing_key for r in M.manifest(companies, latest, "base", ["10-K"], keyed=True).collect()}
+    one = {r.doc_id: r.filing_key for r in M.manifest(companies.where("position = 2"), latest, "base", ["10-K"], keyed=True).collect()}
+    assert both == {"D001": "0000000005/12/a.htm", "D002": "0000000006/34/b.htm"}
+    assert one == {"D001": "0000000006/34/b.htm"}

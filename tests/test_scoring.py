@@ -72,11 +72,24 @@ def test_dense_similarities_agree_and_guard(spark):
         vectors.semantic_similarity(F.col("v"), F.array(*[F.lit(x) for x in t])).alias(f"t{i}")
         for i, t in enumerate(themes)
     ]).orderBy("id").collect()
-    for r in got[:4]:
+    for r in got:
         assert r["all"] == pytest.approx([r["t0"], r["t1"]])
     assert got[0]["all"] == pytest.approx([math.sqrt(0.5), 0.0])
     assert got[1]["all"][0] == 0.0 and got[2]["all"] == [0.0, 0.0] and got[3]["all"][0] == 0.0
-    assert got[4]["all"] is None
+    assert got[4]["all"] == [0.0, 0.0]
+    empty = df.select(vectors.semantic_similarities(F.col("v"), [None, [1.0, 1.0]]).alias("all")).collect()
+    assert all(r["all"][0] == 0.0 for r in empty)
+
+
+def test_vectors_of_mixed_widths_raise(spark):
+    df = spark.createDataFrame([([1.0],), ([0.0, 1.0, 0.0],)], "v array<float>")
+    both = (
+        vectors.semantic_similarities(F.col("v"), [[1.0, 1.0]]),
+        vectors.semantic_similarity(F.col("v"), F.array(F.lit(1.0), F.lit(1.0))),
+    )
+    for similarity in both:
+        with pytest.raises(Exception, match="different widths"):
+            df.select(similarity).collect()
 
 
 def test_normalise(spark):

@@ -5,11 +5,14 @@ import random
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filing_signals.operators import ranking, upsert
+from filing_signals.plans import load
 from filing_signals.plans import reports as R
+from filing_signals.plans import scoring as C
 from filing_signals.plans.sentences import observed
-from filing_signals.schemas import COMPANY_SCORES, DOCUMENTS, SENTENCES, SENTENCES_CSV
+from filing_signals.schemas import COMPANY_SCORES, DOCUMENTS, SENTENCE_SCORES, SENTENCES, SENTENCES_CSV
 from filing_signals.sources import landed
 from filing_signals.sources.snapshots import SnapshotTable, staged
 
@@ -107,17 +110,46 @@ def test_constraints(spark):
     assert sorted(r["sentence_id"] for r in left.collect()) == [1, 3, 4]
 
 
-@pytest.mark.parametrize("driver_rows", [100_000, 0])
-def test_pages(spark, monkeypatch, driver_rows):
-    monkeypatch.setattr(ranking, "DRIVER_ROWS", driver_rows)
+@pytest.mark.parametrize("top_rows", [100_000, 0])
+def test_pages(spark, top_rows):
     rows = [(f"d{i % 7}", i, "t") for i in range(500)]
     random.Random(0).shuffle(rows)
     df = spark.createDataFrame(rows, ROWS).repartition(5)
-    got = ranking.ordered_page(df, ["doc_id", "sentence_id"], 130, 40).collect()
+    got = ranking.ordered_page(df, ["doc_id", "sentence_id"], 130, 40, top_rows).collect()
     assert [tuple(r) for r in got] == sorted(rows)[130:170]
     assert ranking.first_rows(df, ["doc_id", "sentence_id"], 0).count() == 500
 
 
+def test_pages_keep_null_and_repeated_keys(spark):
+    df = spark.createDataFrame([(None, "n"), ("a", "x"), ("a", "y"), ("b", "z"), (None, None)], "k string, v string")
+    shallow, deep = ([tuple(r) for r in ranking.ordered_page(df, ["k"], 1, 3, n).collect()] for n in (100, 0))
+    assert shallow == deep and [k for k, _ in deep] == [None, "a", "a"]
+    assert ranking.ordered_page(df.limit(0), ["k"], 0, 3, 0).count() == 0
+
+
+def test_repeated_score_keys_raise_and_change_nothing(spark, tmp_path):
+    one = [("d", 0, "T1", "c", 0.5, 0.5, 1.0, 0.9, 0.8, 0.2, 0.5, 1.0, 50.0, 0.5)]
+    names = [c for c in SENTENCE_SCORES.columns if c != "scored_at"]
+    fields = T.StructType([f for f in SENTENCE_SCORES.schema if f.name in names])
+    order = "doc_id sentence_id theme_id company_id semantic_sim phonetic_sim polarity confidence alpha beta raw_base time_weight final_score_100 theme_score".split()
+    frame = lambda rows: spark.createDataFrame([tuple(dict(zip(order, r))[c] for c in fields.fieldNames()) for r in rows], fields)
+    root = str(tmp_path)
+    C.store(spark, root, frame(one))
+    with pytest.raises(upsert.ConstraintError):
+        C.store(spark, root, frame(one + one))
+    assert SnapshotTable(spark, root, SENTENCE_SCORES).read().count() == 1
+
+
+def test_delete_documents_takes_their_sentences(spark, tmp_path):
+    root = str(tmp_path)
+    docs = spark.createDataFrame([(d, "c", None, None, "10-K", None, None) for d in "ab"], DOCUMENTS.schema)
+    SnapshotTable(spark, root, DOCUMENTS).upsert(docs)
+    SnapshotTable(spark, root, SENTENCES).upsert(spark.createDataFrame([("a", 0, "x"), ("b", 0, "y"), ("b", 1, "z")], ROWS))
+    load.delete_documents(spark, root, spark.createDataFrame([("b",)], "doc_id string"))
+    assert [r.doc_id for r in SnapshotTable(spark, root, DOCUMENTS).read().collect()] == ["a"]
+    assert [r.text for r in SnapshotTable(spark, root, SENTENCES).read().collect()] == ["x"]
+
+
 def test_reports(spark):
     scores = spark.createDataFrame(
         [("A", "t1", "d", i, float(i % 5) if i else None) for i in range(30)] + [("A", "t1", "gone", 0, 99.0), ("B", "t2", "d", 3, 1.0)],
@@ -156,3 +188,29 @@ def test_staged_and_observed(spark):
     df = observed(staged(spark.range(10).toDF("id")), "loaded")
     assert df.count() == 10
     assert DOCUMENTS.columns[0] == "doc_id"
+
+
+def test_loaded_texts_keep_quoted_line_breaks(spark, tmp_path):
+    root = str(tmp_path / "store")
+    docs = spark.createDataFrame([("a", "c", None, None, "10-K", None, None)], DOCUMENTS.schema)
+    SnapshotTable(spark, root, DOCUMENTS).upsert(docs)
+    path = str(tmp_path / "sentences")
+    landed.write_csv(spark.createDataFrame([("a", 0, "first line\nsecond line"), ("a", 1, "x")], ROWS), path)
+    load.load_sentences(spark, root, path)
+    stored = SnapshotTable(spark, root, SENTENCES).read()
+    assert {r.text for r in stored.collect()} == {"first line\nsecond line", "x"}
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_landed_extraction_by_manifest_order(spark, tmp_path, monkeypatch, small):
+    from filing_signals.plans import sentences as S
+
+    monkeypatch.setattr(S, "is_small", lambda df: small)
+    names = [f"D{i:03d}" for i in (2, 999, 1000, 1001)]
+    for n in [*names, "D555"]:
+        (tmp_path / f"{n}.htm").write_text(f"<p>The sentence of document {n} is long enough</p>")
+    rows = [(n, f"{tmp_path}/{n}.htm") for n in reversed(names)] + [("D001", "gone.htm")]
+    manifest = spark.createDataFrame(rows, "doc_id string, file_path string")
+    found, missing = S.extract_landed(manifest, str(tmp_path), "*.htm", limit=4)
+    assert sorted(r.doc_id for r in found.collect()) == ["D002", "D1000", "D999"]
+    assert [r.doc_id for r in missing.collect()] == ["D001"]

@@ -26,6 +26,9 @@ def one(spark, value, f, kind="string"):
         ('<a title="x>y" href=z>t</a>', "t"),
         ("R&amp;D &lt;up&gt; &copy;&nbsp;2020", "R&D <up> © 2020"),
         ("&amp;lt;", "&lt;"),
+        ("company&apos;s &#00000065;&#x0000000041;", "company's AA"),
+        ("a&nbspb &ampx; &notit; &notin; &unknown; &", "a b &x; ¬it; ∉ &unknown; &"),
+        ("&#99999999999999999999;x&#xFFFFFFFFF;y &NotEqualTilde;", "xy ≂̸"),
         ("&#65;&#x42;&#8364; &bogus; & co", "AB€ &bogus; & co"),
         ("a < b and 3 > 2", "a < b and 3 > 2"),
         ("<!DOCTYPE html><p>x  y", "x y"),
