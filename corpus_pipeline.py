@@ -35,7 +35,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, less the lines they share with others; `n_chars` follows the text."""
     ship(spark)
-    kept = line_dedup.line_dedup(docs).select(*(F.col(f"`{c}`") for c in docs.columns))
+    kept = line_dedup.line_dedup(docs).select("row.*")
     return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
 
 

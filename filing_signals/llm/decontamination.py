@@ -123,6 +123,7 @@ class Decontamination:
     def hits(self) -> DataFrame:
         """(doc_id, item_id, pos, item_pos) of windows that a document and an item share."""
         sizes = sorted(r["size"] for r in self.items.select("size").distinct().collect())  # at most `window`
+        sizes = sizes or [self.s.window]  # no items, no hits
         own = _windowed(self.items, "item_id", sizes).join(self.items.select("item_id", "size"), ["item_id", "size"])
         plain = self.stage.keep(own.select("item_id", F.col("pos").alias("item_pos"), "size", "hash").distinct(), "windows")
         found = _windowed(self.docs, "doc_id", sizes).join(self.small(plain), ["size", "hash"])

@@ -64,7 +64,7 @@ def dropped_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) -
 
 
 def line_dedup(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) -> DataFrame:
-    """`docs` with `text` less its common lines, and `n_lines`, `n_dropped` in `counts`.
+    """`row`, `n_lines`, `n_dropped`: each row of `docs` as a struct, its `text` less common lines.
 
     Keys of at least `least_chars` code points found in at least `least_docs` documents stay only
     in the largest `doc_id` that holds them, where all their lines stay. Documents are told apart by
@@ -93,4 +93,4 @@ def line_dedup(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) -> D
     columns = [
         (F.col("_kept.text") if c == "text" else F.col(f"_in.`{c}`")).alias(c) for c in docs.columns
     ]
-    return out.select(*columns, F.struct("_kept.n_lines", "_kept.n_dropped").alias("counts"))
+    return out.select(F.struct(*columns).alias("row"), "_kept.n_lines", "_kept.n_dropped")

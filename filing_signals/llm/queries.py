@@ -69,7 +69,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.line_dedup(read(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "counts.*", F.sha2("text", 256).alias("kept_sha256"))
+    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("row.text", 256).alias("kept_sha256"))
 
 
 @query
