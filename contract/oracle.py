@@ -62,9 +62,9 @@ for _tag in ("script", "style", "noscript"):
     HTML = f"regexp_replace({HTML}, '(?is)<{_tag}\\b[^>]*>.*?</{_tag}\\s*>', ' ', 'g')"
 HTML = f"regexp_replace({HTML}, '<[^>]*>', ' ', 'g')"
 for _name, _char in (
-    ("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
+    ("&copy", "©"), ("&middot", "·"), ("&quot", '"'), ("&lt", "<"), ("&gt", ">"), ("&amp", "&"),
 ):
-    HTML = f"replace({HTML}, '{_name}', '{_char}')"
+    HTML = f"regexp_replace({HTML}, '{_name};?', '{_char}', 'g')"
 HTML = collapse(HTML)
 
 STRAY = f"""{SENTS}, {LABELLED}, stray AS MATERIALIZED (
@@ -247,7 +247,8 @@ _CENTROIDS = """means AS (SELECT label, i, round(avg(x::DOUBLE), 6) AS x FROM (
 centroids AS (SELECT 'L' || label AS theme_id, list(x ORDER BY i) AS vector FROM means GROUP BY label)"""
 
 _ORDER_INDEX = """idx AS (SELECT o_custkey AS cik_num, o_orderkey AS k, o_orderpriority AS p, o_orderstatus AS s,
-  o_orderdate AS d FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderpriority = '5-LOW'))"""
+  o_orderdate AS d,
+  o_orderstatus = 'O' AND o_orderpriority = '5-LOW' AS corrupt FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderpriority = '5-LOW'))"""
 
 _FORMS = "CASE form " + " ".join(f"WHEN {lit(f)} THEN {i}" for i, f in enumerate(PRIORITIES)) + " END"
 
@@ -255,6 +256,13 @@ ORACLE: dict[str, str] = {
     "sentences_extract": extract(20),
     "sentences_extract_all": pieces("documents", "doc_id", "text", "TRUE"),
     "html_text": f"SELECT page_id, {HTML} AS text FROM pages",
+    "html_entities": "SELECT page_id, "
+    + HTML.replace(
+        "regexp_replace(html,",
+        "regexp_replace(replace(html, '</p>', chr(39) || 'AB' || chr(160) || 'x·</p>'),",
+        1,
+    )
+    + " AS text FROM pages",
     "html_sentences": pieces(f"(SELECT page_id, {HTML} AS text FROM pages)", "page_id", "text", "length(p) >= 20"),
     "text_ratios": f"""SELECT conv_id, turn, CAST(length({clean('text')}) AS INTEGER) AS clean_length,
   round({share('text', fixed.DIGIT)}, 6) AS digit_share,
@@ -285,10 +293,10 @@ WHERE length(text) > 0 AND symbols <= 0.05 AND {share('text', '[0-9]')} <= 0.02"
     "companies_valid": f"""WITH {MAPPED} SELECT ticker, name, lpad(CAST(cik_num AS VARCHAR), 10, '0') AS cik10
   FROM mapped WHERE ticker <> '' AND cik_num IS NOT NULL""",
     "filing_index_rows": f"""WITH {_ORDER_INDEX} SELECT cik_num, p AS form, strftime(d, '%Y-%m-%d') AS "filingDate",
-  CAST(k AS VARCHAR) AS "accessionNumber", k || '.htm' AS "primaryDocument" FROM idx WHERE s <> 'P'
+  CAST(k AS VARCHAR) AS "accessionNumber", k || '.htm' AS "primaryDocument" FROM idx WHERE s <> 'P' AND NOT corrupt
   UNION ALL SELECT cik_num, s, strftime(d + INTERVAL 30 DAY, '%Y-%m-%d'), k || '-2', k || '-2.htm'
-  FROM idx WHERE s <> 'P'""",
-    "filing_index_rejects": f"WITH {_ORDER_INDEX} SELECT cik_num, count(*) AS n_rejects FROM idx WHERE s = 'P' GROUP BY ALL",
+  FROM idx WHERE s <> 'P' AND NOT corrupt""",
+    "filing_index_rejects": f"WITH {_ORDER_INDEX} SELECT cik_num, count(*) AS n_rejects FROM idx WHERE s = 'P' OR corrupt GROUP BY ALL",
     "ticker_map_rows": """SELECT c_name AS ticker, c_custkey AS cik_num FROM customer
   UNION ALL SELECT c_name || '-B', c_custkey FROM customer""",
     "latest_filing": f"WITH {FILINGS} {latest(PRIORITIES)}",
@@ -302,6 +310,9 @@ SELECT 'D' || CASE WHEN k < 1000 THEN lpad(CAST(k AS VARCHAR), 3, '0') ELSE CAST
   CAST("filingDate" AS DATE) AS date,
   'data/filings/' || ticker || '/' || form || '/' || replace("accessionNumber", '-', '') || '/' || "primaryDocument"
     AS file_path FROM numbered""",
+    "manifest_keys": f"""WITH {FILINGS}, latest AS ({latest(PRIORITIES)}) SELECT CAST(cik_num AS VARCHAR) AS cik,
+  form AS source_type, lpad(CAST(cik_num AS VARCHAR), 10, '0') || '/' || replace("accessionNumber", '-', '') || '/'
+  || "primaryDocument" AS filing_key FROM customer JOIN latest ON c_custkey = cik_num""",
     "filing_names": f"""WITH {FILINGS} SELECT "accessionNumber" AS accession,
   lpad(CAST(cik_num AS VARCHAR), 10, '0') AS cik10,
   '{fixed.ARCHIVE_ROOT}/' || cik_num || '/' || replace("accessionNumber", '-', '') || '/' || "primaryDocument" AS url,
@@ -340,6 +351,9 @@ SELECT * FROM incoming UNION ALL SELECT * FROM sents s WHERE NOT EXISTS (
   THEN 1.0::DOUBLE ELSE 0.6::DOUBLE END AS time_weight FROM docs""",
     "semantic_cosine": f"""WITH {_CENTROIDS} SELECT vec_id, theme_id, round(greatest(0.0::DOUBLE,
   list_cosine_similarity(embedding::DOUBLE[], vector)), 6) AS semantic_sim FROM embeddings CROSS JOIN centroids""",
+    "semantic_cosine_shuffled": f"""WITH {_CENTROIDS} SELECT vec_id, theme_id, CASE WHEN vec_id % 7 = 0 THEN 0.0::DOUBLE
+  ELSE round(greatest(0.0::DOUBLE, list_cosine_similarity(embedding::DOUBLE[], vector)), 6) END AS semantic_sim
+  FROM embeddings CROSS JOIN centroids""",
     "vector_normalise": """SELECT vec_id, CAST(i AS INTEGER) AS i, round(x / norm, 6) AS x FROM (
   SELECT vec_id, unnest(range(len(embedding))) AS i, unnest(embedding)::DOUBLE AS x,
     sqrt(list_sum(list_transform(embedding, lambda e: e::DOUBLE * e::DOUBLE))) AS norm FROM embeddings)""",
@@ -354,9 +368,12 @@ FROM sents CROSS JOIN kw""",
     "phonetic_similarity": f"WITH {PAIRS} SELECT doc_id, sentence_id, theme_id, round(phonetic_sim, 6) AS phonetic_sim FROM pairs",
     "sentence_theme_scores": f"WITH {SCORED} {score_columns('scored')}",
     "sentence_theme_scores_shuffled": f"WITH {SCORED} {score_columns('scored')}",
+    "dry_run_scores": f"WITH {SCORED} {score_columns('scored')}",
     "company_theme_scores": f"WITH {COMPANIES} {COMPANY_COLUMNS}",
     "report_counts": f"WITH {SENTS} SELECT (SELECT count(*) FROM documents) AS n_docs, (SELECT count(*) FROM sents) AS n_sents",
     "scores_page": f"""WITH {SENTS}, {DOCS} SELECT doc_id, sentence_id, text, company_id, date
+  FROM sents JOIN docs USING (doc_id) ORDER BY doc_id, sentence_id LIMIT 1000 OFFSET 4500""",
+    "scores_page_deep": f"""WITH {SENTS}, {DOCS} SELECT doc_id, sentence_id, text, company_id, date
   FROM sents JOIN docs USING (doc_id) ORDER BY doc_id, sentence_id LIMIT 1000 OFFSET 4500""",
     "top_themes": f"""WITH {COMPANIES}, {TOP_THEMES} SELECT company_id, CAST(rank AS INTEGER) AS rank, theme_id, theme,
   round(avg_final_100, 6) AS avg_final_100, n_sentences FROM best""",

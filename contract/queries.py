@@ -58,6 +58,16 @@ def html_text(spark, sf):
     return pages.select("page_id", text.html_to_text(F.col("html")).alias("text"))
 
 
+@query
+def html_entities(spark, sf):
+    """Pages with HTML 5 names, long numbers and names without ';' added to each paragraph."""
+    pages = X.spread(X.table(spark, sf, "pages", "page_id", "html"), "page_id")
+    more = F.replace(
+        F.col("html"), F.lit("</p>"), F.lit("&apos;&#00000065;&#x000042;&nbspx&middot</p>")
+    )
+    return pages.select("page_id", text.html_to_text(more).alias("text"))
+
+
 @query
 def html_sentences(spark, sf):
     pages = X.spread(X.table(spark, sf, "pages", "page_id", "html"), "page_id")
@@ -207,7 +217,7 @@ def companies_valid(spark, sf):
 
 def index_documents(spark, sf) -> DataFrame:
     """One index document per order: two filings in parallel arrays; an order with status 'P' has
-    a ragged one, one with status 'F' and low priority none."""
+    a ragged one; of those with low priority, status 'F' has none and 'O' an error page instead."""
     o = X.table(
         spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"
     )
@@ -224,9 +234,14 @@ def index_documents(spark, sf) -> DataFrame:
         F.array(F.concat(key, F.lit(".htm")), F.concat(key, F.lit("-2.htm"))).alias("primaryDocument"),
     )
     body = F.to_json(F.struct(F.struct(recent.alias("recent")).alias("filings")))
-    empty = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "5-LOW")
+    low = F.col("o_orderpriority") == "5-LOW"
+    empty, corrupt = (low & (F.col("o_orderstatus") == s) for s in ("F", "O"))
     return o.select(
-        F.col("o_custkey").alias("cik_num"), F.when(empty, F.lit("{}")).otherwise(body).alias("json")
+        F.col("o_custkey").alias("cik_num"),
+        F.when(empty, F.lit("{}"))
+        .when(corrupt, F.concat(F.lit("<p>Busy"), body))
+        .otherwise(body)
+        .alias("json"),
     )
 
 
@@ -275,6 +290,18 @@ def manifest_ids(spark, sf):
     return M.manifest(companies, latest, "data/filings", X.PRIORITIES)
 
 
+@query
+def manifest_keys(spark, sf):
+    """The key of each filing that stays when the listing, and so its id, changes."""
+    key = F.col("c_custkey")
+    companies = X.table(spark, sf, "customer", "c_custkey").select(
+        key.cast("int").alias("position"), key.cast("string").alias("ticker"), key.cast("long").alias("cik_num")
+    )
+    latest = M.latest_filings(X.filings(spark, sf), X.PRIORITIES)
+    keyed = M.manifest(companies, latest, "data/filings", X.PRIORITIES, keyed=True)
+    return keyed.select("cik", "source_type", "filing_key")
+
+
 @query
 def filing_names(spark, sf):
     f = X.filings(spark, sf)
@@ -470,6 +497,17 @@ def semantic_cosine(spark, sf):
     )
 
 
+@query
+def semantic_cosine_shuffled(spark, sf):
+    """The same for vectors of which some are missing, by a join; a missing one is like nothing."""
+    v = X.vectors(spark, sf).select(
+        "vec_id", F.when(F.col("vec_id") % 7 != 0, F.col("embedding")).alias("embedding")
+    )
+    pairs = pairing.with_each_by_shuffle(v, ["vec_id"], X.label_centroids(spark, sf), "t")
+    sim = vectors.semantic_similarity(F.col("embedding"), F.col("t.vector"))
+    return pairs.select("vec_id", F.col("t.theme_id").alias("theme_id"), rounded("semantic_sim", sim))
+
+
 @query
 def vector_normalise(spark, sf):
     unit = X.vectors(spark, sf).select(
@@ -564,6 +602,14 @@ def sentence_theme_scores_shuffled(spark, sf):
     return score_columns(C.score(s, docs, X.themes(spark), small_bytes=0))
 
 
+@query
+def dry_run_scores(spark, sf):
+    """What a run would store, without storing it."""
+    s, docs = X.toned_sentences(spark, sf), X.documents(spark, sf)
+    scores = C.score(s, docs, X.themes(spark))
+    return score_columns(C.store(spark, staging_folder(spark), scores, dry_run=True)[0])
+
+
 @query
 def company_theme_scores(spark, sf):
     return company_columns(C.roll_up(scored(spark, sf)))
@@ -581,6 +627,14 @@ def scores_page(spark, sf):
     return page.select("doc_id", "sentence_id", "text", "company_id", "date")
 
 
+@query
+def scores_page_deep(spark, sf):
+    """The same page by the way that serves pages of any depth."""
+    rows = C.with_documents(X.sentences(spark, sf), X.documents(spark, sf))
+    page = ranking.ordered_page(rows, ["doc_id", "sentence_id"], 4500, 1000, top_rows=0)
+    return page.select("doc_id", "sentence_id", "text", "company_id", "date")
+
+
 @query
 def top_themes(spark, sf):
     return R.top_themes(C.roll_up(scored(spark, sf)), X.themes(spark), k=3).select(

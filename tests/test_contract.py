@@ -3,7 +3,9 @@
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from contract.oracle import ORACLE
+from contract.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +16,10 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, con, name):
     ok, note = check.compare(spark, con, SF, name)
     assert ok, note
