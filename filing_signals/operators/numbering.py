@@ -5,53 +5,59 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Majors per chunk (2^8) and hex digits of the tie hash per slot: they bound every window below.
+from filing_signals.operators.pairing import join_dimension
+from filing_signals.sources.snapshots import staged
+
+# Majors per chunk (2^8), rows that one task may rank, and hex digits of the tie hash per slot of
+# larger chunks: they bound every window below.
 CHUNK_BITS = 8
+CHUNK_ROWS = 1 << 20
 SLOT_DIGITS = 4
 NULL_MAJOR = 2**62
 
 
+def _before(partition: list[str], order: list[str], n: str) -> Column:
+    """Sum of `n` over the rows that come before."""
+    w = Window.partitionBy(*partition).orderBy(*order)
+    return F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def number_rows(
-    df: DataFrame, group: list[str], major: Column, tie: Column, out: str
+    df: DataFrame,
+    group: list[str],
+    major: Column,
+    tie: Column,
+    out: str,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Number the rows of each group 0, 1, 2, … by (major, nulls last), ties by md5 of `tie`.
 
-    `major` is a whole number, 32 bits wide in the stored tables. A plain `row_number` would sort a whole group in one task,
-    so rows are ranked inside small slots only and the slots' sizes, which are counted with
-    map-side combining, give each slot its first number:
+    `major` is a whole number, 32 bits wide in the stored tables. A plain `row_number` would sort a
+    whole group in one task, so a group is cut into chunks of 256 majors. Their sizes are counted
+    with map-side combining, which is a job of its own, and give each chunk its first number; rows
+    are ranked inside their chunk. The count of chunks is at most 2^31 / 256 a group.
 
-    * slot = (group, major, four hex digits of the tie hash): the rows of one slot meet in one
-      task, and a major repeated n times is spread over 65,536 of them;
-    * chunk = 256 majors of a group: at most 256 * 65,536 slot counts are summed in one task;
-    * group: at most 2^31 / 256 chunk counts are summed in one task.
-
-    The plan is lazy and a function of the data alone, so retried tasks give the same numbers.
+    Where a chunk has more than `chunk_rows` rows (a major that repeats, or is missing, in most
+    rows), chunks are cut further by major and four hex digits of the tie hash, and these slots
+    are ranked and counted the same way. Both ways give the same numbers, which depend on the data
+    alone, so retried tasks agree.
     """
-    keyed = (
-        df.withColumn("_major", F.coalesce(major.cast("long"), F.lit(NULL_MAJOR).cast("long")))
-        .withColumn("_chunk", F.shiftright("_major", CHUNK_BITS))
-        .withColumn("_hash", F.coalesce(F.md5(tie.cast("binary")), F.lit("")))
-        .withColumn("_slot", F.substring("_hash", 1, SLOT_DIGITS))
-    )
+    keyed = df.withColumn(
+        "_major", F.coalesce(major.cast("long"), F.lit(NULL_MAJOR).cast("long"))
+    ).withColumn("_chunk", F.shiftright("_major", CHUNK_BITS))
+    hashed = keyed.withColumn("_hash", F.coalesce(F.md5(tie.cast("binary")), F.lit("")))
     chunk = [*group, "_chunk"]
-    slot = [*chunk, "_major", "_slot"]
-
-    def before(partition: list[str], order: list[str], n: str) -> Column:
-        w = Window.partitionBy(*partition).orderBy(*order)
-        return F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
-    slots = keyed.groupBy(*slot).agg(F.count(F.lit(1)).alias("_n"))
-    chunks = slots.groupBy(*chunk).agg(F.sum("_n").alias("_n"))
-    first_of_chunk = chunks.select(*chunk, before(group, ["_chunk"], "_n").alias("_before"))
-    first_of_slot = (
-        slots.withColumn("_inside", before(chunk, ["_major", "_slot"], "_n"))
-        .join(first_of_chunk, chunk)
-        .select(*slot, (F.col("_before") + F.col("_inside")).alias("_first"))
-    )
-    rank = F.row_number().over(Window.partitionBy(*slot).orderBy("_hash", tie))
-    return (
-        keyed.withColumn("_rank", rank)
-        .join(first_of_slot, slot)
-        .withColumn(out, F.col("_first") + F.col("_rank") - 1)
-        .drop("_major", "_chunk", "_hash", "_slot", "_rank", "_first")
+    counts = staged(keyed.groupBy(*chunk).agg(F.count(F.lit(1)).alias("_n")))
+    firsts = counts.select(*chunk, _before(group, ["_chunk"], "_n").alias("_first"))
+    parts, order = chunk, ["_major", "_hash"]
+    if not counts.filter(F.col("_n") > chunk_rows).isEmpty():
+        hashed = hashed.withColumn("_slot", F.substring("_hash", 1, SLOT_DIGITS))
+        parts, order = [*chunk, "_major", "_slot"], ["_hash"]
+        slots = hashed.groupBy(*parts).agg(F.count(F.lit(1)).alias("_n"))
+        inside = slots.withColumn("_inside", _before(chunk, ["_major", "_slot"], "_n"))
+        firsts = inside.join(firsts, chunk).select(*parts, (F.col("_first") + F.col("_inside")).alias("_first"))
+    rank = F.row_number().over(Window.partitionBy(*parts).orderBy(*order, tie))
+    numbered = join_dimension(hashed.withColumn("_rank", rank), firsts, parts)
+    return numbered.withColumn(out, F.col("_first") + F.col("_rank") - 1).drop(
+        "_major", "_chunk", "_hash", "_slot", "_rank", "_first"
     )
