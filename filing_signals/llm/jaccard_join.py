@@ -10,9 +10,11 @@ in one token, found by the neighbourhood of one deletion, and -1 leaves the segm
    H + 1 subsets (thresholds 0). Those who share one are held against the smallest of them, links are
    verified on whole sets, and components formed. So a group of thousands of near copies costs a
    comparison each, not one per pair.
-2. Where sets that share a subset are still in different components, all their subsets and one-
-   deletion neighbourhoods are counted, each set allots its thresholds where they cost the fewest
-   comparisons, and all pairs that this finds across components are verified.
+2. Where sets that share a subset are still in different components, thresholds are allotted by
+   cost. A set whose shared subsets lead to few others keeps thresholds of 0 and is held against all
+   of them. For the rest, all subsets and one-deletion neighbourhoods are counted, and each set puts
+   its thresholds where they ask for the fewest comparisons. All pairs found across components are
+   verified.
 
 Sets of so few tokens that H is 1 are one segment with threshold 1.
 """
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filing_signals.llm.components import components
@@ -36,13 +38,18 @@ from filing_signals.llm.words import byte_slices, mixed, split_words, window_has
 BAND_GROWTH = 1.6
 #: Segments per unit of the largest H of a band: some segments stay empty.
 SPARE = 1.15
+#: Comparisons per token of a set up to which they cost less than its one-deletion neighbourhood.
+DIRECT = 1.0
 #: Ids of texts to fetch are broadcast up to this many (16 bytes each), and joined by shuffle beyond.
 BROADCAST_IDS = 500_000
 
 _SEGMENT = np.uint64(0x5851F42D4C957F2D)
 _SECOND = np.uint64(0xD1342543DE82EF95)
 
-SETS = "doc_id long, n long, d1 long, d2 long, subsets array<long>, whole long, less_one array<long>"
+SETS = (
+    "doc_id long, n long, d1 long, d2 long, subsets array<long>, whole long, less_one array<long>, "
+    "band int, sketch array<long>, next_sketch array<long>"
+)
 INDEX = "doc_id long, comp long, scheme int, need int, segment array<int>, key array<long>, deleted array<boolean>"
 
 
@@ -70,7 +77,7 @@ class Threshold:
         """(smallest size, segments) of the bands from the first above the tiny sets."""
         out, low = [], self.tiny() + 1
         while low <= self.largest_partner(largest):
-            high = int(low * BAND_GROWTH)
+            high = max(int(low * BAND_GROWTH), self.largest_partner(low))  # partners reach one band up
             out.append((low, int(self.most_differing(high) * SPARE) + 3))
             low = high + 1
         return out
@@ -167,6 +174,15 @@ class Segments:
             np.concatenate([np.zeros(len(every), bool), np.ones(len(segment), bool)]),
         )
 
+    def sketch(self, i: int, scheme: int) -> np.ndarray:
+        """Parities of how many tokens fall on each of some bits, about one bit a token.
+
+        Every bit in which two sketches differ stands for a token that only one of the sets has.
+        """
+        bits = 64 * (self.bands[scheme][0] // 48 + 1)
+        on = np.bincount((self.values[self.sets.row(i)] % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        return np.packbits(on.astype(np.uint8)).view(np.uint64)
+
     def whole(self, i: int) -> tuple[int, np.ndarray]:
         """Key of a tiny set and of it less each token."""
         values = self.values[self.sets.row(i)]
@@ -199,19 +215,25 @@ def described(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
                     _signed(t[sets.offsets[1:]] - t[sets.offsets[:-1]])
                     for t in (total(segments.values), total(mixed(sets.tokens ^ _SECOND)))
                 ]
-                subsets, whole, less_one = [], [], []
+                subsets, whole, less_one, band, sketches = [], [], [], [], ([], [])
                 for i in range(len(sets)):
                     subsets.append(_signed(segments.first_subsets(i)))
                     tiny = 0 < n[i] <= segments.tiny
                     own, less = segments.whole(i) if tiny else (0, np.zeros(0, np.uint64))
                     whole.append(int(np.uint64(own).view(np.int64)) if tiny else None)
                     less_one.append(_signed(less))
+                    band.append(int(np.searchsorted(segments.lows, n[i], "right")) - 1)
+                    schemes = segments.schemes(int(n[i]))
+                    for at, column in enumerate(sketches):
+                        known = band[-1] + at in schemes
+                        column.append(_signed(segments.sketch(i, band[-1] + at)) if known else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(row, len(sets)), pa.array(n), *map(pa.array, digests),
                         _lists(subsets, pa.int64()), pa.array(whole, pa.int64()), _lists(less_one, pa.int64()),
+                        pa.array(band, pa.int32()), *(_lists(s, pa.int64()) for s in sketches),
                     ],
-                    names=["doc_id", "n", "d1", "d2", "subsets", "whole", "less_one"],
+                    names=["doc_id", "n", "d1", "d2", "subsets", "whole", "less_one", "band", "sketch", "next_sketch"],
                 )
 
     return docs.mapInArrow(run, SETS)
@@ -273,9 +295,33 @@ class JaccardJoin:
         few = ids.count() <= BROADCAST_IDS
         return self.docs.join(F.broadcast(ids) if few else ids, "doc_id")
 
-    def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """Those of the pairs (a, b) whose whole sets are similar enough."""
-        pairs = self.stage.keep(pairs.distinct(), f"{name}-pairs")
+    def sized(self, a: str, b: str) -> Column:
+        """Whether two sizes allow the similarity."""
+        return 100 * F.least(f"{a}.n", f"{b}.n") >= self.threshold.percent * F.greatest(f"{a}.n", f"{b}.n")
+
+    def possible(self, a: str, b: str) -> Column:
+        """Whether sizes and sketches allow the similarity: no more bits differ than tokens may.
+
+        Both sets have a sketch of the larger one's band; tiny sets have none and are let through.
+        """
+        p = self.threshold.percent
+        band = F.greatest(f"{a}.band", f"{b}.band")
+        of = lambda c: F.when(F.col(f"{c}.band") == band, F.col(f"{c}.sketch")).otherwise(F.col(f"{c}.next_sketch"))
+        differ = F.aggregate(
+            F.zip_with(of(a), of(b), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + F.coalesce(n, F.lit(64))
+        )
+        most = F.floor((100 - p) * (F.col(f"{a}.n") + F.col(f"{b}.n")) / (100 + p))
+        return self.sized(a, b) & ((band < 0) | (differ <= most))
+
+    def verified(self, pairs: DataFrame, base: DataFrame, name: str) -> DataFrame:
+        """Those of the pairs (a, b) whose whole sets are similar enough.
+
+        Most pairs that only share a passage go by their sketches, before any set is moved.
+        """
+        brief = base.select("doc_id", "n", "band", "sketch", "next_sketch")
+        x, y = brief.alias("x"), brief.alias("y")
+        both = pairs.distinct().join(x, F.col("a") == F.col("x.doc_id")).join(y, F.col("b") == F.col("y.doc_id"))
+        pairs = self.stage.keep(both.where(self.possible("x", "y")).select("a", "b").distinct(), f"{name}-pairs")
         ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
         ids = self.stage.keep(ids, f"{name}-ids")
         sets = self.stage.keep(tokens(self.texts_of(ids), self.k), f"{name}-sets")
@@ -289,17 +335,40 @@ class JaccardJoin:
             self.stage.drop(f"{name}-{part}")
         return links
 
-    def across(self, members: DataFrame, comps: DataFrame) -> DataFrame | None:
+    def across(self, members: DataFrame, comps: DataFrame, base: DataFrame) -> DataFrame | None:
         """Pairs that share a subset and are not in one component yet, by allotted thresholds."""
         placed = members.join(comps, members.doc_id == comps.node, "left").select(
             "subset", "doc_id", F.coalesce("component", "doc_id").alias("comp")
         )
         placed = self.stage.keep(placed, "placed")
-        mixed_groups = placed.groupBy("subset").agg(F.min("comp").alias("c"), F.max("comp").alias("d")).where("c != d")
-        open_docs = placed.join(mixed_groups.select("subset"), "subset").select("doc_id", "comp").distinct()
-        open_docs = self.stage.keep(open_docs, "open")
-        if open_docs.isEmpty():
+        still_open = (
+            placed.groupBy("subset")
+            .agg(F.min("comp").alias("c"), F.max("comp").alias("d"), F.count("*").alias("rows"))
+            .where("c != d")
+            .select("subset", "rows")
+        )
+        shared = self.stage.keep(placed.join(still_open, "subset"), "shared")
+        if shared.isEmpty():
             return None
+        costs = shared.groupBy("doc_id", "comp").agg(F.sum(F.col("rows") - 1).alias("comparisons"))
+        costs = costs.join(base.select("doc_id", "n"), "doc_id").withColumn("cheap", F.col("comparisons") <= DIRECT * F.col("n"))
+        costs = self.stage.keep(costs.drop("comparisons"), "costs")
+        pairs = self.direct(shared, costs)
+        costly = self.stage.keep(costs.where("NOT cheap").select("doc_id", "comp").distinct(), "costly")
+        return pairs if costly.isEmpty() else pairs.union(self.allotted(costly))
+
+    def direct(self, shared: DataFrame, costs: DataFrame) -> DataFrame:
+        """Pairs of a set whose thresholds are all 0, which takes few comparisons, with any other."""
+        rows = shared.select("subset", "doc_id").join(costs, "doc_id")
+        x, y = rows.where("cheap").alias("x"), rows.alias("y")
+        apart = F.col("x.comp") != F.col("y.comp")
+        met = x.join(y, F.col("x.subset") == F.col("y.subset")).where(apart & self.sized("x", "y"))
+        return met.select(
+            F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")
+        ).distinct()
+
+    def allotted(self, open_docs: DataFrame) -> DataFrame:
+        """Pairs among sets that share subsets with many, each by the thresholds cheapest for it."""
         lists = neighbourhoods(self.texts_of(open_docs).select("doc_id", "text", "comp"), self.k, self.threshold)
         index = lists.select("doc_id", "comp", "scheme", "need", F.explode(F.arrays_zip("segment", "key", "deleted")).alias("x"))
         index = self.stage.keep(index.select("doc_id", "comp", "scheme", "need", "x.*").distinct(), "index")
@@ -355,16 +424,16 @@ class JaccardJoin:
         tiny = base.where("whole IS NOT NULL").join(copies.select("doc_id", *same), ["doc_id", *same], "left_anti")
         less = tiny.select(F.col("doc_id").alias("b"), F.explode("less_one").alias("whole"))
         nearly = tiny.select(F.col("doc_id").alias("a"), "whole").join(less, "whole").select("a", "b").where("a != b")
-        links = self.verified(star.union(nearly), "star")
+        links = self.verified(star.union(nearly), base, "star")
         comps = stage.keep(components(links, stage, "first"), "comps")
-        more = self.across(members.select("subset", "doc_id"), comps)
+        more = self.across(members.select("subset", "doc_id"), comps, base)
         edges = comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(
             copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
         )
         if more is not None:
-            edges = edges.union(self.verified(more, "across"))
+            edges = edges.union(self.verified(more, base, "across"))
         found = stage.keep(components(edges, stage, "all"), "found")
-        for part in ("copies", "members", "placed", "open", "index", "comps"):
+        for part in ("copies", "members", "placed", "shared", "costs", "costly", "index", "comps"):
             stage.drop(part)
         labelled = base.select("doc_id", "n").join(found, base.doc_id == found.node, "left")
         return labelled.select(

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's `spark.checkpoint.dir`; a local session without it gets its own folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -32,9 +35,17 @@ class Stage:
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write `df` and read it back: its lineage ends here and survives lost executors."""
+        """Write `df` and read it back: its lineage ends here and survives lost executors.
+
+        Once it is written nothing reads its shuffles again, so their files go with the query.
+        """
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
