@@ -7,10 +7,10 @@ sets agree on some segment up to its threshold: 0 asks for equal subsets, 1 for
 in one token, found by the neighbourhood of one deletion, and -1 leaves the segment out.
 
 1. Copies are collapsed by a digest of the set. Each set of a class's first document emits its first
-   H + 1 subsets (thresholds 0). Those who share one are held against the smallest of them, links are
+   H + 1 + e subsets (thresholds 0), so that linked sets share e + 1 of them. Those who share one are held against the smallest of them, links are
    verified on whole sets, and components formed. So a group of thousands of near copies costs a
    comparison each, not one per pair.
-2. Where sets that share a subset are still in different components, thresholds are allotted by
+2. Where sets that share e + 1 subsets are still in different components, thresholds are allotted by
    cost. A set whose shared subsets lead to few others keeps thresholds of 0 and is held against all
    of them. For the rest, all subsets and one-deletion neighbourhoods are counted, and each set puts
    its thresholds where they ask for the fewest comparisons. All pairs found across components are
@@ -37,7 +37,9 @@ from filing_signals.llm.words import byte_slices, mixed, split_words, window_has
 #: Sizes of a band grow by this factor.
 BAND_GROWTH = 1.6
 #: Segments per unit of the largest H of a band: some segments stay empty.
-SPARE = 1.15
+SPARE = 1.25
+#: A set emits one more subset for each so many units of its H; linked sets then share one more.
+MORE = 8
 #: Comparisons per token of a set up to which they cost less than its one-deletion neighbourhood.
 DIRECT = 1.0
 #: Ids of texts to fetch are broadcast up to this many (16 bytes each), and joined by shuffle beyond.
@@ -47,7 +49,7 @@ _SEGMENT = np.uint64(0x5851F42D4C957F2D)
 _SECOND = np.uint64(0xD1342543DE82EF95)
 
 SETS = (
-    "doc_id long, n long, d1 long, d2 long, subsets array<long>, whole long, less_one array<long>, "
+    "doc_id long, n long, d1 long, d2 long, subsets array<long>, need int, whole long, less_one array<long>, "
     "band int, sketch array<long>, next_sketch array<long>"
 )
 INDEX = "doc_id long, comp long, scheme int, need int, segment array<int>, key array<long>, deleted array<boolean>"
@@ -146,22 +148,28 @@ class Segments:
         np.add.at(sums, segment, self.values[self.sets.row(i)])
         return segment, sums, np.bincount(segment, minlength=m)
 
-    def first_subsets(self, i: int) -> np.ndarray:
-        """Keys of the first H + 1 filled segments, in each scheme.
+    def first_subsets(self, i: int) -> tuple[np.ndarray, int]:
+        """Keys of the first H + 1 + e filled segments in each scheme, and how many of its keys any
+        linked set shares at least: e + 1.
 
-        Of two linked sets that both fill so many, the first segment on which they agree is among
-        these for both. A set that fills fewer emits all segments, empty ones too; then either its
-        partner fills enough, or both emit all.
+        Of two linked sets that both fill so many, the first e + 1 segments on which they agree are
+        among these for both, as at most H filled segments of either come between. A set that fills
+        fewer emits all segments, empty ones too; a partner that fills enough still shares its
+        first e + 1 with it, and two such sets share one segment at least.
         """
         out = [np.zeros(0, np.uint64)]
         s = int(self.sets.offsets[i + 1] - self.sets.offsets[i])
-        need = self.threshold.most_differing(s) + 1
+        most = self.threshold.most_differing(s)
+        share = most // MORE + 1
+        need = most + share
         for scheme in self.schemes(s):
             _, sums, counts = self.split(i, scheme)
             filled = np.flatnonzero(counts)
-            chosen = filled[:need] if len(filled) >= need else np.arange(len(counts))
+            enough = len(filled) >= need
+            share = share if enough else 1
+            chosen = filled[:need] if enough else np.arange(len(counts))
             out.append(self.key(sums[chosen], scheme, chosen))
-        return np.concatenate(out)
+        return np.concatenate(out), share
 
     def neighbourhood(self, i: int, scheme: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(segment, key, whether a token is deleted) of all subsets and their one-deletions."""
@@ -215,9 +223,11 @@ def described(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
                     _signed(t[sets.offsets[1:]] - t[sets.offsets[:-1]])
                     for t in (total(segments.values), total(mixed(sets.tokens ^ _SECOND)))
                 ]
-                subsets, whole, less_one, band, sketches = [], [], [], [], ([], [])
+                subsets, need, whole, less_one, band, sketches = [], [], [], [], [], ([], [])
                 for i in range(len(sets)):
-                    subsets.append(_signed(segments.first_subsets(i)))
+                    keys, share = segments.first_subsets(i)
+                    subsets.append(_signed(keys))
+                    need.append(share)
                     tiny = 0 < n[i] <= segments.tiny
                     own, less = segments.whole(i) if tiny else (0, np.zeros(0, np.uint64))
                     whole.append(int(np.uint64(own).view(np.int64)) if tiny else None)
@@ -230,10 +240,10 @@ def described(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(row, len(sets)), pa.array(n), *map(pa.array, digests),
-                        _lists(subsets, pa.int64()), pa.array(whole, pa.int64()), _lists(less_one, pa.int64()),
+                        _lists(subsets, pa.int64()), pa.array(need, pa.int32()), pa.array(whole, pa.int64()), _lists(less_one, pa.int64()),
                         pa.array(band, pa.int32()), *(_lists(s, pa.int64()) for s in sketches),
                     ],
-                    names=["doc_id", "n", "d1", "d2", "subsets", "whole", "less_one", "band", "sketch", "next_sketch"],
+                    names=["doc_id", "n", "d1", "d2", "subsets", "need", "whole", "less_one", "band", "sketch", "next_sketch"],
                 )
 
     return docs.mapInArrow(run, SETS)
@@ -341,13 +351,19 @@ class JaccardJoin:
             "subset", "doc_id", F.coalesce("component", "doc_id").alias("comp")
         )
         placed = self.stage.keep(placed, "placed")
-        still_open = (
-            placed.groupBy("subset")
-            .agg(F.min("comp").alias("c"), F.max("comp").alias("d"), F.count("*").alias("rows"))
-            .where("c != d")
-            .select("subset", "rows")
-        )
-        shared = self.stage.keep(placed.join(still_open, "subset"), "shared")
+        needed = base.groupBy("doc_id").agg(F.min("need").alias("need"))
+
+        def still_open(rows: DataFrame) -> DataFrame:
+            groups = rows.groupBy("subset").agg(
+                F.min("comp").alias("c"), F.max("comp").alias("d"), F.count("*").alias("rows")
+            )
+            return rows.join(groups.where("c != d").select("subset", "rows"), "subset")
+
+        # a set that shares fewer open subsets than any link of it would is done
+        first = self.stage.keep(still_open(placed), "first-shared")
+        enough = first.groupBy("doc_id").agg(F.countDistinct("subset").alias("has")).join(needed, "doc_id").where("has >= need")
+        left = first.drop("rows").join(enough.select("doc_id"), "doc_id", "left_semi")
+        shared = self.stage.keep(still_open(left), "shared")
         if shared.isEmpty():
             return None
         costs = shared.groupBy("doc_id", "comp").agg(F.sum(F.col("rows") - 1).alias("comparisons"))
@@ -433,7 +449,7 @@ class JaccardJoin:
         if more is not None:
             edges = edges.union(self.verified(more, base, "across"))
         found = stage.keep(components(edges, stage, "all"), "found")
-        for part in ("copies", "members", "placed", "shared", "costs", "costly", "index", "comps"):
+        for part in ("copies", "members", "placed", "first-shared", "shared", "costs", "costly", "index", "comps"):
             stage.drop(part)
         labelled = base.select("doc_id", "n").join(found, base.doc_id == found.node, "left")
         return labelled.select(
