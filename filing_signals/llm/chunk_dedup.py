@@ -26,7 +26,7 @@ CUT_BITS = 5
 #: Longer stretches without a cut are cut at this many bytes after the last.
 LONGEST_CHUNK = 1024
 
-CHUNKS = "doc_id long, row long, nth int, start long, length int, h1 long, h2 long"
+CHUNKS = "doc_id long, row long, start long, length int, h1 long, h2 long"
 
 _GEAR = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASES = (np.uint64(0x100000001B3), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -56,12 +56,12 @@ def _digests(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> list[
 
 
 def chunked(texts: pa.Array, bits: int = CUT_BITS) -> dict[str, np.ndarray]:
-    """Chunks of texts without nulls: row, nth, start and length in characters, h1, h2."""
+    """Chunks of texts without nulls: row, start and length in characters, h1, h2."""
     offsets, data = raw_bytes(texts)
     data = data[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
     if not len(data):
-        return {c: np.zeros(0, np.int64) for c in ("row", "nth", "start", "length", "h1", "h2")}
+        return {c: np.zeros(0, np.int64) for c in ("row", "start", "length", "h1", "h2")}
     filled = np.flatnonzero(np.diff(offsets))
     first = offsets[:-1][filled]
     cut = gear_cuts(data, bits)
@@ -85,7 +85,6 @@ def chunked(texts: pa.Array, bits: int = CUT_BITS) -> dict[str, np.ndarray]:
     begin = characters[starts]
     return {
         "row": row,
-        "nth": np.arange(len(row)) - np.searchsorted(row, row),
         "start": begin - characters[offsets[row]],
         "length": characters[ends] - begin,
         "h1": h1.view(np.int64),
@@ -103,10 +102,10 @@ def chunks(docs: DataFrame, bits: int = CUT_BITS) -> DataFrame:
                 at = pa.array(c["row"] + row)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(at), batch.column(1).take(at), pa.array(c["nth"].astype(np.int32)),
-                        pa.array(c["start"]), pa.array(c["length"].astype(np.int32)), pa.array(c["h1"]), pa.array(c["h2"]),
+                        batch.column(0).take(at), batch.column(1).take(at), pa.array(c["start"]),
+                        pa.array(c["length"].astype(np.int32)), pa.array(c["h1"]), pa.array(c["h2"]),
                     ],
-                    names=["doc_id", "row", "nth", "start", "length", "h1", "h2"],
+                    names=["doc_id", "row", "start", "length", "h1", "h2"],
                 )
 
     given = docs.where(F.col("doc_id").isNotNull()).select(
@@ -134,16 +133,19 @@ def repeated_passages(docs: DataFrame, least_chars: int = 150, bits: int = CUT_B
         .where("first_doc_id != last")
         .drop("last")
     )
-    hits = every.join(shared, ["h1", "h2"]).select("doc_id", "row", "nth", "start", "length", "first_doc_id").distinct()
-    # runs of one text: consecutive numbers have one difference to their rank
-    rank = F.row_number().over(Window.partitionBy("doc_id", "row").orderBy("nth"))
+    end = (F.col("start") + F.col("length")).alias("end")
+    hits = every.join(shared, ["h1", "h2"]).select("doc_id", "row", "start", end, "first_doc_id")
+    # a run goes on while a chunk starts where the one before it ends
+    along = Window.partitionBy("doc_id", "row").orderBy("start")
+    gap = F.coalesce(F.col("start") > F.lag("end").over(along), F.lit(True)).cast("int")
     runs = (
-        hits.withColumn("run", F.col("nth") - rank)
+        hits.withColumn("gap", gap)
+        .withColumn("run", F.sum("gap").over(along))
         .groupBy("doc_id", "row", "run")
         .agg(
             F.min("start").alias("start"),
-            F.max(F.col("start") + F.col("length")).alias("end"),
-            F.count("*").alias("n_chunks"),
+            F.max("end").alias("end"),
+            F.countDistinct("start").alias("n_chunks"),
             F.min("first_doc_id").alias("first_doc_id"),
         )
         .where(F.col("end") - F.col("start") >= least_chars)
