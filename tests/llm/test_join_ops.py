@@ -127,6 +127,47 @@ def test_repeated_passages_wherever_they_stand(spark):
     assert {x.doc_id: x.t for x in less.collect()} == {i: t[:2] + t[5:] for i, t in texts.items()}
 
 
+def test_passages_with_different_first_holders(spark):
+    r = random.Random(8)
+    one, two = prose(r, 90), prose(r, 90)
+    both = one + "\n" + two
+    # text 1 has short parts of both passages, though no passage
+    bits = " ".join(both[i : i + 40] for i in range(0, len(both), 60))
+    texts = {1: bits, 2: prose(r, 50) + "\n" + one, 3: two + "\n" + prose(r, 50), 4: both, 5: both}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = chunk_dedup.repeated_passages(docs).collect()
+    assert {x.doc_id for x in out} == {2, 3, 4, 5}
+    for i, t in texts.items():
+        places = {k: x.first_doc_id for x in out if x.doc_id == i for k in range(x.start, x.end)}
+        assert all(x.kept == (x.first_doc_id == i) for x in out if x.doc_id == i)
+        for part, first in ((one, 2), (two, 3)):
+            at = t.find(part)
+            if i > 1 and at >= 0:
+                own = [places.get(k) for k in range(at, at + len(part))]
+                assert own.count(first) > 0.6 * len(part) and own[len(own) // 2] == first
+
+
+def test_op4_keeps_one_copy(spark):
+    texts = dict(pairs(spark.read.parquet(f"{SF}/documents.parquet")))
+    first = {}
+    for x in QUERIES["op4_chunk_dedup"](spark, SF).collect():
+        first.setdefault(x.doc_id, {}).update(dict.fromkeys(range(x.start, x.end), x.first_doc_id))
+    groups = {}
+    for i, t in texts.items():
+        groups.setdefault(t, []).append(i)
+    groups = {t: ids for t, ids in groups.items() if len(t or "") >= 300 and len(ids) > 1}
+    assert groups
+    for t, ids in groups.items():
+        for k in range(len(t)):
+            holders = {first[i].get(k) for i in ids}
+            assert len(holders) == 1
+        own = list(first[ids[0]].values())
+        assert own and max(own) <= min(ids) and (set(own) != {min(ids)} or len(own) == len(t))
+        for i in set(own) - {min(ids)}:  # an earlier text has a passage of this one
+            own = sorted(k for k, h in first[ids[0]].items() if h == i)
+            assert t[own[0] : own[0] + 50] in texts[i]
+
+
 def test_chunks_cover_texts(spark):
     docs = brute.awkward(spark).where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
     found = {}
