@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filing_signals.functions.text import bind
@@ -20,7 +20,7 @@ from filing_signals.llm.staging import Stage
 # What fills a slot. Placeholders are control characters, which are taken out of the
 # texts first; a name is a capitalised word that does not start a sentence or line.
 _NUMBER, _NAME, _UNIT = "\x01", "\x02", "\x03"
-_PLACEHOLDERS = r"[\x01-\x03]"
+_SLOTS = ((_NUMBER, "numbers"), (_NAME, "names"), (_UNIT, "units"))
 NUMBER = r"(?<![\p{L}\p{N}])[0-9]+(?:[.,:/][0-9]+)*(?![\p{L}\p{N}])"
 NAME = r"(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
 UNIT = (
@@ -82,28 +82,26 @@ def windows(tokens: Column, sizes: list[int]) -> Column:
     return bind(F.transform(tokens, lambda t: F.xxhash64(t)), lambda h: F.concat(*(of_size(h, n) for n in sizes)))
 
 
-def _windowed(given: DataFrame, key: str, sizes: list[int]) -> DataFrame:
-    return given.select(key, F.explode(windows(templates(F.col("text")), sizes)).alias("w")).select(key, "w.*")
+def _windowed(given: DataFrame, key: list[str], sizes: list[int]) -> DataFrame:
+    return given.select(*key, F.explode(windows(templates(F.col("text")), sizes)).alias("w")).select(*key, "w.*")
 
 
-def _slot_values(given: DataFrame, key: str) -> DataFrame:
-    """(key, pos, kind, value) of every slot."""
-    place = given.select(key, templates(F.col("text")).alias("t"), slots(F.col("text")).alias("s"))
-    kinds = place.select(key, "s", F.posexplode("t").alias("pos", "kind")).where(F.col("kind").rlike(_PLACEHOLDERS))
-    order = F.row_number().over(_within(key, "kind"))
-    ranked = kinds.withColumn("nth", order)
-    value = (
-        F.when(F.col("kind") == _NUMBER, F.get("s.numbers", F.col("nth") - 1))
-        .when(F.col("kind") == _NAME, F.get("s.names", F.col("nth") - 1))
-        .otherwise(F.get("s.units", F.col("nth") - 1))
-    )
-    return ranked.select(key, "pos", "kind", value.alias("value"))
+def _slot_values(given: DataFrame, key: list[str]) -> DataFrame:
+    """(key, pos, kind, value) of every slot, numbered within its own text."""
+
+    def filled(place: Column) -> Column:
+        at = F.transform(place["t"], lambda t, i: F.struct(i.alias("pos"), t.alias("kind")))
+        return F.concat(*(of_kind(at, place["s"][name], kind) for kind, name in _SLOTS))
 
+    def of_kind(at: Column, values: Column, kind: str) -> Column:
+        one = lambda x, nth: F.struct(x["pos"].alias("pos"), x["kind"].alias("kind"), F.get(values, nth).alias("value"))
+        return F.transform(F.filter(at, lambda x: x["kind"] == kind), one)
 
-def _within(*keys: str) -> WindowSpec:
+    place = F.struct(templates(F.col("text")).alias("t"), slots(F.col("text")).alias("s"))
+    return given.select(*key, F.inline(bind(place, filled))).distinct()
 
 
-    return Window.partitionBy(*keys).orderBy("pos")
+_DOC, _ITEM = ["doc_id", "doc_text"], ["item_id", "item_text"]
 
 
 class Decontamination:
@@ -111,8 +109,10 @@ class Decontamination:
 
     def __init__(self, docs: DataFrame, benchmark: DataFrame, s: Settings, stage: Stage):
         self.s, self.stage = s, stage
-        self.docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        items = benchmark.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text")
+        # the digest of a text tells apart those that come under one id
+        given = lambda t, i, of: t.where(F.col(i).isNotNull()).select(F.col(i).cast("long").alias(i), F.xxhash64("text").alias(of), "text")
+        self.docs = given(docs, "doc_id", "doc_text")
+        items = given(benchmark, "item_id", "item_text").distinct()
         sized = items.withColumn("tokens", F.size(templates(F.col("text")))).where("tokens > 0")
         self.items = stage.keep(sized.withColumn("size", F.least("tokens", F.lit(s.window))), "items")
 
@@ -121,36 +121,37 @@ class Decontamination:
         return F.broadcast(df) if df.count() <= self.s.broadcast_rows else df
 
     def hits(self) -> DataFrame:
-        """(doc_id, item_id, pos, item_pos) of windows that a document and an item share."""
+        """(doc_id, doc_text, item_id, item_text, size, pos, item_pos) of windows that a document and an item share."""
         sizes = sorted(r["size"] for r in self.items.select("size").distinct().collect())  # at most `window`
         sizes = sizes or [self.s.window]  # no items, no hits
-        own = _windowed(self.items, "item_id", sizes).join(self.items.select("item_id", "size"), ["item_id", "size"])
-        plain = self.stage.keep(own.select("item_id", F.col("pos").alias("item_pos"), "size", "hash").distinct(), "windows")
-        found = _windowed(self.docs, "doc_id", sizes).join(self.small(plain), ["size", "hash"])
-        return found.select("doc_id", "item_id", "size", "pos", "item_pos").distinct()
+        own = _windowed(self.items, _ITEM, sizes).join(self.items.select(*_ITEM, "size"), [*_ITEM, "size"])
+        plain = self.stage.keep(own.select(*_ITEM, F.col("pos").alias("item_pos"), "size", "hash").distinct(), "windows")
+        found = _windowed(self.docs, _DOC, sizes).join(self.small(plain), ["size", "hash"])
+        return found.select(*_DOC, *_ITEM, "size", "pos", "item_pos").distinct()
 
     def leaks(self) -> DataFrame:
         hits = self.stage.keep(self.hits(), "hits")
-        total = self.items.select("item_id", (F.col("tokens") - F.col("size") + 1).cast("long").alias("n_windows"))
-        per_pair = hits.groupBy("doc_id", "item_id").agg(F.countDistinct("item_pos").alias("n_matched"))
+        pair = ["doc_id", *_ITEM]
+        total = self.items.select(*_ITEM, (F.col("tokens") - F.col("size") + 1).cast("long").alias("n_windows"))
+        per_pair = hits.groupBy(*pair).agg(F.countDistinct("item_pos").alias("n_matched"))
         enough = F.col("n_matched") >= self.s.coverage * F.col("n_windows")
-        likely = self.stage.keep(per_pair.join(total, "item_id").where(enough).select("doc_id", "item_id", "n_windows"), "likely")
+        likely = self.stage.keep(per_pair.join(total, _ITEM).where(enough).select(*pair, "n_windows"), "likely")
         # slots of likely documents and items, side by side along each way they line up
         of_docs = self.docs.join(self.small(self.stage.keep(likely.select("doc_id").distinct(), "likely-docs")), "doc_id")
-        doc_slots = _slot_values(of_docs, "doc_id").withColumnRenamed("value", "doc_value")
-        item_slots = _slot_values(self.items.select("item_id", "text"), "item_id").select(
-            "item_id", F.col("pos").alias("item_pos"), F.col("kind").alias("item_kind"), "value"
+        doc_slots = _slot_values(of_docs, _DOC).drop("kind").withColumnRenamed("value", "doc_value")
+        item_slots = _slot_values(self.items.select(*_ITEM, "text"), _ITEM).select(
+            *_ITEM, F.col("pos").alias("item_pos"), F.col("kind").alias("item_kind"), "value"
         )
-        lined = hits.join(likely, ["doc_id", "item_id"]).withColumn("shift", F.col("pos") - F.col("item_pos"))
+        lined = hits.join(likely, pair).withColumn("shift", F.col("pos") - F.col("item_pos"))
+        place = [*_DOC, *_ITEM, "shift"]
         covered = lined.select(
-            "doc_id", "item_id", "shift", F.explode(F.sequence("item_pos", F.col("item_pos") + F.col("size") - 1)).alias("item_pos")
+            *place, F.explode(F.sequence("item_pos", F.col("item_pos") + F.col("size") - 1)).alias("item_pos")
         ).distinct()
         filled = (
-            covered.join(item_slots, ["item_id", "item_pos"])
+            covered.join(item_slots, [*_ITEM, "item_pos"])
             .withColumn("pos", F.col("item_pos") + F.col("shift"))
-            .join(doc_slots, ["doc_id", "pos"], "left")
+            .join(doc_slots, [*_DOC, "pos"], "left")
         )
-        place = ["doc_id", "item_id", "shift"]
         per_value = filled.groupBy(*place, "item_kind", "value").agg(
             F.count("*").alias("n"),
             F.countDistinct("doc_value").alias("values"),
@@ -160,15 +161,16 @@ class Decontamination:
             (F.max("values") <= 1).alias("consistent"), F.sum("n").alias("n_slots"), F.sum("other").alias("n_changed")
         )
         judged = lined.join(consistency, place, "left").where(F.coalesce("consistent", F.lit(True)))
-        slots_of = judged.select(*place, "n_slots", "n_changed").distinct().groupBy("doc_id", "item_id").agg(
+        slots_of = judged.select(*place, "n_slots", "n_changed").distinct().groupBy(*pair).agg(
             F.coalesce(F.sum("n_slots"), F.lit(0)).alias("n_slots"), F.coalesce(F.sum("n_changed"), F.lit(0)).alias("n_changed")
         )
-        return (
-            judged.groupBy("doc_id", "item_id", "n_windows")
-            .agg(F.countDistinct("item_pos").alias("n_matched"))
-            .where(enough)
-            .join(slots_of, ["doc_id", "item_id"])
-            .select("doc_id", "item_id", "n_windows", "n_matched", "n_slots", "n_changed")
+        found = (
+            judged.groupBy(*pair, "n_windows").agg(F.countDistinct("item_pos").alias("n_matched")).where(enough).join(slots_of, pair)
+        )
+        # of several texts of one item the one that is found the most
+        most = F.struct(F.col("n_matched") / F.col("n_windows"), "n_windows", "n_matched", "n_slots", "n_changed")
+        return found.groupBy("doc_id", "item_id").agg(F.max(most).alias("m")).select(
+            "doc_id", "item_id", "m.n_windows", "m.n_matched", "m.n_slots", "m.n_changed"
         )
 
 
@@ -179,7 +181,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()
     document, in places where the slots are consistent. `n_changed` of `n_slots` compared slots hold
     another value than the item's: 0 is a copy, more a re-parameterised question. Items shorter than
     the window are matched whole. Null and empty texts, rows without an id and empty tables match
-    nothing; rows that repeat an id are read as one document. Other columns are not read. Jobs run,
+    nothing. Rows that repeat a document's id are one document, whose texts are lined up apart; of
+    different texts under one item's id the one found the most is reported. Other columns are not read. Jobs run,
     and tables are written to the shared folder, when this is called.
     """
     return Decontamination(docs, benchmark, s, Stage(docs.sparkSession, "decontamination")).leaks()

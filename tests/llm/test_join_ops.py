@@ -214,6 +214,18 @@ def test_templates_find_changed_questions(spark):
     assert found[1, 1].n_changed == 0 and found[3, 1].n_changed >= 4
 
 
+def test_repeated_rows_keep_their_own_slots(spark):
+    item = "there are 12 boxes and 7 crates and 31 barrels on the way from Rome to Oslo and then to Cairo today"
+    other = item.replace("12", "4").replace("31", "8").replace("Oslo", "Lima")
+    docs = [(1, f"so {item} x"), (1, f"so {item} x"), (2, f"so {item} x"), (2, f"so {other} x"), (3, f"so {other} y"), (4, "none of it")]
+    bench = [(1, item), (1, item), (2, ITEM), (2, item)]
+    found = decontamination.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")
+    ).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(d, i) for d in (1, 2, 3) for i in (1, 2)]
+    assert {(r.doc_id, r.n_slots, r.n_changed) for r in found} == {(1, 6, 0), (2, 12, 3), (3, 6, 3)}
+
+
 def test_op7_finds_planted_passages(spark):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     items = {r.item_id: r.text for r in bench.collect()}
