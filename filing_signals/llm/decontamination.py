@@ -9,6 +9,7 @@ of the document, otherwise the place only looks alike and does not count.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,17 +19,20 @@ from filing_signals.functions.text import bind
 from filing_signals.llm.staging import Stage
 
 # What fills a slot. Placeholders are control characters, which are taken out of the
-# texts first; a name is a capitalised word that does not start a sentence or line.
-_NUMBER, _NAME, _UNIT = "\x01", "\x02", "\x03"
-_SLOTS = ((_NUMBER, "numbers"), (_NAME, "names"), (_UNIT, "units"))
+# texts first. In the strict form a name is a capitalised word that does not start a sentence or line;
+# in the loose form it is any capitalised word, whatever stands before it. Those that only the loose form
+# takes for names are marked. The slots decide where the loose form is too loose.
+_NUMBER, _NAME, _UNIT, _MARK = "\x01", "\x02", "\x03", "\x04"
+STRICT, LOOSE = 1, 2
 NUMBER = r"(?<![\p{L}\p{N}])[0-9]+(?:[.,:/][0-9]+)*(?![\p{L}\p{N}])"
 NAME = r"(?<=[\p{Ll}\p{N},;] )\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
+ANY_NAME = r"(?<![\p{L}\p{N}])\p{Lu}\p{Ll}+(?![\p{L}\p{N}])"
 UNIT = (
     r"(?<=[0-9]) ?(?:%|°C|°F|(?:km|cm|mm|nm|kg|mg|g|m|lb|oz|ft|mi|l|ml|s|ms|h|min|kW|W|V|A|Hz|kHz|MHz|GB|MB|kB"
     r"|metres?|meters?|miles?|feet|foot|inch(?:es)?|grams?|kilograms?|pounds?|litres?|liters?|seconds?|minutes?|hours?"
     r"|days?|weeks?|months?|years?|dollars?|euros?|cents?|percent|degrees?)(?![\p{L}\p{N}]))"
 )
-_BETWEEN = r"[^\p{L}\p{N}\x01-\x03]+"
+_BETWEEN = r"[^\p{L}\p{N}\x01-\x04]+"
 
 
 @dataclass(frozen=True)
@@ -45,19 +49,36 @@ class Settings:
 
 
 def _unslotted(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), _NUMBER + _NAME + _UNIT, "   ")
+    return F.translate(F.coalesce(text, F.lit("")), _NUMBER + _NAME + _UNIT + _MARK, "    ")
 
 
-def templates(text: Column) -> Column:
-    """Template tokens of a text, as an array of strings."""
+def marked(text: Column) -> Column:
+    """Template tokens of a text, as an array of strings, with those marked that are loose names."""
     c = F.regexp_replace(_unslotted(text), UNIT, f" {_UNIT} ")
-    c = F.regexp_replace(F.regexp_replace(c, NAME, _NAME), NUMBER, f" {_NUMBER} ")
+    c = F.regexp_replace(F.regexp_replace(c, NAME, _NAME), ANY_NAME, f"{_MARK}$0")
+    c = F.regexp_replace(c, NUMBER, f" {_NUMBER} ")
     tokens = F.split(F.lower(c), _BETWEEN, -1)
     return F.array_remove(tokens, "")
 
 
+def _strict(token: Column) -> Column:
+    return F.ltrim(token, F.lit(_MARK))
+
+
+def _loose(token: Column) -> Column:
+    return F.when(F.startswith(token, F.lit(_MARK)), _NAME).otherwise(token)
+
+
+def templates(text: Column) -> Column:
+    """Template tokens of a text in the strict form."""
+    return F.transform(marked(text), _strict)
+
+
 def slots(text: Column) -> Column:
-    """Values in the slots of a text by type: three arrays in the order of the placeholders."""
+    """Values in the slots of a text by type: arrays in the order of the placeholders.
+
+    `names` are those of the strict form, `any_names` those of the loose form.
+    """
     c = _unslotted(text)
     every = lambda c, p: F.regexp_extract_all(c, F.lit(p), 0)
     less_units = F.regexp_replace(c, UNIT, f" {_UNIT} ")
@@ -65,39 +86,68 @@ def slots(text: Column) -> Column:
     return F.struct(
         F.transform(every(less_names, NUMBER), F.lower).alias("numbers"),
         F.transform(every(less_units, NAME), F.lower).alias("names"),
+        F.transform(every(less_units, ANY_NAME), F.lower).alias("any_names"),
         F.transform(every(c, UNIT), lambda u: F.lower(F.trim(u))).alias("units"),
     )
 
 
 def windows(tokens: Column, sizes: list[int]) -> Column:
-    """(pos, size, hash) of the windows of each size over template tokens."""
+    """(pos, size, hash, forms) of the windows of each size over marked tokens.
 
-    def of_size(hashes: Column, n: int) -> Column:
-        one = lambda i: F.struct(
-            i.alias("pos"), F.lit(n).alias("size"), F.xxhash64(F.slice(hashes, i + 1, F.lit(n))).alias("hash")
+    `forms` is STRICT, LOOSE or, for one row where they do not differ, the sum of both.
+    """
+
+    def of_size(h: Column, n: int) -> Column:
+        def one(hashes: Column, forms: int, i: Column) -> Column:
+            value = F.xxhash64(F.slice(hashes, i + 1, F.lit(n)))
+            return F.struct(i.alias("pos"), F.lit(n).alias("size"), value.alias("hash"), F.lit(forms).alias("forms"))
+
+        # starts of windows with a marked token
+        near = lambda at: F.sequence(F.greatest(at - n + 1, F.lit(0)), F.least(at, F.size(h["strict"]) - n))
+        differ = F.array_distinct(F.flatten(F.transform(h["marks"], near)))
+        none = F.array().cast("array<struct<pos:int,size:int,hash:bigint,forms:int>>")
+
+        def both(differ: Column) -> Column:
+            same = F.array_except(F.sequence(F.lit(0), F.size(h["strict"]) - n), differ)
+            return F.concat(
+                F.transform(same, lambda i: one(h["strict"], STRICT | LOOSE, i)),
+                F.transform(differ, lambda i: one(h["strict"], STRICT, i)),
+                F.transform(differ, lambda i: one(h["loose"], LOOSE, i)),
+            )
+
+        return F.when(F.size(h["strict"]) >= n, bind(differ, both)).otherwise(none)
+
+    def hashed(t: Column) -> Column:
+        at = F.transform(t, lambda x, i: F.when(F.startswith(x, F.lit(_MARK)), i))
+        return F.struct(
+            F.transform(t, lambda x: F.xxhash64(_strict(x))).alias("strict"),
+            F.transform(t, lambda x: F.xxhash64(_loose(x))).alias("loose"),
+            F.filter(at, lambda i: i.isNotNull()).alias("marks"),
         )
-        none = F.array().cast("array<struct<pos:int,size:int,hash:bigint>>")
-        return F.when(F.size(hashes) >= n, F.transform(F.sequence(F.lit(0), F.size(hashes) - n), one)).otherwise(none)
 
-    return bind(F.transform(tokens, lambda t: F.xxhash64(t)), lambda h: F.concat(*(of_size(h, n) for n in sizes)))
+    return bind(bind(tokens, hashed), lambda h: F.concat(*(of_size(h, n) for n in sizes)))
 
 
 def _windowed(given: DataFrame, key: list[str], sizes: list[int]) -> DataFrame:
-    return given.select(*key, F.explode(windows(templates(F.col("text")), sizes)).alias("w")).select(*key, "w.*")
+    return given.select(*key, F.explode(windows(marked(F.col("text")), sizes)).alias("w")).select(*key, "w.*")
 
 
 def _slot_values(given: DataFrame, key: list[str]) -> DataFrame:
-    """(key, pos, kind, value) of every slot, numbered within its own text."""
+    """(key, form, pos, kind, value) of every slot, numbered within its own text."""
 
     def filled(place: Column) -> Column:
-        at = F.transform(place["t"], lambda t, i: F.struct(i.alias("pos"), t.alias("kind")))
-        return F.concat(*(of_kind(at, place["s"][name], kind) for kind, name in _SLOTS))
+        return F.concat(*(of_form(place, *form) for form in ((STRICT, _strict, "names"), (LOOSE, _loose, "any_names"))))
+
+    def of_form(place: Column, form: int, token: Callable[[Column], Column], names: str) -> Column:
+        at = F.transform(place["t"], lambda t, i: F.struct(F.lit(form).alias("form"), i.alias("pos"), token(t).alias("kind")))
+        values = {_NUMBER: "numbers", _NAME: names, _UNIT: "units"}
+        return F.concat(*(of_kind(at, place["s"][name], kind) for kind, name in values.items()))
 
     def of_kind(at: Column, values: Column, kind: str) -> Column:
-        one = lambda x, nth: F.struct(x["pos"].alias("pos"), x["kind"].alias("kind"), F.get(values, nth).alias("value"))
+        one = lambda x, nth: F.struct(*(x[c].alias(c) for c in ("form", "pos", "kind")), F.get(values, nth).alias("value"))
         return F.transform(F.filter(at, lambda x: x["kind"] == kind), one)
 
-    place = F.struct(templates(F.col("text")).alias("t"), slots(F.col("text")).alias("s"))
+    place = F.struct(marked(F.col("text")).alias("t"), slots(F.col("text")).alias("s"))
     return given.select(*key, F.inline(bind(place, filled))).distinct()
 
 
@@ -121,13 +171,15 @@ class Decontamination:
         return F.broadcast(df) if df.count() <= self.s.broadcast_rows else df
 
     def hits(self) -> DataFrame:
-        """(doc_id, doc_text, item_id, item_text, size, pos, item_pos) of windows that a document and an item share."""
+        """(doc_id, doc_text, item_id, item_text, form, size, pos, item_pos) of windows that a document and an item share in a form."""
         sizes = sorted(r["size"] for r in self.items.select("size").distinct().collect())  # at most `window`
         sizes = sizes or [self.s.window]  # no items, no hits
         own = _windowed(self.items, _ITEM, sizes).join(self.items.select(*_ITEM, "size"), [*_ITEM, "size"])
-        plain = self.stage.keep(own.select(*_ITEM, F.col("pos").alias("item_pos"), "size", "hash").distinct(), "windows")
+        plain = self.stage.keep(own.select(*_ITEM, F.col("pos").alias("item_pos"), "size", "hash", F.col("forms").alias("item_forms")).distinct(), "windows")
         found = _windowed(self.docs, _DOC, sizes).join(self.small(plain), ["size", "hash"])
-        return found.select(*_DOC, *_ITEM, "size", "pos", "item_pos").distinct()
+        forms = F.col("forms").bitwiseAND(F.col("item_forms"))
+        each = F.filter(F.array(F.lit(STRICT), F.lit(LOOSE)), lambda f: forms.bitwiseAND(f) != 0)
+        return found.select(*_DOC, *_ITEM, F.explode(each).alias("form"), "size", "pos", "item_pos").distinct()
 
     def leaks(self) -> DataFrame:
         hits = self.stage.keep(self.hits(), "hits")
@@ -140,17 +192,17 @@ class Decontamination:
         of_docs = self.docs.join(self.small(self.stage.keep(likely.select("doc_id").distinct(), "likely-docs")), "doc_id")
         doc_slots = _slot_values(of_docs, _DOC).drop("kind").withColumnRenamed("value", "doc_value")
         item_slots = _slot_values(self.items.select(*_ITEM, "text"), _ITEM).select(
-            *_ITEM, F.col("pos").alias("item_pos"), F.col("kind").alias("item_kind"), "value"
+            *_ITEM, "form", F.col("pos").alias("item_pos"), F.col("kind").alias("item_kind"), "value"
         )
         lined = hits.join(likely, pair).withColumn("shift", F.col("pos") - F.col("item_pos"))
-        place = [*_DOC, *_ITEM, "shift"]
+        place = [*_DOC, *_ITEM, "form", "shift"]
         covered = lined.select(
             *place, F.explode(F.sequence("item_pos", F.col("item_pos") + F.col("size") - 1)).alias("item_pos")
         ).distinct()
         filled = (
-            covered.join(item_slots, [*_ITEM, "item_pos"])
+            covered.join(item_slots, [*_ITEM, "form", "item_pos"])
             .withColumn("pos", F.col("item_pos") + F.col("shift"))
-            .join(doc_slots, [*_DOC, "pos"], "left")
+            .join(doc_slots, [*_DOC, "form", "pos"], "left")
         )
         per_value = filled.groupBy(*place, "item_kind", "value").agg(
             F.count("*").alias("n"),
@@ -161,8 +213,11 @@ class Decontamination:
             (F.max("values") <= 1).alias("consistent"), F.sum("n").alias("n_slots"), F.sum("other").alias("n_changed")
         )
         judged = lined.join(consistency, place, "left").where(F.coalesce("consistent", F.lit(True)))
-        slots_of = judged.select(*place, "n_slots", "n_changed").distinct().groupBy(*pair).agg(
-            F.coalesce(F.sum("n_slots"), F.lit(0)).alias("n_slots"), F.coalesce(F.sum("n_changed"), F.lit(0)).alias("n_changed")
+        # slots of a place by the form that has more of its windows, by the strict one if both have all
+        of_form = judged.groupBy(*place, "n_slots", "n_changed").agg(F.countDistinct("item_pos").alias("n_here"))
+        fullest = F.max(F.struct("n_here", -F.col("form"), "n_slots", "n_changed")).alias("p")
+        slots_of = of_form.groupBy(*_DOC, *_ITEM, "shift").agg(fullest).groupBy(*pair).agg(
+            F.coalesce(F.sum("p.n_slots"), F.lit(0)).alias("n_slots"), F.coalesce(F.sum("p.n_changed"), F.lit(0)).alias("n_changed")
         )
         found = (
             judged.groupBy(*pair, "n_windows").agg(F.countDistinct("item_pos").alias("n_matched")).where(enough).join(slots_of, pair)
@@ -178,7 +233,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()
     """(doc_id, item_id, n_windows, n_matched, n_slots, n_changed): items found in documents.
 
     A pair is reported when at least `s.coverage` of the item's template windows occur in the
-    document, in places where the slots are consistent. `n_changed` of `n_slots` compared slots hold
+    document, in places where the slots are consistent, by the strict or the loose form of names. `n_changed` of `n_slots` compared slots hold
     another value than the item's: 0 is a copy, more a re-parameterised question. Items shorter than
     the window are matched whole. Null and empty texts, rows without an id and empty tables match
     nothing. Rows that repeat a document's id are one document, whose texts are lined up apart; of

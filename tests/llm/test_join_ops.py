@@ -226,6 +226,19 @@ def test_repeated_rows_keep_their_own_slots(spark):
     assert {(r.doc_id, r.n_slots, r.n_changed) for r in found} == {(1, 6, 0), (2, 12, 3), (3, 6, 3)}
 
 
+def test_names_that_start_sentences_are_slots(spark):
+    item = "Tom has 5 apples. Anna has 7 pears. Bert wants\nMr. Jones to buy  Clara some figs. Doris then eats 3 of them. How many are left?"
+    names = {"Tom": "Ivo", "Anna": "Maria", "Bert": "Kurt", "Jones": "Miller", "Clara": "Lena", "Doris": "Ruth"}
+    changed = item
+    for a, b in names.items():
+        changed = changed.replace(a, b)
+    bench = [(1, item), (2, "Small items count too")]
+    texts = [f"and so {changed} yes", "we saw Small items count too", "we saw small items count too", item, f"x {item.lower()} y", prose(random.Random(4), 50) + ". Eve said."]
+    found = leaks(spark, texts, bench)
+    assert set(found) == {(0, 1), (1, 2), (2, 2), (3, 1), (4, 1)}
+    assert found[0, 1].n_changed >= 6 and found[3, 1].n_changed == 0
+
+
 def test_op7_finds_planted_passages(spark):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     items = {r.item_id: r.text for r in bench.collect()}
