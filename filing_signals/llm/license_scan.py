@@ -106,10 +106,16 @@ the original software.
 3. This notice may not be removed or altered from any source distribution.""",
 }
 
+#: Of the SQL twin, which drops every line that starts so, also where a sentence was only wrapped there.
 _COPYRIGHT = r"^(copyright|\(c\)|©|all rights reserved)"
+# What follows `copyright` inside the sentences of a licence.
+_GOES_ON = r"[\s,;]+(holders?|owners?|notices?|and|or|laws?|licen[cs]es?|interests?|statements?)\b"
+#: A line that states a copyright: a sign, year, placeholder or holder follows, or it is a heading.
+STATED = (
+    rf"^(copyright notice\W*$|copyright\b(?!\W*$|{_GOES_ON})"
+    r"|\(c\)\s*(copyright|©|[<\[{]|[0-9]{4})|©|all rights reserved\W*$)"
+)
 _OTHER_ASCII = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Longer lines are no one-line notice: no known one has more characters.
-LONGEST_NOTICE = max(len(n) for notices in NOTICES.values() for n in notices) * 2
 
 
 def canonical(text: Column) -> Column:
@@ -118,7 +124,7 @@ def canonical(text: Column) -> Column:
     A-Z become lower case, other ASCII signs become spaces, and equal spellings one of them.
     """
     stated = F.transform(text_lines(text), line_key)
-    lines = F.filter(stated, lambda line: ~line.rlike(_COPYRIGHT))
+    lines = F.filter(stated, lambda line: ~line.rlike(STATED))
     plain = F.trim(F.regexp_replace(F.array_join(lines, "\n"), _OTHER_ASCII, " "))
     padded = F.concat(F.lit(" "), plain, F.lit(" "))
     same = reduce(lambda c, s: F.replace(c, F.lit(f" {s[0]} "), F.lit(f" {s[1]} ")), SPELLINGS.items(), padded)
@@ -140,7 +146,7 @@ def license_scan(
     """(doc_id, scope, line, license_id, digest) of every match; no row for other documents.
 
     scope `text`: the whole text is a known licence, `line` is null. scope `line`: line number
-    `line` (from 0) is a known notice. A null or empty text matches nothing; a row without an id or
+    `line` (from 0) is a known notice, at any length. A null or empty text matches nothing; a row without an id or
     that repeats a document is looked up like any other. The two lists of known digests are
     parameters of fixed size, so both joins broadcast them.
     """
@@ -156,7 +162,6 @@ def license_scan(
     )
     by_line = (
         given.select("doc_id", F.posexplode(text_lines(F.col("text"))).alias("line", "_line"))
-        .where(F.char_length(F.trim("_line")).between(8, LONGEST_NOTICE))
         .select("doc_id", F.lit("line").alias("scope"), "line", F.sha2(canonical(F.col("_line")), 256).alias("digest"))
     )
     found = by_text.join(F.broadcast(whole), "digest").unionByName(by_line.join(F.broadcast(single), "digest"))

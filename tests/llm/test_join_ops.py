@@ -1,6 +1,7 @@
 """Joins over documents against plain versions: line dedup, Jaccard join, chunks, templates, licences."""
 
 import random
+import textwrap
 
 import duckdb
 import pytest
@@ -265,3 +266,25 @@ def test_license_texts_and_notices(spark):
     assert out == {(0, "text", None, "MIT"), (1, "text", None, "MIT"), (3, "text", None, "MIT"), (4, "line", 1, "MIT")}
     assert license_scan.license_scan(brute.awkward(spark)).count() == 0
     assert license_scan.license_scan(docs.limit(0)).count() == 0
+
+
+def test_license_texts_wrapped_anywhere(spark):
+    rows = []
+    for name, text in license_scan.TEXTS.items():
+        for width in (45, 50, 60, 66, 72, 76, 80, 100, 1000):
+            paragraphs = [textwrap.fill(x, width, break_long_words=False, break_on_hyphens=False) for x in text.split("\n\n")]
+            rows.append((len(rows), name, "\n\n".join(paragraphs)))
+    at = lambda word: license_scan.TEXTS["ISC"].replace(f" {word}", f"\n{word}", 1)
+    rows += [(len(rows), "ISC", at("copyright notice")), (len(rows) + 1, "MIT", license_scan.TEXTS["MIT"].replace("OR COPYRIGHT", "OR\nCOPYRIGHT"))]
+    rows += [(len(rows), "MIT", license_scan.TEXTS["MIT"].replace("(c) <year> <copyright holders>", "Some One"))]
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    found = {(r.doc_id, r.license_id) for r in license_scan.license_scan(docs).collect() if r.scope == "text"}
+    assert found == {(i, name) for i, name, _ in rows}
+
+
+def test_notices_of_any_length(spark):
+    long = "Use of this file is granted " + "to all and sundry " * 40
+    docs = spark.createDataFrame([(1, f"x\n{long}"), (2, "By me"), (3, "-" * 900 + " Released under the MIT License. ")], "doc_id long, text string")
+    notices = {"own": [long, "by me"], **license_scan.NOTICES}
+    found = {(r.doc_id, r.line, r.license_id) for r in license_scan.license_scan(docs, notices=notices).collect()}
+    assert found == {(1, 1, "own"), (2, 0, "own"), (3, 0, "MIT")}
