@@ -63,3 +63,44 @@ SELECT d.doc_id, 'line', CAST(d.pos AS INTEGER), k.license_id, k.digest
 FROM (SELECT doc_id, pos, sha256({_canonical("line")}) AS digest FROM ({_lines("documents")})) d
 JOIN notices k ON d.digest = k.digest
 """
+
+
+#: CRC-32 in SQL: the table of its 256 steps, and a fold of a word's UTF-8 bytes over it.
+_CRC_TABLE = """list_transform(range(256), lambda i: list_reduce(
+    list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(strlen(word)), lambda i: CAST('0x' || substr(hex(word), 2 * i + 1, 2) AS BIGINT))),
+    lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295)"""
+_WORDS = f"regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLE["op13_resampling"] = f"""
+WITH words AS (
+    SELECT doc_id, row, unnest(ws) AS word FROM (
+        SELECT doc_id, row_number() OVER () AS row, {_WORDS} AS ws FROM documents)
+),
+targets AS (SELECT unnest({_WORDS}) AS word FROM benchmark),
+steps AS (SELECT {_CRC_TABLE} AS steps),
+hashed AS (
+    SELECT word, {_CRC} % 10000 AS bucket
+    FROM (SELECT DISTINCT word FROM (SELECT word FROM words UNION ALL SELECT word FROM targets)), steps
+),
+corpus AS (SELECT bucket, count(*) AS s FROM words JOIN hashed USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM targets JOIN hashed USING (word) GROUP BY bucket),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM words) + 10000)
+        / ((s + 1.0::DOUBLE) * ((SELECT count(*) FROM targets) + 10000)))) AS BIGINT) AS gain
+    FROM corpus LEFT JOIN target USING (bucket)
+),
+weights AS (
+    SELECT row, sum(gain)::BIGINT AS weight, count(*) AS n FROM words JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY row
+),
+scored AS (
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+        coalesce(weight, 0)::BIGINT + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT)
+            + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+    FROM (SELECT doc_id, row_number() OVER () AS row FROM documents) d LEFT JOIN weights USING (row)
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    10 * count(*) FILTER (WHERE n_features >= 20) OVER () // 100 AS drawn FROM scored)
+"""

@@ -18,6 +18,7 @@ from filing_signals.llm import (
     line_dedup,
     packing,
     repetition,
+    resampling,
     secret_scan,
     toxicity,
 )
@@ -112,3 +113,9 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
