@@ -12,6 +12,7 @@ from filing_signals.functions.text import bind
 from filing_signals.llm import (
     chunk_dedup,
     decontamination,
+    hard_negatives,
     html_extraction,
     jaccard_join,
     license_scan,
@@ -119,3 +120,10 @@ def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
