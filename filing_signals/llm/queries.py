@@ -12,6 +12,7 @@ from filing_signals.functions.text import bind
 from filing_signals.llm import (
     chunk_dedup,
     decontamination,
+    fingerprints,
     hard_negatives,
     html_extraction,
     jaccard_join,
@@ -127,3 +128,8 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(vectors.withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprinted(read(spark, sf_dir, "documents"))

@@ -28,7 +28,7 @@ def null_last(rows):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS FROM read_parquet('{SF}/{t}.parquet')")
     mine = QUERIES[name](spark, SF)
     theirs = con.execute(ORACLE[name])
