@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from filing_signals.llm.staging import Stage
 from filing_signals.llm.words import byte_slices, split_words
 
 #: Words kept between batches in a Python worker; others are coded again.
@@ -28,11 +29,13 @@ MEMO_WORDS = 400_000
 #: Plain words coded in one call.
 _JOINED = 400
 _PLAIN = r"^[a-zÀ-ÖØ-öø-ÿ]+$"
-_SIGN_AFTER_LETTER = r"(\pL)([!-&(-/:-@\[-`{-~])"
-#: Sequences are numbered in so many parts per length.
-SLOTS = 4096
+# a letter, but not the one whose lower case ends in a mark, to which a sign would be joined
+_SIGN_AFTER_LETTER = r"([^\PL\x{130}])([!-&(-/:-@\[-`{-~])"
+#: Counts of pieces by length and part are broadcast up to this many (24 bytes each), and joined by
+#: shuffle beyond.
+BROADCAST_COUNTS = 500_000
 
-PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
+PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, part int, nth long"
 
 
 class WordCoder:
@@ -138,7 +141,8 @@ def binary_lengths(n: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]
 def pieces(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1) -> DataFrame:
     """The pieces of every text, with `ids` as little-endian unsigned 32-bit integers.
 
-    A null text is an empty one; it and an empty text have the end id alone. Other columns than
+    `part` and `nth` say which task made a piece, and which of its length it is there, from 0. A null
+    text is an empty one; it and an empty text have the end id alone. Other columns than
     `doc_id` and `text` are not read. Rows that repeat a document are packed as often as they come.
     `longest` is a power of two. One narrow step without a shuffle.
     """
@@ -147,8 +151,9 @@ def pieces(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(tokenizer)
+        made = np.zeros(longest.bit_length(), np.int64)
         for batch in batches:
-            doc_ids = batch.column(0)
+            doc_ids, parts = batch.column(0), batch.column(2)
             for row, texts in byte_slices(batch.column(1)):
                 ids, offsets = coder.encode(texts)
                 n = np.diff(offsets) + 1
@@ -160,34 +165,49 @@ def pieces(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1
                 binary = pa.Array.from_buffers(
                     pa.binary(), len(length), [None, pa.py_buffer(sizes), pa.py_buffer(ids)]
                 )
+                at = pa.array(doc + row)
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(row, len(n)).take(pa.array(doc)), pa.array(start), pa.array(length), binary, pa.array(n[doc])],
-                    names=["doc_id", "start", "length", "ids", "doc_tokens"],
+                    [doc_ids.take(at), pa.array(start), pa.array(length), binary, pa.array(n[doc]), parts.take(at), pa.array(nth(length, made))],
+                    names=["doc_id", "start", "length", "ids", "doc_tokens", "part", "nth"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+    given = docs.select(F.col("doc_id").cast("long"), "text", F.spark_partition_id().alias("part"))
+    return given.mapInArrow(run, PIECES)
 
 
-def numbered(df: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """Add `sequence_id`, counted from 0 over all sequences, equal lengths together (longest first).
+def nth(length: np.ndarray, made: np.ndarray) -> np.ndarray:
+    """Which piece of its length each is, after the `made` ones of each power of two, which go on counting."""
+    power = np.frexp(length.astype(np.float64))[1] - 1
+    out = np.zeros(len(length), np.int64)
+    for p in np.unique(power):
+        mine = np.flatnonzero(power == p)
+        out[mine] = made[p] + np.arange(len(mine))
+        made[p] += len(mine)
+    return out
 
-    Rows are ranked within (length, slot of the document) and shifted by how many come before that
-    slot: a table of at most lengths x slots counts, whose size does not depend on the data.
+
+def numbered(written: DataFrame) -> DataFrame:
+    """Turn `part` and `nth` of a written table of pieces into `sequence_id`, counted from 0 over all
+    sequences, equal lengths together (longest first).
+
+    A task has numbered its pieces, so only the counts of tasks are added up, and no piece is moved.
     """
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(slots))
-    rows = df.withColumn("_slot", slot)
-    counts = rows.groupBy("length", "_slot").agg(F.count("*").alias("_n"))
-    before = Window.orderBy(F.desc("length"), "_slot").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = counts.select("length", "_slot", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    rank = F.row_number().over(Window.partitionBy("length", "_slot").orderBy("doc_id", "start"))
+    counts = written.groupBy("length", "part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy(F.desc("length"), "part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = counts.select("length", "part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    few = counts.count() <= BROADCAST_COUNTS
     return (
-        rows.withColumn("_rank", rank)
-        .join(F.broadcast(firsts), ["length", "_slot"])
-        .withColumn("sequence_id", (F.col("_first") + F.col("_rank") - 1).cast("long"))
-        .drop("_slot", "_rank", "_first")
+        written.join(F.broadcast(firsts) if few else firsts, ["length", "part"])
+        .withColumn("sequence_id", (F.col("_first") + F.col("nth")).cast("long"))
+        .withColumn("offset", F.lit(0).cast("long"))
+        .drop("part", "nth", "_first")
     )
 
 
 def pack(docs: DataFrame, tokenizer: str, longest: int = 2048, end_id: int = 1) -> DataFrame:
-    """All sequences with their ids: `pieces`, numbered, each at offset 0 of its sequence."""
-    return numbered(pieces(docs, tokenizer, longest, end_id)).withColumn("offset", F.lit(0).cast("long"))
+    """All sequences with their ids: `pieces`, written once and numbered, each at offset 0 of its sequence.
+
+    A job runs, and a table is written to the shared folder, when this is called.
+    """
+    stage = Stage(docs.sparkSession, "packing")
+    return numbered(stage.keep(pieces(docs, tokenizer, longest, end_id), "pieces"))

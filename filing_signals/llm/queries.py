@@ -24,6 +24,7 @@ from filing_signals.llm import (
     secret_scan,
     toxicity,
 )
+from filing_signals.llm.staging import Stage
 from filing_signals.session import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,10 +54,8 @@ def word_tokenizer() -> str:
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pieces(read(spark, sf_dir, "documents"), word_tokenizer())
-    digests = found.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"
-    )
-    return packing.numbered(digests).withColumn("offset", F.lit(0).cast("long"))
+    digests = found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.numbered(Stage(spark, "packing").keep(digests, "pieces"))
 
 
 @query

@@ -63,7 +63,7 @@ def test_packing_of_awkward_rows(spark, tokenizer):
         packing.pieces(docs, word_tokenizer(), longest=1000)
 
 
-@pytest.mark.parametrize("text", ["AB.C-d é'S we're <|endoftext|> x", "ʼn İstanbul Σας ß…!", "éá. 1.2 ½", "it's, o'clock'll"])
+@pytest.mark.parametrize("text", ["AB.C-d é'S we're <|endoftext|> x", "ʼn İstanbul Σας ß…!", "éá. 1.2 ½", "it's, o'clock'll", "Bİ.", "TÜRKİ, ANKARA İ! aİ<\u0338 Ab<\u0338"])
 def test_word_coder_on_odd_text(tokenizer, text):
     coder = packing.WordCoder(word_tokenizer())
     for _ in range(2):  # the second time from memory
