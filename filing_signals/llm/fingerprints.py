@@ -33,7 +33,7 @@ STEPS = 1000
 _UNIT = 1 << 20
 
 NEAR = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double, part int, edge int, text string"
 )
 
@@ -182,10 +182,13 @@ class Filters:
     filters: np.ndarray
     offsets: np.ndarray
 
-    def texts(self) -> list[str]:
+    def raw(self) -> list[bytes]:
         raw = self.filters.tobytes()
         size = self.filters.shape[1] * 8
-        return [base64.b64encode(raw[a * size : b * size]).decode() for a, b in zip(self.offsets[:-1], self.offsets[1:])]
+        return [raw[a * size : b * size] for a, b in zip(self.offsets[:-1], self.offsets[1:])]
+
+    def texts(self) -> list[str]:
+        return [base64.b64encode(r).decode() for r in self.raw()]
 
     def take(self, rows: np.ndarray) -> Filters:
         n = np.diff(self.offsets)[rows]
@@ -271,13 +274,13 @@ def _columns(ids: list, texts: list[str], following: list[str], rank: np.ndarray
     own, other, after = (fingerprints(pa.array(t, pa.string()), rank, s) for t in (texts, changed, following))
     digests = [hashlib.sha256(t.encode()).hexdigest() for t in changed]
     near_edited, near_next = likeness(own, other, s).tolist(), likeness(own, after, s).tolist()
-    return [ids, [len(t) for t in texts], digests, own.texts(), other.texts(), near_edited, near_next]
+    return [ids, [len(t) for t in texts], digests, own.raw(), other.raw(), near_edited, near_next]
 
 
 def _batch(columns: list[list], part: int, edge: int, texts: list) -> pa.RecordBatch:
     n = len(columns[0])
     given = [*columns, [part] * n, [edge] * n, texts]
-    kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2, pa.int32(), pa.int32(), pa.string()]
+    kinds = [pa.int64(), pa.int64(), pa.string(), *[pa.binary()] * 2, *[pa.float64()] * 2, pa.int32(), pa.int32(), pa.string()]
     names = [c.split()[0] for c in NEAR.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(given, kinds)], names=names)
 
@@ -315,7 +318,8 @@ def compared(docs: DataFrame, rank: np.ndarray, s: Settings, stage: Stage) -> Da
     given = given.withColumns({"_text": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
     dealt = given.repartitionByRange(*order).sortWithinPartitions(*order)
     rows = dealt.select("doc_id", "text", F.spark_partition_id().alias("part"))
-    found = stage.keep(rows.mapInArrow(run, NEAR), "found")
+    # filters are mostly noise to a fast codec, but have far fewer ones than zeros
+    found = stage.keep(rows.mapInArrow(run, NEAR), "found", compression="zstd")
     # one first and one last row of each partition that has rows
     firsts = found.where(F.col("edge") == _FIRST).select("part", "text")
     around = Window.orderBy("part")
@@ -324,8 +328,9 @@ def compared(docs: DataFrame, rank: np.ndarray, s: Settings, stage: Stage) -> Da
     texts = firsts.select(F.col("part").alias("next"), F.col("text").alias("following"))
     lasts = found.where(F.col("edge") == _LAST).select("part", "doc_id", "text").join(following, "part").join(texts, "next")
     closed = lasts.select("doc_id", "text", "following").mapInArrow(close, NEAR)
-    columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    return found.where(F.col("edge") == _INNER).union(closed).select(*columns)
+    written = [F.base64(c).alias(c) for c in ("fingerprint", "edited_fingerprint")]
+    every = found.where(F.col("edge") == _INNER).union(closed)
+    return every.select("doc_id", "n_chars", "edited_sha256", *written, "near_edited", "near_next")
 
 
 def fingerprinted(docs: DataFrame, settings: Settings = Settings(), rank: np.ndarray | None = None) -> DataFrame:

@@ -34,8 +34,8 @@ class Stage:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write `df` and read it back: its lineage ends here and survives lost executors.
+    def keep(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        """Write `df`, with options for Parquet, and read it back: its lineage ends here and survives lost executors.
 
         Once it is written nothing reads its shuffles again, so their files go with the query.
         """
@@ -43,7 +43,7 @@ class Stage:
         before = self.spark.conf.get(_CLEANUP, "false")
         self.spark.conf.set(_CLEANUP, "true")
         try:
-            df.write.mode("overwrite").parquet(path)
+            df.write.options(**options).mode("overwrite").parquet(path)
         finally:
             self.spark.conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
