@@ -45,6 +45,7 @@ def number_rows(
     keyed = df.withColumn(
         "_major", F.coalesce(major.cast("long"), F.lit(NULL_MAJOR).cast("long"))
     ).withColumn("_chunk", F.shiftright("_major", CHUNK_BITS))
+    keyed = staged(keyed)  # read by the counts and by the ranks: what makes the rows runs once
     hashed = keyed.withColumn("_hash", F.coalesce(F.md5(tie.cast("binary")), F.lit("")))
     chunk = [*group, "_chunk"]
     counts = staged(keyed.groupBy(*chunk).agg(F.count(F.lit(1)).alias("_n")))
