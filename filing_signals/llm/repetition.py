@@ -1,6 +1,7 @@
 """Quality rules on repetition: how much of a text lies inside duplicated n-grams and lines.
 
-Rolling hashes of several n-gram lengths are made in numpy over the words of a batch. A word counts
+Rolling hashes of several n-gram lengths are made in numpy over the words of a batch, each window from two
+prefix sums. A word counts
 as covered at length n when it lies in an n-word window that came earlier in its text; coverage is
 the share of word characters that is covered, so overlapping windows count a character once and
 the first of equal windows not at all.
@@ -16,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filing_signals.llm.words import byte_slices, mixed, raw_bytes, repeated, split_words, sums, window_hashes
+from filing_signals.llm.words import RollingHash, byte_slices, mixed, raw_bytes, repeated, split_words, sums
 
 # The largest share of characters inside duplicated n-grams, and inside lines that
 # equal an earlier line, of published rules for web text.
@@ -64,7 +65,7 @@ def measure(texts: pa.Array, lengths: tuple[int, ...]) -> dict[str, np.ndarray]:
     """Counts per text, and covered characters per n-gram length as `covered_<n>`."""
     place, data = raw_bytes(texts)
     words = split_words(texts)
-    hashes, rows = words.hashes(), words.rows.astype(np.uint64)
+    rolling, rows = RollingHash(words.hashes()), words.rows.astype(np.uint64)
     in_row = mixed(rows + np.uint64(1))
     word_chars = pc.utf8_length(words.dictionary).to_numpy(zero_copy_only=False).astype(np.int64)[words.codes]
     out = {
@@ -75,7 +76,7 @@ def measure(texts: pa.Array, lengths: tuple[int, ...]) -> dict[str, np.ndarray]:
     out["n_dup_lines"], out["dup_line_chars"] = _line_counts(texts)
     for n in sorted({BASE_WINDOW, *lengths}):
         starts = words.windows(n)
-        keys = mixed(window_hashes(hashes, starts, n) ^ in_row[starts])
+        keys = mixed(rolling.windows(starts, n) ^ in_row[starts])
         again = np.flatnonzero(repeated(keys))
         if n == BASE_WINDOW:
             covered = _covered_words(starts[again], n, len(words.codes))
@@ -88,7 +89,12 @@ def measure(texts: pa.Array, lengths: tuple[int, ...]) -> dict[str, np.ndarray]:
 
 
 def repetition(docs: DataFrame, lengths: tuple[int, ...] = tuple(MOST_COVERED)) -> DataFrame:
-    """Every row's `doc_id` and its counts. A null or empty text has zeros. No shuffle."""
+    """Every row's `doc_id` and its counts, in one narrow step.
+
+    A null or empty text has zeros. Rows without an id, and rows that repeat one, are counted each by
+    itself; long texts are counted whole; an empty table gives no rows. Only `doc_id` and `text` are read, so no
+    other name can clash.
+    """
     names = [*COUNTS, *(f"covered_{n}" for n in lengths)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -109,6 +109,33 @@ def window_hashes(h: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+#: Odd, so that it has an inverse among 64-bit numbers.
+_RADIX = 0x9E3779B97F4A7C15
+
+
+class RollingHash:
+    """Hashes of windows of any length over one sequence, each from two prefix sums.
+
+    A window's value is the polynomial of its elements in a fixed radix, whatever its place.
+    """
+
+    def __init__(self, h: np.ndarray):
+        n = len(h)
+        self.prefix = np.zeros(n + 1, np.uint64)
+        np.cumsum(h * self._powers(_RADIX, n), out=self.prefix[1:])
+        self.back = self._powers(pow(_RADIX, -1, 1 << 64), n)
+
+    @staticmethod
+    def _powers(radix: int, n: int) -> np.ndarray:
+        out = np.full(n, radix, np.uint64)
+        out[:1] = 1
+        return np.multiply.accumulate(out)
+
+    def windows(self, starts: np.ndarray, n: int) -> np.ndarray:
+        """The hash of the n elements from each start."""
+        return mixed((self.prefix[starts + n] - self.prefix[starts]) * self.back[starts])
+
+
 def repeated(keys: np.ndarray) -> np.ndarray:
     """Whether each key occurs more than once."""
     ordered = np.sort(keys)
