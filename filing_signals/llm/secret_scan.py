@@ -113,28 +113,30 @@ def found(text: Column, pattern: str, group: int = 0) -> Column:
 
 
 def least_sum(value: Column, e: Entropy) -> Column:
-    """The smallest S over all windows of a string of at least `window` key characters."""
+    """The smallest S over all windows of a string of at least `window` key characters.
+
+    As the window moves on, what S loses and gains follows from how often the character that leaves
+    and the one that enters occur among those that stay, so a step costs a window, whatever the string's length.
+    """
     terms = F.array(*(F.lit(t).cast("long") for t in e.terms()))
-    zero = F.array_repeat(F.lit(0), len(ALPHABET) + 1)
+    step_of = lambda n: F.get(terms, n + 1) - F.get(terms, n)
 
     def step(s: Column, codes: Column, i: Column) -> Column:
-        enter = F.get(codes, i)
-        leave = F.when(i >= e.window, F.get(codes, i - e.window)).otherwise(F.lit(-1))
-        into, out = F.get(s["counts"], enter), F.get(s["counts"], leave)
-        same = enter == leave
-        change = F.when(same, F.lit(0).cast("long")).otherwise(
-            F.get(terms, into + 1) - F.get(terms, into)
-            + F.when(leave >= 0, F.get(terms, out - 1) - F.get(terms, out)).otherwise(F.lit(0).cast("long"))
-        )
-        counts = F.transform(s["counts"], lambda c, k: c + (k == enter).cast("int") - (k == leave).cast("int"))
-        total = s["sum"] + change
-        least = F.when(i >= e.window - 1, F.least(s["least"], total)).otherwise(s["least"])
-        return F.struct(counts.alias("counts"), total.alias("sum"), least.alias("least"))
-
-    start = F.struct(zero.alias("counts"), F.lit(0).cast("long").alias("sum"), F.lit((1 << 62)).cast("long").alias("least"))
-    codes = F.transform(
-        F.sequence(F.lit(1), F.char_length(value)), lambda i: F.instr(F.lit(ALPHABET), F.substr(value, i, F.lit(1)))
-    )
+        stay = F.slice(codes, F.greatest(i - e.window + 2, F.lit(1)), F.least(i, F.lit(e.window - 1)))
+
+        def moved(stay: Column) -> Column:
+            among = lambda code: F.size(F.filter(stay, lambda c: c == code))
+            left = F.when(i >= e.window, step_of(among(F.get(codes, i - e.window)))).otherwise(F.lit(0).cast("long"))
+            return s["sum"] + step_of(among(F.get(codes, i))) - left
+
+        def seen(total: Column) -> Column:
+            least = F.when(i >= e.window - 1, F.least(s["least"], total)).otherwise(s["least"])
+            return F.struct(total.alias("sum"), least.alias("least"))
+
+        return bind(stay, lambda x: bind(moved(x), seen))
+
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit((1 << 62)).cast("long").alias("least"))
+    codes = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c))
     return bind(codes, lambda a: F.aggregate(F.sequence(F.lit(0), F.size(a) - 1), start, lambda s, i: step(s, a, i), lambda s: s["least"]))
 
 
@@ -183,7 +185,8 @@ def secret_scan(docs: DataFrame) -> DataFrame:
     """(doc_id, secrets) of every row, `secrets` as made by `spans`; one narrow step.
 
     A null or empty text has none. A row without an id, or one that repeats a document, is scanned
-    like any other. Nothing but `doc_id` and `text` is read.
+    like any other; an empty table gives no rows. Long texts are scanned whole, and a long candidate in time in
+    proportion to its length. Nothing but `doc_id` and `text` is read, so no other name can clash.
     """
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), spans(F.col("text")).alias("secrets"))
 

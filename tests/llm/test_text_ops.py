@@ -3,6 +3,8 @@
 import random
 import re
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +146,27 @@ def test_extraction_of_awkward_rows(spark):
     out = H.extract(pages).collect()
     assert sorted((r.page_id or 0, len(r.text)) for r in out) == [(0, 14), (1, 0), (1, 0), (2, 0), (2, 499_999)]
     assert H.extract(pages.limit(0)).count() == 0
+
+
+def test_long_candidates_take_time_in_proportion(spark):
+    """A base64 text of 200,000 characters in one word, and the same entropies as by counting each window."""
+    import random
+    import time
+
+    r = random.Random(3)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    e = S.Entropy()
+    short = ["".join(r.choice(signs[: r.choice([2, 5, 64])]) for _ in range(r.randrange(e.window, 90))) for _ in range(40)]
+    df = spark.createDataFrame([(v,) for v in short], "v string")
+    for row in df.select("v", S.least_sum(F.col("v"), e).alias("s")).collect():
+        bits = brute.window_entropy(row.v, e.window)
+        assert abs((math.log2(e.window) - bits) * e.window * S._UNIT - row.s) <= e.window + 1
+    seconds = []
+    for n in (20_000, 200_000):
+        blob = "".join(r.choice(signs) for _ in range(n))
+        rows = spark.createDataFrame([(1, blob)], "doc_id long, text string")
+        start = time.time()
+        [found] = S.secret_scan(rows).collect()
+        seconds.append(time.time() - start)
+        assert [(x.start, x.end) for x in found.secrets] == [(0, n)]
+    assert seconds[1] < 30 * max(seconds[0], 0.3)
