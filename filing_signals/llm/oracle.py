@@ -38,9 +38,17 @@ def _quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+def _stated(x: str) -> str:
+    """Twin of `license_scan.STATED`, whose look-ahead is a second condition here."""
+    has = lambda p: f"regexp_matches({x}, {_quoted(p)})"
+    goes_on = rf"^copyright(\W*$|{L._GOES_ON})"
+    others = r"^(copyright notice\W*$|\(c\)\s*(copyright|©|[<\[{]|[0-9]{4})|©|all rights reserved\W*$)"
+    return f"(({has('^copyright' + chr(92) + 'b')} AND NOT {has(goes_on)}) OR {has(others)})"
+
+
 def _canonical(text: str) -> str:
     """Twin of `license_scan.canonical`."""
-    lines = f"list_filter(list_transform(string_split({text}, chr(10)), lambda x: {_key('x')}), lambda x: NOT regexp_matches(x, {_quoted(L._COPYRIGHT)}))"
+    lines = f"list_filter(list_transform(string_split({text}, chr(10)), lambda x: {_key('x')}), lambda x: NOT {_stated('x')})"
     c = f"' ' || trim(regexp_replace(array_to_string({lines}, chr(10)), {_quoted(L._OTHER_ASCII)}, ' ', 'g')) || ' '"
     for a, b in L.SPELLINGS.items():
         c = f"replace({c}, ' {a} ', ' {b} ')"
