@@ -3,7 +3,8 @@
 A page is a sequence of words and tags. Words score by where they stand (in a menu, a link, a
 paragraph, ...), tags score below zero, and one linear scan finds the contiguous region with the
 largest sum. The weights are log-odds of standing inside the main text, counted on labelled pages:
-those of a bounded sample that mark it with an article or main element. Blocks of the region that
+those of a bounded sample that mark it with an article or main element. The region is completed to the
+whole of the content element it lies in, so that short items at its ends are not lost. Blocks of the region that
 belong to something else (an advert, a form, comments) are left out of the text.
 """
 
@@ -26,9 +27,10 @@ SAMPLE_PAGES = 2_000
 LARGEST = 3.0
 TAG_AT_MOST = -0.05
 
-# Elements whose content is never text, elements that end a block, and elements that
-# have no end tag.
-RAW = "script|style|noscript|template|textarea|svg|math|iframe|object|canvas|select|title|head"
+# Elements whose content HTML reads as raw up to their end tag or the end of the page,
+# elements that are skipped where they are closed, elements that end a block, and elements that have no end tag.
+RAW = "script|style|textarea|title|iframe|noembed|noframes|xmp"
+SKIPPED = frozenset("noscript template svg math object canvas select".split())
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup p pre search section summary table tbody "
@@ -74,26 +76,49 @@ _TOKEN = re.compile(
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
+#: Words that complete a region of an unmarked page, at most: this share of the region's words, and this
+#: share of them in links.
+COMPLETED, COMPLETED_LINKS = 0.5, 0.34
+
+
+@dataclass
+class Element:
+    """An open block element: what encloses it, and where it begins and ends in the page's sequence."""
+
+    tag: str = ""
+    parent: Element | None = None
+    zone: str = ""
+    content: Element | None = None
+    begin: int = 0
+    end: int | None = None
+    depth: int = 0
+
+
 @dataclass
 class Block:
-    """Text between block tags, and where in the page's sequence it stands."""
+    """Text between block tags, and the element it stands in; `content` is the outermost content element."""
 
     parts: list[str] = field(default_factory=list)
     zone: str = ""
+    element: Element = field(default_factory=Element)
+    content: Element | None = None
 
     def text(self) -> str:
         return " ".join(entities.unescape("".join(self.parts)).split())
 
 
-def zone_of(tag: str, attributes: str, within: str, in_content: bool) -> str:
-    """The zone that an element opens, or the one it stands in. Noise inside noise stays the outer."""
+def zone_of(tag: str, attributes: str, within: str, in_content: bool, compounds: bool = True) -> str:
+    """The zone that an element opens, or the one it stands in. Noise inside noise stays the outer.
+
+    `compounds` also takes the parts of names such as `post-header` for names.
+    """
     if within in NOISE:
         return within
     names = [tag]
     for m in _NAMED.finditer(attributes):
         whole = (m[1] or m[2] or m[3] or "").lower()
         for name in whole.split():
-            names += [name, *re.split(r"[-_]+", name)] if name not in _ZONE_OF else [name]
+            names += [name, *re.split(r"[-_]+", name)] if compounds and name not in _ZONE_OF else [name]
     zones = [_ZONE_OF[n] for n in names if n in _ZONE_OF]
     noise = [z for z in zones if z in NOISE and not (z == "header" and in_content)]
     if tag in ("body", "html"):
@@ -103,41 +128,59 @@ def zone_of(tag: str, attributes: str, within: str, in_content: bool) -> str:
     return "content" if "content" in zones else within
 
 
-def sequence(page: str) -> Iterator[tuple[str, str, Block, bool, str]]:
+def sequence(page: str, compounds: bool = True) -> Iterator[tuple[str, str, Block, bool, str]]:
     """('word' or 'tag', text or tag name, block, in a link, block tag) along a page."""
-    stack: list[tuple[str, str, bool]] = []
-    zone, in_content, in_link, block_tag = "", False, False, ""
-    block = Block(zone=zone)
+    here = Element()
+    in_link, block_tag, count = False, "", 0
+    block = Block(element=here)
+    open_tags: Counter = Counter()
+    never_closed: set[str] = set()
     at = 0
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             yield "word", page[at : m.start()], block, in_link, block_tag
+            count += 1
         at = m.end()
         tag = (m[3] or m[6] or "").lower()
         if not tag:
             continue
-        closing = bool(m[2] or m[5])
+        closing, attributes = bool(m[2] or m[5]), m[4] or m[7] or ""
+        if tag in SKIPPED and not closing and not attributes.endswith("/") and tag not in never_closed:
+            end = re.compile(rf"</{tag}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
+            if end:
+                at = end.end()
+                continue
+            never_closed.add(tag)  # only the tag is skipped
         if tag == "a":
             in_link = not closing
         elif tag in SPACES:
             yield "word", " ", block, in_link, block_tag
+            count += 1
         if tag in BLOCKS and closing:
-            if any(t == tag for t, _, _ in stack):
+            if open_tags[tag]:
                 t = ""
                 while t != tag:
-                    t, zone, in_content = stack.pop()
-            block, block_tag, in_link = Block(zone=zone), "", False
+                    t = here.tag
+                    open_tags[t] -= 1
+                    here.end, here = count, here.parent
+            block, block_tag, in_link = Block(zone=here.zone, element=here, content=here.content), "", False
         elif tag in BLOCKS:
             if tag in MAIN:
                 in_link = False
-                if zone in NOISE and not in_content:  # what stands before was never closed
-                    stack, zone = [], ""
-            own = zone_of(tag, m[4] or m[7] or "", zone, in_content)
+                if here.zone in NOISE and here.content is None:  # what stands before was never closed
+                    open_tags.clear()
+                    while here.parent is not None:
+                        here.end, here = count, here.parent
+            own = zone_of(tag, attributes, here.zone, here.content is not None, compounds)
+            content = here.content
             if tag not in ITEMS and tag not in VOID:
-                stack.append((tag, zone, in_content))
-                zone, in_content = own, in_content or own == "content"
-            block, block_tag = Block(zone=own), tag
+                here = Element(tag, here, own, content, count, depth=here.depth + 1)
+                if own == "content" and content is None:
+                    here.content = content = here
+                open_tags[tag] += 1
+            block, block_tag = Block(zone=own, element=here, content=content), tag
         yield "tag", tag, block, in_link, block_tag
+        count += 1
     if at < len(page):
         yield "word", page[at:], block, in_link, block_tag
 
@@ -180,13 +223,53 @@ def weights(counts: dict[tuple[str, bool], float]) -> dict[str, float]:
     return out
 
 
-def main_text(page: str | None, w: dict[str, float]) -> str:
-    """Blocks of the best region in page order, joined by two line breaks; '' if there is none."""
+def enclosing(a: Element, b: Element) -> Element:
+    """The innermost element that holds both."""
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+    return a
+
+
+def completed(span: tuple[int, int], placed: list[tuple[int, Block, str, bool]]) -> tuple[int, int]:
+    """The span of a region with the rest of the content element that most of its words lie in.
+
+    On a page that marks none, with the rest of the innermost element around it, unless that is the
+    page itself or would add much, or mostly links.
+    """
+    inside = [(b, len(t.split())) for i, b, t, _ in placed if span[0] <= i < span[1] and b.zone not in NOISE and t.strip()]
+    if not inside:
+        return span
+    n_words = sum(n for _, n in inside)
+    of: dict[int, int] = Counter()
+    for b, n in inside:
+        of[id(b.content)] += n
+    around = next((b.content for b, n in inside if b.content is not None and 2 * of[id(b.content)] > n_words), None)
+    marked = around is not None
+    if not marked:
+        around = enclosing(inside[0][0].element, inside[-1][0].element)
+        if around.tag in ("", "html", "body"):
+            return span
+    begin = min(span[0], around.begin)
+    end = max(span[1], placed[-1][0] + 1 if around.end is None else around.end)
+    more = [(len(t.split()), link) for i, b, t, link in placed if begin <= i < end and not span[0] <= i < span[1] and b.zone not in NOISE]
+    added, linked = sum(n for n, _ in more), sum(n for n, link in more if link)
+    fits = marked or (added <= COMPLETED * n_words and linked <= COMPLETED_LINKS * added)
+    return (begin, end) if fits else span
+
+
+def main_text(page: str | None, w: dict[str, float], compounds: bool = True) -> str:
+    """Blocks of the best region in page order, joined by two line breaks; '' if there is none.
+
+    Where parts of compound names make all of a page noise, only whole names count.
+    """
     best, best_span, total, start, i = 0.0, (0, 0), 0.0, 0, 0
-    placed: list[tuple[int, Block, str]] = []
-    for kind, text, block, in_link, block_tag in sequence(page or ""):
+    placed: list[tuple[int, Block, str, bool]] = []
+    for kind, text, block, in_link, block_tag in sequence(page or "", compounds):
         if kind == "word":
-            placed.append((i, block, text))
+            placed.append((i, block, text, in_link))
             n = len(text.split())
             score = n * (0.2 + sum(w.get(f, 0.0) for f in features(block, in_link, block_tag)))
         else:
@@ -197,13 +280,15 @@ def main_text(page: str | None, w: dict[str, float]) -> str:
         i += 1
         if total > best:
             best, best_span = total, (start, i)
+    begin, end = completed(best_span, placed)
     out: list[Block] = []
-    for at, block, text in placed:
-        if best_span[0] <= at < best_span[1] and block.zone not in NOISE:
+    for at, block, text, _ in placed:
+        if begin <= at < end and block.zone not in NOISE:
             if not out or out[-1] is not block:
                 out.append(block)
             block.parts.append(text)
-    return "\n\n".join(t for t in (b.text() for b in out) if t)
+    found = "\n\n".join(t for t in (b.text() for b in out) if t)
+    return found if found or not compounds or not page else main_text(page, w, compounds=False)
 
 
 def train(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> dict[str, float]:
@@ -238,7 +323,8 @@ def extract(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     """`page_id`, `url`, `text` of every row of `pages`.
 
     A null or empty html, or one without main text, gives an empty text. Rows without an id, and rows
-    that repeat one, are extracted like any other. Other columns are not read. The labelled sample
+    that repeat one, are extracted like any other; an empty table gives no rows. Long pages are read whole,
+    by scans in time in proportion to their length. Other columns are not read. The labelled sample
     is read when this is called; extraction is one narrow step.
     """
     known = train(pages, sample_pages)

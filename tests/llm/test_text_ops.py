@@ -170,3 +170,65 @@ def test_long_candidates_take_time_in_proportion(spark):
         seconds.append(time.time() - start)
         assert [(x.start, x.end) for x in found.secrets] == [(0, n)]
     assert seconds[1] < 30 * max(seconds[0], 0.3)
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", '<div class="content">{}</div>', "<div>{}</div>"])
+@pytest.mark.parametrize(
+    "end, text",
+    [
+        ("<ul><li>one</li><li>two</li><li>three</li></ul>", ["one", "two", "three"]),
+        ("<div>By A. Writer</div>", ["By A. Writer"]),
+        ("<ol><li>a <b>b</b><li>c</ol><div>d</div>", ["a b", "c", "d"]),
+    ],
+)
+def test_short_ends_of_an_article_stay(around, end, text):
+    body = "<h2>The title</h2>" + "<p>A paragraph of some more words, as they come in any article of a page.</p>" * 4
+    found = H.main_text(PAGE.format(body=around.format(body + end)), W)
+    assert found.split("\n\n")[5:] == text and found.startswith("The title\n\nA paragraph")
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda p: p.replace("</head>", ""),
+        lambda p: p.replace("<body>", "<body><svg width=1><path d=x>"),
+        lambda p: p.replace("<article>", "<article><canvas><object data=x>"),
+        lambda p: p.replace("<h2>", "<svg><title>icon</title><text>no text</text></svg><select><option>none</select><h2>"),
+        lambda p: p.replace("<body>", '<body class="x"><noscript><p>switch it on, please, to see what is here</p></noscript>'),
+        lambda p: p.replace("<body>", "<body><svg/>"),
+    ],
+)
+def test_unclosed_and_left_out_elements(change):
+    page = change(PAGE.format(body=f"<article>{BODY}</article>"))
+    assert H.main_text(page, W) == TEXT
+
+
+def test_compound_names_do_not_empty_a_page():
+    words = "A long paragraph of the page, with all that it has to say. " * 5
+    page = f'<body><div class="post-related-header"><p>{words}</p></div></body>'
+    assert H.main_text(page, W) == words.strip()
+    nav = f'<div class="main-menu"><a href=x>menu</a></div><div class="text"><p>{words}</p></div>'
+    assert H.main_text(nav, W) == words.strip()
+
+
+def test_unclosed_elements_take_linear_time():
+    import time
+
+    start = time.time()
+    H.main_text("<svg>" * 20_000 + "<div>" * 20_000 + "<p>text of it" + "</b>" * 20_000, W)
+    assert time.time() - start < 20
+
+
+def test_fitted_weights_decide_on_pages_without_marks(spark):
+    """Elements as plain divs without class, id and role: the fit finds the article, priors alone do not."""
+    pages = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/pages.parquet")
+    fitted = H.train(pages)
+
+    def plain(page):
+        page = re.sub(r"<(/?)(?:article|main|nav|header|footer|aside|section)\b[^>]*>", r"<\1div>", page)
+        return re.sub(r"""\s(?:class|id|role)=(?:"[^"]*"|'[^']*'|[^\s>]+)""", "", page)
+
+    rows = [r.html for r in pages.collect() if "<article>" in r.html]
+    found = [(H.main_text(plain(p), fitted), H.main_text(plain(p), W), article(p)) for p in rows]
+    assert len(found) > 200 and sum(f == a for f, _, a in found) >= 0.99 * len(found)
+    assert sum(f == a for _, f, a in found) < 0.5 * len(found)
