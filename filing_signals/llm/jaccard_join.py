@@ -6,15 +6,15 @@ by the pigeonhole principle, if segments are allotted thresholds with sum(thresh
 sets agree on some segment up to its threshold: 0 asks for equal subsets, 1 for subsets that differ
 in one token, found by the neighbourhood of one deletion, and -1 leaves the segment out.
 
-1. Copies are collapsed by a digest of the set. Each set of a class's first document emits its first
-   H + 1 + e subsets (thresholds 0), so that linked sets share e + 1 of them. Those who share one are held against the smallest of them, links are
+1. Copies are collapsed by a digest of the set. Each set of a class's first document emits its subsets,
+   and those found once are left out. Those who share one are held against the smallest of them, links are
    verified on whole sets, and components formed. So a group of thousands of near copies costs a
    comparison each, not one per pair.
-2. Where sets that share e + 1 subsets are still in different components, thresholds are allotted by
-   cost. A set whose shared subsets lead to few others keeps thresholds of 0 and is held against all
-   of them. For the rest, all subsets and one-deletion neighbourhoods are counted, and each set puts
-   its thresholds where they ask for the fewest comparisons. All pairs found across components are
-   verified.
+2. Thresholds are allotted by cost, which is how many sets hold a subset: a set that fills F segments
+   agrees with any link of it on F - H of them, so it leaves out its F - H - 1 most frequent subsets
+   (threshold -1), and the rarest one that two linked sets share is left in by both. Subsets of common
+   passages go this way. Where sets of several components still hold a subset, those outside its
+   largest component are compared with all, by sizes and sketches within the join, and what is left is verified.
 
 Sets of so few tokens that H is 1 are one segment with threshold 1.
 """
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filing_signals.llm.components import components
@@ -38,21 +38,20 @@ from filing_signals.llm.words import byte_slices, mixed, split_words, window_has
 BAND_GROWTH = 1.6
 #: Segments per unit of the largest H of a band: some segments stay empty.
 SPARE = 1.25
-#: A set emits one more subset for each so many units of its H; linked sets then share one more.
-MORE = 8
-#: Comparisons per token of a set up to which they cost less than its one-deletion neighbourhood.
-DIRECT = 1.0
-#: Ids of texts to fetch are broadcast up to this many (16 bytes each), and joined by shuffle beyond.
+#: Comparisons of the sets of one subset that a task makes; more are dealt to further tasks.
+COMPARED_AT_ONCE = 1_000_000
+#: Ids (of texts to fetch, of copies) are broadcast up to this many (at most 32 bytes each), and joined by
+#: shuffle beyond.
 BROADCAST_IDS = 500_000
 
 _SEGMENT = np.uint64(0x5851F42D4C957F2D)
 _SECOND = np.uint64(0xD1342543DE82EF95)
 
 SETS = (
-    "doc_id long, n long, d1 long, d2 long, subsets array<long>, need int, whole long, less_one array<long>, "
+    "doc_id long, n long, d1 long, d2 long, subsets array<long>, shares array<int>, whole long, less_one array<long>, "
     "band int, sketch array<long>, next_sketch array<long>"
 )
-INDEX = "doc_id long, comp long, scheme int, need int, segment array<int>, key array<long>, deleted array<boolean>"
+SKETCHES = "doc_id long, n long, parity int, bits array<long>"
 
 
 @dataclass(frozen=True)
@@ -138,7 +137,9 @@ class Segments:
         return [b for b in dict.fromkeys((first, last)) if b >= 0]
 
     def key(self, sums: np.ndarray, scheme: int, segment: np.ndarray) -> np.ndarray:
-        return mixed(sums ^ mixed(segment.astype(np.uint64) + np.uint64((scheme + 1) << 32)))
+        """Keys of subsets; the lowest bit tells the two schemes of a set apart, which follow each other."""
+        found = mixed(sums ^ mixed(segment.astype(np.uint64) + np.uint64((scheme + 1) << 32)))
+        return found & ~np.uint64(1) | np.uint64(scheme & 1)
 
     def split(self, i: int, scheme: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(segment of each token, sum and number of tokens of each segment)."""
@@ -148,46 +149,31 @@ class Segments:
         np.add.at(sums, segment, self.values[self.sets.row(i)])
         return segment, sums, np.bincount(segment, minlength=m)
 
-    def first_subsets(self, i: int) -> tuple[np.ndarray, int]:
-        """Keys of the first H + 1 + e filled segments in each scheme, and how many of its keys any
-        linked set shares at least: e + 1.
+    def subsets(self, i: int) -> tuple[np.ndarray, list[int]]:
+        """Keys of the filled segments in each scheme, and how many of them any linked set shares at
+        least, by the scheme's lowest bit.
 
-        Of two linked sets that both fill so many, the first e + 1 segments on which they agree are
-        among these for both, as at most H filled segments of either come between. A set that fills
-        fewer emits all segments, empty ones too; a partner that fills enough still shares its
-        first e + 1 with it, and two such sets share one segment at least.
+        Of F filled segments at most H differ, so F - H are shared, for either of two linked sets. A set
+        that fills no more than H emits all segments, empty ones too: a partner that fills more
+        shares its F - H with it, and two such sets share one at least.
         """
-        out = [np.zeros(0, np.uint64)]
+        out, shares = [np.zeros(0, np.uint64)], [1, 1]
         s = int(self.sets.offsets[i + 1] - self.sets.offsets[i])
-        most = self.threshold.most_differing(s)
-        share = most // MORE + 1
-        need = most + share
         for scheme in self.schemes(s):
             _, sums, counts = self.split(i, scheme)
             filled = np.flatnonzero(counts)
-            enough = len(filled) >= need
-            share = share if enough else 1
-            chosen = filled[:need] if enough else np.arange(len(counts))
+            shared = len(filled) - self.threshold.most_differing(s)
+            chosen = filled if shared > 0 else np.arange(len(counts))
+            shares[scheme & 1] = max(shared, 1)
             out.append(self.key(sums[chosen], scheme, chosen))
-        return np.concatenate(out), share
-
-    def neighbourhood(self, i: int, scheme: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(segment, key, whether a token is deleted) of all subsets and their one-deletions."""
-        segment, sums, counts = self.split(i, scheme)
-        every = np.arange(len(counts))
-        less = self.key(sums[segment] - self.values[self.sets.row(i)], scheme, segment)
-        return (
-            np.concatenate([every, segment]),
-            np.concatenate([self.key(sums, scheme, every), less]),
-            np.concatenate([np.zeros(len(every), bool), np.ones(len(segment), bool)]),
-        )
+        return np.concatenate(out), shares
 
-    def sketch(self, i: int, scheme: int) -> np.ndarray:
-        """Parities of how many tokens fall on each of some bits, about one bit a token.
+    def sketch(self, i: int, scheme: int, per_word: int = 48) -> np.ndarray:
+        """Parities of how many tokens fall on each of some bits, a 64-bit word for so many tokens.
 
         Every bit in which two sketches differ stands for a token that only one of the sets has.
         """
-        bits = 64 * (self.bands[scheme][0] // 48 + 1)
+        bits = 64 * (self.bands[scheme][0] // per_word + 1)
         on = np.bincount((self.values[self.sets.row(i)] % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
         return np.packbits(on.astype(np.uint8)).view(np.uint64)
 
@@ -210,7 +196,7 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def described(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
-    """Size, digest and first subsets of each text's set."""
+    """Size, digest and subsets of each text's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,11 +209,11 @@ def described(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
                     _signed(t[sets.offsets[1:]] - t[sets.offsets[:-1]])
                     for t in (total(segments.values), total(mixed(sets.tokens ^ _SECOND)))
                 ]
-                subsets, need, whole, less_one, band, sketches = [], [], [], [], [], ([], [])
+                subsets, shares, whole, less_one, band, sketches = [], [], [], [], [], ([], [])
                 for i in range(len(sets)):
-                    keys, share = segments.first_subsets(i)
+                    keys, shared = segments.subsets(i)
                     subsets.append(_signed(keys))
-                    need.append(share)
+                    shares.append(np.array(shared, np.int32))
                     tiny = 0 < n[i] <= segments.tiny
                     own, less = segments.whole(i) if tiny else (0, np.zeros(0, np.uint64))
                     whole.append(int(np.uint64(own).view(np.int64)) if tiny else None)
@@ -240,10 +226,10 @@ def described(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(row, len(sets)), pa.array(n), *map(pa.array, digests),
-                        _lists(subsets, pa.int64()), pa.array(need, pa.int32()), pa.array(whole, pa.int64()), _lists(less_one, pa.int64()),
+                        _lists(subsets, pa.int64()), _lists(shares, pa.int32()), pa.array(whole, pa.int64()), _lists(less_one, pa.int64()),
                         pa.array(band, pa.int32()), *(_lists(s, pa.int64()) for s in sketches),
                     ],
-                    names=["doc_id", "n", "d1", "d2", "subsets", "need", "whole", "less_one", "band", "sketch", "next_sketch"],
+                    names=["doc_id", "n", "d1", "d2", "subsets", "shares", "whole", "less_one", "band", "sketch", "next_sketch"],
                 )
 
     return docs.mapInArrow(run, SETS)
@@ -262,35 +248,32 @@ def tokens(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, tokens array<long>")
 
 
-def neighbourhoods(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
-    """(doc_id, comp, scheme, need) with all subsets and one-deletions of each text's set."""
+def sketches(docs: DataFrame, k: int, threshold: Threshold, per_word: int = 16) -> DataFrame:
+    """SKETCHES of each text's set, one row for each of its schemes, at four bits a token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, texts in byte_slices(batch.column(1), 1 << 20):
+            for row, texts in byte_slices(batch.column(1)):
                 sets = shingle_sets(texts, k)
                 segments = Segments(sets, threshold)
-                owner, scheme, found = [], [], []
-                for i, s in enumerate(np.diff(sets.offsets)):
-                    for b in segments.schemes(int(s)):
-                        owner.append(i)
-                        scheme.append(b)
-                        found.append(segments.neighbourhood(i, b))
-                if not owner:
-                    continue
-                need = [threshold.most_differing(int(s)) + 1 for s in np.diff(sets.offsets)[owner]]
-                at = pa.array(np.array(owner) + row)
+                n = np.diff(sets.offsets)
+                found = [(i, b, _signed(segments.sketch(i, b, per_word))) for i in range(len(sets)) for b in segments.schemes(int(n[i]))]
+                owner = np.array([i for i, _, _ in found], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(at), batch.column(2).take(at), pa.array(scheme, pa.int32()), pa.array(need, pa.int32()),
-                        _lists([f[0].astype(np.int32) for f in found], pa.int32()),
-                        _lists([_signed(f[1]) for f in found], pa.int64()),
-                        _lists([f[2] for f in found], pa.bool_()),
+                        batch.column(0).take(pa.array(owner + row)), pa.array(n[owner]),
+                        pa.array([b & 1 for _, b, _ in found], pa.int32()), _lists([x for _, _, x in found], pa.int64()),
                     ],
-                    names=["doc_id", "comp", "scheme", "need", "segment", "key", "deleted"],
-                )
+                    names=["doc_id", "n", "parity", "bits"],
+                )
 
-    return docs.mapInArrow(run, INDEX)
+    return docs.mapInArrow(run, SKETCHES)
+
+
+def differing(x: Column, y: Column) -> Column:
+    """Bits in which two sketches differ."""
+    each = F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(each, F.lit(0), lambda s, n: s + F.coalesce(n, F.lit(64)))
 
 
 class JaccardJoin:
@@ -309,19 +292,19 @@ class JaccardJoin:
         """Whether two sizes allow the similarity."""
         return 100 * F.least(f"{a}.n", f"{b}.n") >= self.threshold.percent * F.greatest(f"{a}.n", f"{b}.n")
 
+    def most(self, a: str, b: str) -> Column:
+        """How many tokens of linked sets of these sizes differ at most."""
+        p = self.threshold.percent
+        return F.floor((100 - p) * (F.col(f"{a}.n") + F.col(f"{b}.n")) / (100 + p))
+
     def possible(self, a: str, b: str) -> Column:
         """Whether sizes and sketches allow the similarity: no more bits differ than tokens may.
 
         Both sets have a sketch of the larger one's band; tiny sets have none and are let through.
         """
-        p = self.threshold.percent
         band = F.greatest(f"{a}.band", f"{b}.band")
         of = lambda c: F.when(F.col(f"{c}.band") == band, F.col(f"{c}.sketch")).otherwise(F.col(f"{c}.next_sketch"))
-        differ = F.aggregate(
-            F.zip_with(of(a), of(b), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + F.coalesce(n, F.lit(64))
-        )
-        most = F.floor((100 - p) * (F.col(f"{a}.n") + F.col(f"{b}.n")) / (100 + p))
-        return self.sized(a, b) & ((band < 0) | (differ <= most))
+        return self.sized(a, b) & ((band < 0) | (differing(of(a), of(b)) <= self.most(a, b)))
 
     def verified(self, pairs: DataFrame, base: DataFrame, name: str) -> DataFrame:
         """Those of the pairs (a, b) whose whole sets are similar enough.
@@ -346,79 +329,43 @@ class JaccardJoin:
         return links
 
     def across(self, members: DataFrame, comps: DataFrame, base: DataFrame) -> DataFrame | None:
-        """Pairs that share a subset and are not in one component yet, by allotted thresholds."""
-        placed = members.join(comps, members.doc_id == comps.node, "left").select(
-            "subset", "doc_id", F.coalesce("component", "doc_id").alias("comp")
-        )
-        placed = self.stage.keep(placed, "placed")
-        needed = base.groupBy("doc_id").agg(F.min("need").alias("need"))
-
-        def still_open(rows: DataFrame) -> DataFrame:
-            groups = rows.groupBy("subset").agg(
-                F.min("comp").alias("c"), F.max("comp").alias("d"), F.count("*").alias("rows")
-            )
-            return rows.join(groups.where("c != d").select("subset", "rows"), "subset")
-
-        # a set that shares fewer open subsets than any link of it would is done
-        first = self.stage.keep(still_open(placed), "first-shared")
-        enough = first.groupBy("doc_id").agg(F.countDistinct("subset").alias("has")).join(needed, "doc_id").where("has >= need")
-        left = first.drop("rows").join(enough.select("doc_id"), "doc_id", "left_semi")
-        shared = self.stage.keep(still_open(left), "shared")
-        if shared.isEmpty():
-            return None
-        costs = shared.groupBy("doc_id", "comp").agg(F.sum(F.col("rows") - 1).alias("comparisons"))
-        costs = costs.join(base.select("doc_id", "n"), "doc_id").withColumn("cheap", F.col("comparisons") <= DIRECT * F.col("n"))
-        costs = self.stage.keep(costs.drop("comparisons"), "costs")
-        pairs = self.direct(shared, costs)
-        costly = self.stage.keep(costs.where("NOT cheap").select("doc_id", "comp").distinct(), "costly")
-        return pairs if costly.isEmpty() else pairs.union(self.allotted(costly))
-
-    def direct(self, shared: DataFrame, costs: DataFrame) -> DataFrame:
-        """Pairs of a set whose thresholds are all 0, which takes few comparisons, with any other."""
-        rows = shared.select("subset", "doc_id").join(costs, "doc_id")
-        x, y = rows.where("cheap").alias("x"), rows.alias("y")
-        apart = F.col("x.comp") != F.col("y.comp")
-        met = x.join(y, F.col("x.subset") == F.col("y.subset")).where(apart & self.sized("x", "y"))
-        return met.select(
-            F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")
-        ).distinct()
-
-    def allotted(self, open_docs: DataFrame) -> DataFrame:
-        """Pairs among sets that share subsets with many, each by the thresholds cheapest for it."""
-        lists = neighbourhoods(self.texts_of(open_docs).select("doc_id", "text", "comp"), self.k, self.threshold)
-        index = lists.select("doc_id", "comp", "scheme", "need", F.explode(F.arrays_zip("segment", "key", "deleted")).alias("x"))
-        index = self.stage.keep(index.select("doc_id", "comp", "scheme", "need", "x.*").distinct(), "index")
-        is_less = F.col("deleted").cast("long")
-        often = index.groupBy("key").agg(F.sum(1 - is_less).alias("exact"), F.sum(is_less).alias("less"))
-        met = F.when(F.col("deleted"), F.col("exact"))
-        cost = (
-            index.join(often, "key")
-            .groupBy("doc_id", "scheme", "need", "segment")
-            .agg(
-                F.max(F.when(~F.col("deleted"), F.col("exact"))).alias("c0"),
-                (F.coalesce(F.sum(met), F.lit(0)) + F.max(F.when(~F.col("deleted"), F.col("less")))).alias("c1"),
-            )
+        """Pairs of different components that share a subset which both have left in, and may link."""
+        parity = F.col("subset").bitwiseAND(1).cast("int")
+        shares = base.groupBy("doc_id").agg(*(F.min(F.get("shares", F.lit(k))).alias(f"share{k}") for k in (0, 1)))
+        by_cost = Window.partitionBy("doc_id", "parity").orderBy(F.desc("rows"), F.desc("subset"))
+        left_in = (
+            members.withColumn("parity", parity)
+            .withColumn("nth", F.row_number().over(by_cost))
+            .join(shares, "doc_id")
+            .where(F.col("nth") >= F.when(F.col("parity") == 0, F.col("share0")).otherwise(F.col("share1")))
         )
-        # a segment's first unit costs c0; the second comes after it and so costs at least as much
-        units = F.array(
-            F.struct(F.col("c0").alias("cost"), "segment", F.lit(1).alias("unit")),
-            F.struct(F.greatest("c0", "c1").alias("cost"), "segment", F.lit(2).alias("unit")),
+        left_in = left_in.join(comps, F.col("doc_id") == comps.node, "left").select(
+            "subset", "parity", "doc_id", F.coalesce("component", "doc_id").alias("comp")
         )
-        by_set = cost.groupBy("doc_id", "scheme", "need").agg(F.array_sort(F.flatten(F.collect_list(units))).alias("units"))
-        allotted = (
-            by_set.select("doc_id", "scheme", F.explode(F.slice("units", F.lit(1), F.col("need"))).alias("x"))
-            .groupBy("doc_id", "scheme", "x.segment")
-            .agg((F.count("*") - 1).alias("threshold"))
+        left_in = self.stage.keep(left_in, "left-in")
+        each = left_in.groupBy("subset", "comp").agg(F.count("*").alias("n"))
+        groups = each.groupBy("subset").agg(
+            F.count("*").alias("comps"), F.sum("n").alias("rows"), F.max(F.struct("n", "comp")).alias("most")
         )
-        probe = index.join(allotted, ["doc_id", "scheme", "segment"]).where(
-            (F.col("threshold") == 1) | ~F.col("deleted")
+        groups = groups.where("comps > 1").select(
+            "subset", F.col("most.comp").alias("largest"),
+            F.ceil(F.col("rows") * (F.col("rows") - F.col("most.n")) / COMPARED_AT_ONCE).cast("int").alias("deals"),
+        )
+        opened = self.stage.keep(left_in.join(groups, "subset"), "open")
+        if opened.isEmpty():
+            return None
+        ids = self.stage.keep(opened.select("doc_id").distinct(), "open-ids")
+        known = self.stage.keep(sketches(self.texts_of(ids).select("doc_id", "text"), self.k, self.threshold), "sketches")
+        rows = opened.join(known, ["doc_id", "parity"])
+        x = rows.where("comp != largest").withColumn("deal", F.pmod(F.xxhash64("doc_id"), "deals").cast("int")).alias("x")
+        y = rows.withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1))).alias("y")
+        once = (F.col("x.comp") != F.col("y.comp")) & (
+            (F.col("y.comp") == F.col("y.largest")) | (F.col("x.doc_id") < F.col("y.doc_id"))
         )
-        p, i = probe.alias("p"), index.alias("i")
-        meets = (F.col("p.threshold") == 1) & ~(F.col("p.deleted") & F.col("i.deleted")) | ~(F.col("p.deleted") | F.col("i.deleted"))
-        apart = (F.col("p.comp") != F.col("i.comp")) & meets
-        pair = p.join(i, F.col("p.key") == F.col("i.key")).where(apart)
-        return pair.select(
-            F.least("p.doc_id", "i.doc_id").alias("a"), F.greatest("p.doc_id", "i.doc_id").alias("b")
+        may_link = self.sized("x", "y") & (differing(F.col("x.bits"), F.col("y.bits")) <= self.most("x", "y"))
+        same = (F.col("x.subset") == F.col("y.subset")) & (F.col("x.deal") == F.col("y.deal"))
+        return x.join(y, same & once & may_link).select(
+            F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")
         )
 
     def run(self) -> DataFrame:
@@ -430,26 +377,27 @@ class JaccardJoin:
             base.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")).where("rows > 1")
         )
         copies = stage.keep(base.select("doc_id", *same).join(classes, same).where("doc_id != first").distinct(), "copies")
-        firsts = base.join(copies.select("doc_id", *same), ["doc_id", *same], "left_anti")
+        # beyond the bound the join moves each set's subsets once
+        gone = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
+        firsts = base.join(gone.select("doc_id", *same), ["doc_id", *same], "left_anti")
         subsets = firsts.select("doc_id", F.explode("subsets").alias("subset"))
-        groups = (
-            subsets.groupBy("subset").agg(F.min("doc_id").alias("center"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
-        )
-        members = stage.keep(subsets.join(groups, "subset"), "members")
+        together = Window.partitionBy("subset")
+        members = subsets.withColumn("rows", F.count("*").over(together)).withColumn("center", F.min("doc_id").over(together))
+        members = stage.keep(members.where("rows > 1"), "members")
         star = members.where("doc_id != center").select(F.col("center").alias("a"), F.col("doc_id").alias("b"))
-        tiny = base.where("whole IS NOT NULL").join(copies.select("doc_id", *same), ["doc_id", *same], "left_anti")
+        tiny = firsts.where("whole IS NOT NULL")
         less = tiny.select(F.col("doc_id").alias("b"), F.explode("less_one").alias("whole"))
         nearly = tiny.select(F.col("doc_id").alias("a"), "whole").join(less, "whole").select("a", "b").where("a != b")
         links = self.verified(star.union(nearly), base, "star")
         comps = stage.keep(components(links, stage, "first"), "comps")
-        more = self.across(members.select("subset", "doc_id"), comps, base)
+        more = self.across(members.drop("center"), comps, base)
         edges = comps.select(F.col("node").alias("a"), F.col("component").alias("b")).union(
             copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
         )
         if more is not None:
             edges = edges.union(self.verified(more, base, "across"))
         found = stage.keep(components(edges, stage, "all"), "found")
-        for part in ("copies", "members", "placed", "first-shared", "shared", "costs", "costly", "index", "comps"):
+        for part in ("copies", "members", "left-in", "open", "open-ids", "sketches", "comps"):
             stage.drop(part)
         labelled = base.select("doc_id", "n").join(found, base.doc_id == found.node, "left")
         return labelled.select(

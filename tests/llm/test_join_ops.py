@@ -4,6 +4,7 @@ import random
 import textwrap
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,15 +69,49 @@ def near_copies(seed, n=90):
     return [(i * 3 + 1, " ".join(t).title() if i % 5 == 0 else "  ".join(t)) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("seed, k, percent, direct", [(1, 4, 85, 1.0), (2, 5, 80, 0.0), (3, 2, 60, 0.0)])
-def test_jaccard_components_equal_all_pairs(spark, monkeypatch, seed, k, percent, direct):
-    monkeypatch.setattr(jaccard_join, "DIRECT", direct)  # 0: everything by one-deletion neighbourhoods
-    rows = near_copies(seed)
+def around_passages(seed, n=120):
+    """Texts that are mostly one of two passages, with words of their own at the ends and some changed."""
+    r = random.Random(seed)
+    word = lambda: f"w{r.randrange(100_000)}"
+    passages = [[word() for _ in range(m)] for m in (60, 90)]
+    rows = []
+    for i in range(n):
+        t = list(r.choice(passages))
+        for _ in range(r.choice([0, 0, 1, 2, 4])):
+            t[r.randrange(len(t))] = word()
+        own = [word() for _ in range(r.choice([0, 2, 5, 10, 20, 40]))]
+        rows.append((i, " ".join(own[: len(own) // 2] + t + own[len(own) // 2 :])))
+    return rows
+
+
+@pytest.mark.parametrize(
+    "rows, k, percent",
+    [(near_copies(1), 4, 85), (near_copies(2), 5, 80), (near_copies(3), 2, 60), (around_passages(4), 4, 85), (around_passages(5), 5, 80), (around_passages(6), 3, 70)],
+)
+def test_jaccard_components_equal_all_pairs(spark, monkeypatch, rows, k, percent):
+    monkeypatch.setattr(jaccard_join, "COMPARED_AT_ONCE", 50)  # so that subsets are dealt
     out = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), k, percent).collect()
     assert {r.doc_id: r.component_id for r in out} == brute.jaccard(rows, k, percent)
     assert {r.doc_id: r.n_shingles for r in out} == {i: len(brute.shingles(t, k)) for i, t in rows}
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sets_share_what_both_count_on(percent):
+    """For all sizes that may link, sets that differ as much as they may share the subsets that each leaves out, and one more."""
+    t = jaccard_join.Threshold(percent)
+    r = np.random.default_rng(percent)
+    for s in range(t.tiny() + 1, 120):
+        for p in {s, (s + t.largest_partner(s)) // 2, t.largest_partner(s)}:
+            common = -(-percent * (s + p) // (100 + percent))
+            tokens = r.integers(0, 2**63, s + p - common, dtype=np.uint64)
+            parts = [tokens[:s], np.concatenate([tokens[:common], tokens[s:]])]
+            segments = jaccard_join.Segments(jaccard_join.Sets(np.concatenate(parts), np.array([0, s, s + p])), t)
+            (a, of_a), (b, of_b) = segments.subsets(0), segments.subsets(1)
+            scheme = segments.schemes(p)[0]
+            here = [k for k in set(a.tolist()) & set(b.tolist()) if k & 1 == scheme & 1]
+            assert len(here) >= max(of_a[scheme & 1], of_b[scheme & 1]) >= 1
+
+
 def test_op3_equals_all_pairs(spark):
     docs = pairs(spark.read.parquet(f"{SF}/documents.parquet"))
     assert {r.doc_id: r.component_id for r in QUERIES["op3_jaccard_join"](spark, SF).collect()} == brute.jaccard(docs, 4, 85)
@@ -182,10 +217,75 @@ def test_chunks_cover_texts(spark):
             at += length
         assert at == len(text or "")
     out = chunk_dedup.repeated_passages(docs, least_chars=40).collect()
-    assert {6, 7} <= {x.doc_id for x in out} <= {6, 7, 8}
+    assert {6, 7, 11, 12} <= {x.doc_id for x in out} <= {6, 7, 8, 11, 12}
+    assert {(x.start, x.end, x.first_doc_id) for x in out if x.doc_id in (11, 12)} == {(0, 3, 11)}
     assert chunk_dedup.repeated_passages(docs.limit(0)).count() == 0
 
 
+def plain_passages(chunks, least_chars):
+    """{(doc_id, row): {place: first holder}} by all runs of at least so many characters, none of which is longer than need be."""
+    texts, holders, runs = {}, {}, []
+    for c in sorted(chunks, key=lambda c: (c.doc_id, c.row, c.start)):
+        texts.setdefault((c.doc_id, c.row), []).append(c)
+    for key, cs in texts.items():
+        chars = lambda a, b: sum(c.length for c in cs[a:b])
+        n = len(cs)
+        spans = [(0, n)] if chars(0, n) < least_chars else [
+            (a, b) for a in range(n) for b in range(a + 1, n + 1)
+            if chars(a, b) >= least_chars > min(chars(a + 1, b), chars(a, b - 1))
+        ]
+        for a, b in spans:
+            content = tuple((c.h1, c.h2) for c in cs[a:b])
+            holders.setdefault(content, set()).add(key[0])
+            runs.append((key, cs[a].start, cs[b - 1].start + cs[b - 1].length, content))
+    out = {key: {} for key in texts}
+    for key, start, end, content in runs:
+        if len(holders[content]) > 1:
+            for at in range(start, end):
+                out[key][at] = min(out[key].get(at, 1 << 60), min(holders[content]))
+    return out
+
+
+@pytest.mark.parametrize("heavy", [False, True])
+def test_passages_equal_a_plain_version(spark, monkeypatch, heavy):
+    if heavy:  # digests of most documents go by salts
+        monkeypatch.setattr(chunk_dedup, "SAMPLED", 1.0)
+        monkeypatch.setattr(chunk_dedup, "LEAST_HEAVY", 2)
+    r = random.Random(21)
+    passages = [prose(r, n) for n in (40, 60, 25)]
+    texts = [prose(r, r.randrange(1, 60)) + "\n" + r.choice([*passages, ""]) + " " + prose(r, r.randrange(30)) for _ in range(30)]
+    texts += ["short", "short", "ünïque short", texts[0], texts[1] + "!", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert bool(chunk_dedup.heavy_digests(docs, 150, chunk_dedup.CUT_BITS)) == heavy
+    wanted = {i: places for (i, _), places in plain_passages(chunk_dedup.chunks(docs).collect(), 150).items()}
+    found = {i: {} for i in wanted}
+    for x in chunk_dedup.repeated_passages(docs).collect():
+        assert x.kept == (x.doc_id == x.first_doc_id)
+        for at in range(x.start, x.end):
+            assert at not in found[x.doc_id]
+            found[x.doc_id][at] = x.first_doc_id
+    for i, places in wanted.items():
+        assert found[i].items() <= places.items()
+        # an open end beside an earlier holder is all that is left out
+        left = sorted(set(places) - set(found[i]))
+        assert all(at - left[0] < 200 or left[-1] - at < 200 for at in left)
+    assert sum(map(len, found.values())) > 0.98 * sum(map(len, wanted.values()))
+
+
+def test_recall_of_repeated_passages(spark):
+    """Documents that share 50 words in a row with another are found."""
+    sf = SF.replace("0.001", "0.01")
+    texts = dict(pairs(spark.read.parquet(f"{sf}/documents.parquet")))
+    holders = {}
+    for i, t in texts.items():
+        w = brute.words(t)
+        for a in range(len(w) - 49):
+            holders.setdefault(hash(tuple(w[a : a + 50])), set()).add(i)
+    wanted = set().union(*(h for h in holders.values() if len(h) > 1))
+    found = {x.doc_id for x in QUERIES["op4_chunk_dedup"](spark, sf).select("doc_id").distinct().collect()}
+    assert len(wanted) > 50 and len(wanted & found) / len(wanted) >= 0.95
+
+
 def test_op4_reports_only_repeated_text(spark):
     texts = dict(pairs(spark.read.parquet(f"{SF}/documents.parquet")))
     for x in QUERIES["op4_chunk_dedup"](spark, SF).collect():
@@ -257,6 +357,51 @@ def test_decontamination_of_awkward_rows(spark):
     assert decontamination.contaminated(docs, items.limit(0)).count() == 0
 
 
+def questions(seed):
+    """Documents with benchmark items copied, re-parameterised, broken, and tables of numbers; items of one id too."""
+    r = random.Random(seed)
+    name = lambda: r.choice(["Anna", "Tom", "Berlin", "Paris", "Ada"])
+    number = lambda: str(r.choice([1, 2, 3, 12, "3.5", "1,200"]))
+    word = lambda: r.choice(["walks", "to", "the", "station", "with", "apples", "and", "sees", "a", "train"])
+
+    def question():
+        return " ".join(r.choice([word, word, word, name, number, lambda: number() + " km"])() for _ in range(r.choice([3, 9, 20])))
+
+    def other_values(t):
+        swap = {v: r.choice([v, number()]) for v in ("1", "2", "3", "12", "3.5", "1,200")} | {n: name() for n in ("Anna", "Tom", "Berlin")}
+        return " ".join(swap.get(w, w) if r.random() < 0.95 else word() for w in t.split(" "))
+
+    items = [(i, question()) for i in range(8)] + [(8, " ".join(number() for _ in range(12))), (9, "row 1 col 2 " * 5), (0, question()), (10, None)]
+    docs = []
+    for i in range(30):
+        _, base = r.choice(items[:10])
+        parts = [question() + ".", r.choice([base, other_values(base), other_values(base)]), question()]
+        docs.append((i, "\n".join(r.sample(parts, 3))))
+    docs += [(40, " ".join(number() for _ in range(60))), (41, "row 1 col 2 " * 20), (42, "row 1 col 2 " * 9 + "row 2 col 1 " * 9), (0, items[3][1]), (43, "1 1 1 " * 20)]
+    return docs, items
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_contaminated_equals_all_places(spark, seed):
+    docs, items = questions(seed)
+    found = decontamination.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    wanted = brute.contaminated(docs, items)
+    assert set(map(tuple, found.collect())) == wanted and len(wanted) > 20
+
+
+def test_tables_of_numbers_are_not_paired_place_by_place(spark):
+    docs = spark.createDataFrame([(1, " ".join(str(i) for i in range(4000)))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(str(i + 7) for i in range(400)))], "item_id long, text string")
+    stage = Stage(spark, "test")
+    run = decontamination.Decontamination(docs, items, decontamination.Settings(), stage)
+    [row] = run.leaks().collect()
+    assert (row.n_windows, row.n_matched) == (393, 393)
+    # one row for each way in which they line up, in both forms at once where these do not differ
+    assert spark.read.parquet(f"{stage.root}/judged").count() <= 2 * (4000 + 400)
+
+
 def test_license_texts_and_notices(spark):
     mit = license_scan.TEXTS["MIT"]
     other = mit.replace("<year> <copyright holders>", "2019 Some One").replace("MIT License", "The MIT Licence", 1)
@@ -288,3 +433,21 @@ def test_notices_of_any_length(spark):
     notices = {"own": [long, "by me"], **license_scan.NOTICES}
     found = {(r.doc_id, r.line, r.license_id) for r in license_scan.license_scan(docs, notices=notices).collect()}
     assert found == {(1, 1, "own"), (2, 0, "own"), (3, 0, "MIT")}
+
+
+def test_license_twin_on_wrapped_texts(spark):
+    """The SQL twin takes the same lines for copyright statements."""
+    texts = [w for t in license_scan.TEXTS.values() for w in (t, textwrap.fill(t, 37), textwrap.fill(t, 61), "(c) 2020 X\n" + t)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [list(x) for x in enumerate(texts)])
+    mine = license_scan.license_scan(docs).select("doc_id", "scope", "line", "license_id", "digest").collect()
+    assert null_last(map(tuple, mine)) == null_last(con.execute(ORACLE["op10_license_scan"]).fetchall())
+    assert {r.license_id for r in mine if r.scope == "text"} == set(license_scan.TEXTS)
+
+
+def test_empty_lists_of_known_licenses_match_nothing(spark):
+    docs = spark.createDataFrame([(1, license_scan.TEXTS["MIT"]), (2, "Released under the MIT licence!")], "doc_id long, text string")
+    assert license_scan.license_scan(docs, texts={}, notices={}).count() == 0
+    assert {r.scope for r in license_scan.license_scan(docs, texts={}).collect()} == {"line"}
