@@ -5,6 +5,10 @@ replaced by typed placeholders. Windows of templates are hash-joined with those
 items, so a question whose numbers or names were exchanged still meets its original. Then the slots
 are compared: within one place of a document, an item's value must always stand for the same value
 of the document, otherwise the place only looks alike and does not count.
+
+Documents and items are first paired by their distinct windows. For the pairs that share enough, equal windows
+at even distances, as of a table of numbers, are runs, and two runs line up in as many ways as they
+are long together, each one row, so that repeated windows are not paired place by place.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filing_signals.functions.text import bind
@@ -39,7 +43,7 @@ _BETWEEN = r"[^\p{L}\p{N}\x01-\x04]+"
 class Settings:
     """`window` template tokens are joined at a time; a match needs `coverage` of an item's windows.
 
-    A windowed table of at most `broadcast_rows` rows (24 bytes each) is broadcast; a larger one is
+    A windowed table of at most `broadcast_rows` rows (36 bytes each) is broadcast; a larger one is
     joined by shuffle.
     """
 
@@ -132,23 +136,62 @@ def _windowed(given: DataFrame, key: list[str], sizes: list[int]) -> DataFrame:
     return given.select(*key, F.explode(windows(marked(F.col("text")), sizes)).alias("w")).select(*key, "w.*")
 
 
-def _slot_values(given: DataFrame, key: list[str]) -> DataFrame:
-    """(key, form, pos, kind, value) of every slot, numbered within its own text."""
-
-    def filled(place: Column) -> Column:
-        return F.concat(*(of_form(place, *form) for form in ((STRICT, _strict, "names"), (LOOSE, _loose, "any_names"))))
+def _slots_by_place(given: DataFrame, key: list[str]) -> DataFrame:
+    """(key, form, kinds, contents): what slot each token is, and its value; null for other tokens."""
 
     def of_form(place: Column, form: int, token: Callable[[Column], Column], names: str) -> Column:
-        at = F.transform(place["t"], lambda t, i: F.struct(F.lit(form).alias("form"), i.alias("pos"), token(t).alias("kind")))
+        at = F.transform(place["t"], lambda t, i: F.struct(i.alias("pos"), token(t).alias("kind")))
         values = {_NUMBER: "numbers", _NAME: names, _UNIT: "units"}
-        return F.concat(*(of_kind(at, place["s"][name], kind) for kind, name in values.items()))
+        every = F.array_sort(F.concat(*(of_kind(at, place["s"][name], kind) for kind, name in values.items())))
+        return bind(every, lambda x: F.struct(F.lit(form).alias("form"), spread(x, "kind").alias("kinds"), spread(x, "value").alias("contents")))
 
     def of_kind(at: Column, values: Column, kind: str) -> Column:
-        one = lambda x, nth: F.struct(*(x[c].alias(c) for c in ("form", "pos", "kind")), F.get(values, nth).alias("value"))
+        one = lambda x, nth: F.struct(x["pos"].alias("pos"), x["kind"].alias("kind"), F.get(values, nth).alias("value"))
         return F.transform(F.filter(at, lambda x: x["kind"] == kind), one)
 
+    def spread(slots: Column, name: str) -> Column:
+        # nulls between one slot and the next, so that a token's place is its index
+        before = lambda i: F.coalesce(F.get(slots, i - 1)["pos"], F.lit(-1))
+        none = F.lit(None).cast("string")
+        return F.flatten(F.transform(slots, lambda x, i: F.concat(F.array_repeat(none, x["pos"] - before(i) - 1), F.array(x[name]))))
+
     place = F.struct(marked(F.col("text")).alias("t"), slots(F.col("text")).alias("s"))
-    return given.select(*key, F.inline(bind(place, filled))).distinct()
+    both = bind(place, lambda p: F.array(of_form(p, STRICT, _strict, "names"), of_form(p, LOOSE, _loose, "any_names")))
+    return given.dropDuplicates(key).select(*key, F.inline(both))
+
+
+def _runs(places: DataFrame, key: list[str], pos: str, name: str) -> DataFrame:
+    """(key, form, size, hash, <name>_first, <name>_stride, <name>_n): places of one window at even distances."""
+    same = [*key, "form", "size", "hash"]
+    along = Window.partitionBy(*same).orderBy(pos)
+    gaps = places.withColumn("gap", F.col(pos) - F.lag(pos).over(along))
+    changed = (F.col("gap") != F.lag("gap").over(along)).cast("int")
+    numbered = gaps.withColumn("changed", F.coalesce(changed, F.lit(0))).withColumn("run", F.sum("changed").over(along))
+    return numbered.groupBy(*same, "run").agg(
+        F.min(pos).alias(f"{name}_first"), F.coalesce(F.max_by("gap", pos), F.lit(1)).alias(f"{name}_stride"), F.count("*").alias(f"{name}_n")
+    ).drop("run")
+
+
+def _alignments() -> Column:
+    """(shift, first, stride, n) of each way in which a document's run lines up with an item's: the item's
+    places first, first + stride, ... that meet the document's run there."""
+    d, i = ({c: F.col(f"{of}_{c}") for c in ("first", "stride", "n")} for of in ("doc", "item"))
+    stride = F.when(d["n"] > 1, d["stride"]).when(i["n"] > 1, i["stride"]).otherwise(1)
+    even = (d["n"] == 1) | (i["n"] == 1) | (d["stride"] == i["stride"])
+
+    def made(shift: Column, first: Column, n: Column) -> Column:
+        return F.struct(shift.cast("int").alias("shift"), first.cast("int").alias("first"), stride.cast("int").alias("stride"), n.cast("int").alias("n"))
+
+    def evenly(k: Column) -> Column:
+        skipped = F.greatest(-k, F.lit(0))
+        return made(d["first"] - i["first"] + stride * k, i["first"] + stride * skipped, F.least(i["n"] - 1, d["n"] - 1 - k) - skipped + 1)
+
+    def singly(j: Column) -> Column:
+        at = i["first"] + i["stride"] * j
+        return F.transform(F.sequence(F.lit(0).cast("long"), d["n"] - 1), lambda k: made(d["first"] + d["stride"] * k - at, at, F.lit(1)))
+
+    uneven = F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), i["n"] - 1), singly))
+    return F.when(even, F.transform(F.sequence(1 - i["n"], d["n"] - 1), evenly)).otherwise(uneven)
 
 
 _DOC, _ITEM = ["doc_id", "doc_text"], ["item_id", "item_text"]
@@ -170,64 +213,87 @@ class Decontamination:
         """A written table, marked for broadcast if it is small enough."""
         return F.broadcast(df) if df.count() <= self.s.broadcast_rows else df
 
-    def hits(self) -> DataFrame:
-        """(doc_id, doc_text, item_id, item_text, form, size, pos, item_pos) of windows that a document and an item share in a form."""
+    def windows(self) -> tuple[DataFrame, DataFrame]:
+        """Windows of the items, and those of the documents that any item has, by form."""
         sizes = sorted(r["size"] for r in self.items.select("size").distinct().collect())  # at most `window`
         sizes = sizes or [self.s.window]  # no items, no hits
         own = _windowed(self.items, _ITEM, sizes).join(self.items.select(*_ITEM, "size"), [*_ITEM, "size"])
-        plain = self.stage.keep(own.select(*_ITEM, F.col("pos").alias("item_pos"), "size", "hash", F.col("forms").alias("item_forms")).distinct(), "windows")
-        found = _windowed(self.docs, _DOC, sizes).join(self.small(plain), ["size", "hash"])
-        forms = F.col("forms").bitwiseAND(F.col("item_forms"))
-        each = F.filter(F.array(F.lit(STRICT), F.lit(LOOSE)), lambda f: forms.bitwiseAND(f) != 0)
-        return found.select(*_DOC, *_ITEM, F.explode(each).alias("form"), "size", "pos", "item_pos").distinct()
+        own = self.stage.keep(own.select(*_ITEM, F.col("pos").alias("item_pos"), "size", "hash", "forms").distinct(), "windows")
+        keys = own.groupBy("size", "hash").agg(F.bit_or("forms").alias("item_forms"))
+        shared = F.col("forms").bitwiseAND(F.col("item_forms"))
+        found = _windowed(self.docs, _DOC, sizes).join(self.small(self.stage.keep(keys, "keys")), ["size", "hash"])
+        found = found.where(shared != 0).select(*_DOC, "pos", "size", "hash", shared.alias("forms")).distinct()
+        each = lambda df: df.withColumn("form", F.explode(F.array(F.lit(STRICT), F.lit(LOOSE)))).where("forms & form != 0").drop("forms")
+        return each(own), each(self.stage.keep(found, "found"))
+
+    def likely(self, own: DataFrame, found: DataFrame) -> DataFrame:
+        """Pairs that share enough windows, whatever their places and slots."""
+        total = self.items.select(*_ITEM, (F.col("tokens") - F.col("size") + 1).cast("long").alias("n_windows"))
+        window = ["form", "size", "hash"]
+        met = found.select("doc_id", *window).distinct().join(self.small(self.stage.keep(own, "own")), window)
+        per_pair = met.groupBy("doc_id", *_ITEM).agg(F.countDistinct("item_pos").alias("n_matched"))
+        return self.stage.keep(per_pair.join(total, _ITEM).where(self.enough()).select("doc_id", *_ITEM, "n_windows"), "likely")
+
+    def enough(self) -> Column:
+        return F.col("n_matched") >= self.s.coverage * F.col("n_windows")
 
     def leaks(self) -> DataFrame:
-        hits = self.stage.keep(self.hits(), "hits")
+        own, found = self.windows()
+        likely = self.likely(own, found)
         pair = ["doc_id", *_ITEM]
-        total = self.items.select(*_ITEM, (F.col("tokens") - F.col("size") + 1).cast("long").alias("n_windows"))
-        per_pair = hits.groupBy(*pair).agg(F.countDistinct("item_pos").alias("n_matched"))
-        enough = F.col("n_matched") >= self.s.coverage * F.col("n_windows")
-        likely = self.stage.keep(per_pair.join(total, _ITEM).where(enough).select(*pair, "n_windows"), "likely")
-        # slots of likely documents and items, side by side along each way they line up
-        of_docs = self.docs.join(self.small(self.stage.keep(likely.select("doc_id").distinct(), "likely-docs")), "doc_id")
-        doc_slots = _slot_values(of_docs, _DOC).drop("kind").withColumnRenamed("value", "doc_value")
-        item_slots = _slot_values(self.items.select(*_ITEM, "text"), _ITEM).select(
-            *_ITEM, "form", F.col("pos").alias("item_pos"), F.col("kind").alias("item_kind"), "value"
-        )
-        lined = hits.join(likely, pair).withColumn("shift", F.col("pos") - F.col("item_pos"))
+        docs = self.small(self.stage.keep(likely.select("doc_id").distinct(), "likely-docs"))
+        of_items = _runs(own.join(F.broadcast(likely.select(*_ITEM).distinct()) if likely.count() <= self.s.broadcast_rows else likely.select(*_ITEM).distinct(), _ITEM), _ITEM, "item_pos", "item")
+        of_docs = _runs(found.join(docs, "doc_id"), _DOC, "pos", "doc")
+        met = of_docs.join(likely, "doc_id").join(of_items, [*_ITEM, "form", "size", "hash"])
         place = [*_DOC, *_ITEM, "form", "shift"]
-        covered = lined.select(
-            *place, F.explode(F.sequence("item_pos", F.col("item_pos") + F.col("size") - 1)).alias("item_pos")
-        ).distinct()
-        filled = (
-            covered.join(item_slots, [*_ITEM, "form", "item_pos"])
-            .withColumn("pos", F.col("item_pos") + F.col("shift"))
-            .join(doc_slots, [*_DOC, "form", "pos"], "left")
-        )
-        per_value = filled.groupBy(*place, "item_kind", "value").agg(
-            F.count("*").alias("n"),
-            F.countDistinct("doc_value").alias("values"),
-            F.sum((F.col("doc_value") != F.col("value")).cast("long")).alias("other"),
-        )
-        consistency = per_value.groupBy(*place).agg(
-            (F.max("values") <= 1).alias("consistent"), F.sum("n").alias("n_slots"), F.sum("other").alias("n_changed")
-        )
-        judged = lined.join(consistency, place, "left").where(F.coalesce("consistent", F.lit(True)))
+        lined = met.select(*_DOC, *_ITEM, "n_windows", "form", "size", F.explode(_alignments()).alias("a")).select("*", "a.*")
+        # runs of one way to line up: at most as many as the item has windows
+        ways = lined.groupBy(*place, "n_windows").agg(F.collect_set(F.struct("first", "stride", "n", "size")).alias("runs"))
+        item_slots = _slots_by_place(self.items.select(*_ITEM, "text"), _ITEM)
+        doc_slots = _slots_by_place(self.docs.join(docs, "doc_id"), _DOC).select(*_DOC, "form", F.col("contents").alias("doc_contents"))
+        ways = ways.join(item_slots, [*_ITEM, "form"], "left").join(doc_slots, [*_DOC, "form"], "left")
+        judged = self.stage.keep(ways.select(*pair, "doc_text", "n_windows", "form", "shift", self.judged().alias("j")).select("*", "j.*").drop("j"), "judged")
+        judged = judged.where("consistent")
         # slots of a place by the form that has more of its windows, by the strict one if both have all
-        of_form = judged.groupBy(*place, "n_slots", "n_changed").agg(F.countDistinct("item_pos").alias("n_here"))
-        fullest = F.max(F.struct("n_here", -F.col("form"), "n_slots", "n_changed")).alias("p")
-        slots_of = of_form.groupBy(*_DOC, *_ITEM, "shift").agg(fullest).groupBy(*pair).agg(
+        fullest = F.max(F.struct(F.size("positions").alias("n_here"), (-F.col("form")).alias("order"), "n_slots", "n_changed")).alias("p")
+        slots_of = judged.groupBy(*_DOC, *_ITEM, "shift").agg(fullest).groupBy(*pair).agg(
             F.coalesce(F.sum("p.n_slots"), F.lit(0)).alias("n_slots"), F.coalesce(F.sum("p.n_changed"), F.lit(0)).alias("n_changed")
         )
-        found = (
-            judged.groupBy(*pair, "n_windows").agg(F.countDistinct("item_pos").alias("n_matched")).where(enough).join(slots_of, pair)
-        )
+        matched = judged.select(*pair, "n_windows", F.explode("positions").alias("item_pos")).distinct()
+        found = matched.groupBy(*pair, "n_windows").agg(F.count("*").alias("n_matched")).where(self.enough()).join(slots_of, pair)
         # of several texts of one item the one that is found the most
         most = F.struct(F.col("n_matched") / F.col("n_windows"), "n_windows", "n_matched", "n_slots", "n_changed")
         return found.groupBy("doc_id", "item_id").agg(F.max(most).alias("m")).select(
             "doc_id", "item_id", "m.n_windows", "m.n_matched", "m.n_slots", "m.n_changed"
         )
 
+    def judged(self) -> Column:
+        """(positions, consistent, n_slots, n_changed) of one way to line up: the item's places that match there,
+        and whether a value of the item always stands for the same one of the document."""
+
+        def places(r: Column) -> Column:
+            return F.transform(F.sequence(F.lit(0), r["n"] - 1), lambda k: r["first"] + r["stride"] * k)
+
+        def tokens(r: Column) -> Column:
+            return F.flatten(F.transform(places(r), lambda at: F.sequence(at, at + r["size"] - 1)))
+
+        def slots_at(covered: Column) -> Column:
+            slot = lambda at: F.struct(F.get("kinds", at).alias("kind"), F.get("contents", at).alias("value"), F.get("doc_contents", at + F.col("shift")).alias("doc_value"))
+            return F.filter(F.transform(covered, slot), lambda x: x["kind"].isNotNull())
+
+        def compared(x: Column) -> Column:
+            known = F.filter(x, lambda v: v["doc_value"].isNotNull())
+            ways = lambda *names: F.size(F.array_distinct(F.transform(known, lambda v: F.struct(*(v[n].alias(n) for n in names)))))
+            return F.struct(
+                F.array_distinct(F.flatten(F.transform("runs", places))).alias("positions"),
+                (ways("kind", "value") == ways("kind", "value", "doc_value")).alias("consistent"),
+                F.size(x).cast("long").alias("n_slots"),
+                F.size(F.filter(known, lambda v: v["value"] != v["doc_value"])).cast("long").alias("n_changed"),
+            )
+
+        covered = F.array_distinct(F.flatten(F.transform("runs", tokens)))
+        return bind(bind(covered, slots_at), compared)
+
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings()) -> DataFrame:
     """(doc_id, item_id, n_windows, n_matched, n_slots, n_changed): items found in documents.
