@@ -145,3 +145,100 @@ def window_entropy(s, window):
 
 def sha(s):
     return hashlib.sha256(s.encode()).hexdigest()
+
+
+def ftrl(rows, labels, s):
+    """{bucket: weight} and the bias, by FTRL-proximal one coordinate at a time."""
+    texts = Counter(f for r in rows for f in set(r))
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(f):
+        if f != "bias" and abs(z[f]) <= s.l1:
+            return 0.0
+        shrunk = z[f] if f == "bias" else z[f] - math.copysign(s.l1, z[f])
+        return -shrunk / ((s.beta + math.sqrt(n[f])) / s.alpha + s.l2)
+
+    for _ in range(s.epochs):
+        for r, y in zip(rows, labels):
+            features = [f for f in r if texts[f] >= s.least_texts] + ["bias"]
+            w = {f: weight(f) for f in features}
+            total = max(-35.0, min(35.0, sum(w.values())))
+            g = 1 / (1 + math.exp(-total)) - y
+            for f in features:
+                sigma = (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / s.alpha
+                z[f] += g - sigma * w[f]
+                n[f] += g * g
+    found = {f: weight(f) for f in texts if texts[f] >= s.least_texts}
+    return {f: w for f, w in found.items() if w}, weight("bias")
+
+
+def template_tokens(text):
+    """[(strict token, loose token, strict slot value, loose slot value)] of a text."""
+    import regex
+
+    from filing_signals.llm import decontamination as D
+
+    c = (text or "").translate(str.maketrans(dict.fromkeys(map(chr, range(1, 5)), " ")))
+    units = [u.strip().lower() for u in regex.findall(D.UNIT, c)]
+    c = regex.sub(D.UNIT, " \x03 ", c)
+    names, any_names = ([n.lower() for n in regex.findall(p, c)] for p in (D.NAME, D.ANY_NAME))
+    c = regex.sub(D.NAME, "\x02", c)
+    numbers = [n.lower() for n in regex.findall(D.NUMBER, c)]
+    c = regex.sub(D.NUMBER, " \x01 ", regex.sub(D.ANY_NAME, lambda m: "\x04" + m[0], c))
+    tokens = [t for t in regex.split(D._BETWEEN, c.lower()) if t]
+    out, used = [], Counter()
+    for t in tokens:
+        strict, loose = t.lstrip("\x04"), "\x02" if t.startswith("\x04") else t
+        values = []
+        for form, token, lists in (("s", strict, names), ("l", loose, any_names)):
+            of = {"\x01": numbers, "\x02": lists, "\x03": units}.get(token)
+            values.append(of[used[form, token]] if of is not None else None)
+            used[form, token] += of is not None
+        out.append((strict, loose, *values))
+    return out
+
+
+def contaminated(docs, items, window=8, coverage=0.5):
+    """{(doc_id, item_id, n_windows, n_matched, n_slots, n_changed)} by comparing all places of all pairs."""
+    texts = defaultdict(list)
+    for i, t in set(docs):
+        if i is not None:
+            texts[i].append(template_tokens(t))
+    out = {}
+    for item_id, text in set(items):
+        item = template_tokens(text)
+        if item_id is None or not item:
+            continue
+        size = min(window, len(item))
+        n_windows = len(item) - size + 1
+        gram = lambda tokens, at, form: tuple(t[form] for t in tokens[at : at + size])
+        for doc_id, of_doc in texts.items():
+            ways = defaultdict(set)
+            for k, doc in enumerate(of_doc):
+                for form in (0, 1):
+                    places = defaultdict(list)
+                    for at in range(len(doc) - size + 1):
+                        places[gram(doc, at, form)].append(at)
+                    for p in range(n_windows):
+                        for at in places[gram(item, p, form)]:
+                            ways[k, at - p, form].add(p)
+            if len(set().union(*ways.values())) < coverage * n_windows:
+                continue
+            matched, fullest = set(), {}
+            for (k, shift, form), at in ways.items():
+                stands, n_slots, n_changed = defaultdict(set), 0, 0
+                for p in set().union(*(range(a, a + size) for a in at)):
+                    value = item[p][2 + form]
+                    if value is not None:
+                        other = of_doc[k][p + shift][2 + form]
+                        n_slots += 1
+                        n_changed += other is not None and other != value
+                        if other is not None:
+                            stands[item[p][form], value].add(other)
+                if all(len(v) < 2 for v in stands.values()):
+                    matched |= at
+                    fullest[k, shift] = max(fullest.get((k, shift), (0,)), (len(at), -form, n_slots, n_changed))
+            if matched and len(matched) >= coverage * n_windows:
+                found = (len(matched) / n_windows, n_windows, len(matched), sum(f[2] for f in fullest.values()), sum(f[3] for f in fullest.values()))
+                out[doc_id, item_id] = max(out.get((doc_id, item_id), (0,)), found)
+    return {(*k, *v[1:]) for k, v in out.items()}

@@ -1,5 +1,6 @@
 """Packing, repetition and toxicity against plain versions."""
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +136,25 @@ def test_toxicity_of_awkward_rows(spark):
     none = toxicity.toxicity(docs, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5}
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_ftrl_equals_a_plain_version():
+    r = np.random.default_rng(5)
+    s = toxicity.Settings(bits=10, epochs=3, l1=0.7, least_texts=2)
+    rows = [np.unique(r.choice(200, r.integers(0, 40), p=np.arange(1, 201) / 20100)).astype(np.int32) for _ in range(150)]
+    labels = np.array([float(7 in x or r.random() < 0.1) for x in rows])
+    buckets, weights, bias = toxicity.ftrl(rows, labels, s)
+    plain, plain_bias = brute.ftrl([x.tolist() for x in rows], labels.tolist(), s)
+    assert set(buckets.tolist()) == set(plain) and 0 < len(plain) < 200
+    assert all(abs(plain[b] - w) < 1e-9 for b, w in zip(buckets.tolist(), weights)) and abs(bias - plain_bias) < 1e-9
+
+
+def test_repeated_rows_do_not_fill_the_sample(spark):
+    rows = [(1, "the same text")] * 500 + [(1, "another text of it")] + [(i, f"text number {i}") for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(1, 60)], "doc_id long, quality int, toxic int")
+    s = toxicity.Settings(sample_rows=20)
+    sample = toxicity.labelled_sample(docs, labels, s).collect()
+    known = [r.doc_id for r in labels.where(~toxicity.held_out("doc_id")).orderBy(F.xxhash64("doc_id")).collect()]
+    assert len(sample) == 20 and {r.doc_id for r in sample} <= set(known[:20])
+    assert sum(r.doc_id == 1 for r in toxicity.labelled_sample(docs, labels, toxicity.Settings()).collect()) <= 2
