@@ -3,9 +3,10 @@
 A gear rolling hash over the bytes cuts texts where the content says so: after a cut the next one
 depends on the bytes near it alone, so an insertion moves only the chunks around it. A chunk may be a
 few bytes that unrelated texts share by chance, so it is never looked up alone: runs of chunks that
-just reach the least length of a passage are digested, and digests that several documents hold are
-found by a count that combines on the map side. What such runs cover is reported as repeated
-passages.
+just reach the least length of a passage are digested, and the rows of a digest meet in one exchange,
+where those that one document alone holds are left out. Digests that hold a notable share of all runs,
+found on a sample, are salted, and their few partial results joined. What shared runs cover is reported
+as repeated passages.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from filing_signals.functions.text import bind
+from filing_signals.llm.staging import Stage
 from filing_signals.llm.words import byte_slices, mixed, raw_bytes
 
 #: The gear hash of a place covers so many bytes before it.
@@ -27,6 +29,10 @@ GEAR_BYTES = 16
 CUT_BITS = 5
 #: Longer stretches without a cut are cut at this many bytes after the last.
 LONGEST_CHUNK = 1024
+#: Digests with this share of a sample's runs are salted, so there are at most 1 / HEAVY of them. The
+#: sample decides on that alone.
+HEAVY, LEAST_HEAVY, SAMPLED = 1 / 4096, 16, 1 / 64
+SALTS = 256
 
 CHUNKS = "doc_id long, row long, start long, length int, h1 long, h2 long"
 #: `low` and `high` are the ends of a run: characters before it << 32 | chunks before it, and
@@ -136,7 +142,7 @@ def least_runs(c: dict[str, np.ndarray], least_chars: int) -> dict[str, np.ndarr
     """Runs of chunks of one text that have `least_chars` characters, but less without their last or first.
 
     From each chunk on, and up to each chunk. Two texts that share chunks of so many characters in
-    a row share such runs, and these cover all of them.
+    a row share such runs, and these cover all of them. A text of fewer characters is one run.
     """
     n = len(c["row"])
     ends = np.cumsum(c["length"])
@@ -148,8 +154,11 @@ def least_runs(c: dict[str, np.ndarray], least_chars: int) -> dict[str, np.ndarr
     back = np.flatnonzero((first >= 0) & (c["row"][np.maximum(first, 0)] == c["row"]))
     # a run up to a chunk where one from another chunk ends is among those already
     back = np.setdiff1d(back, last[whole])
-    i, j = np.concatenate([each[whole], first[back]]), np.concatenate([last[whole], each[back]])
     of_row = np.searchsorted(c["row"], c["row"])  # first chunk of the text
+    closing = np.flatnonzero(np.concatenate([c["row"][1:] != c["row"][:-1], [True]])[:n])
+    short = closing[ends[closing] - starts[of_row[closing]] < least_chars]
+    i = np.concatenate([each[whole], first[back], of_row[short]])
+    j = np.concatenate([last[whole], each[back], short])
     text_end = np.concatenate([c["row"][1:] != c["row"][:-1], [True]])[:n] * TEXT_END
     out = {"row": c["row"][i]}
     out["low"] = c["start"][i] << 32 | (i - of_row[i])
@@ -227,29 +236,50 @@ def repeated_passages(docs: DataFrame, least_chars: int = 150, bits: int = CUT_B
     """(doc_id, start, end, n_chunks, first_doc_id, kept) of passages found in several documents.
 
     Repeated is what lies in a run of chunks, of at least `least_chars` characters, that another
-    document has in a row too; `start` and `end` are in characters, end exclusive. The first holder of a
+    document has in a row too, and a text of fewer characters that is the whole text of another document;
+    `start` and `end` are in characters, end exclusive. The first holder of a
     place is the smallest document that has such a run over it. A passage is repeated text in a row
     with one first holder, `first_doc_id`, and is `kept` in the document where that is the document
     itself: each place is kept in one document, and a passage may be shorter than `least_chars` where a
     part of a repeated run has an earlier holder. Where that part reaches to the first or last chunk of a
     text, that chunk, which ends with the text and not at a cut, is left out. Both ends fall on cuts, so up to a chunk at either end
     of what two documents share may lie outside, and a passage that only repeats a few bytes has no cut
-    and is not found when the texts around it differ. Exact copies of at least `least_chars` characters
-    are covered from end to end but for that. A null or empty text has no chunks; rows without an id are left out;
-    rows that repeat an id are one document, whose texts are told apart. Other columns are not read.
+    and is not found when the texts around it differ. Exact copies are covered from end to end but for
+    that. A null or empty text has no chunks; rows without an id are left out;
+    rows that repeat an id are one document, whose texts are told apart. Long texts are cut whole, and an
+    empty table has no passages. Other columns are not read. Jobs run, and a table is written to the
+    shared folder, when this is called.
     """
+    stage = Stage(docs.sparkSession, "passages")
     every = digested_runs(docs, least_chars, bits)
-    shared = (
-        every.groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"))
-        .where("first_doc_id != last")
-        .drop("last")
+    heavy = heavy_digests(docs, least_chars, bits)
+    is_heavy = F.col("h1").isin(heavy) if heavy else F.lit(False)
+    salt = F.when(is_heavy, F.pmod(F.xxhash64("doc_id", "row"), F.lit(SALTS))).otherwise(0)
+    holders = Window.partitionBy("h1", "h2", "salt")
+    met = every.withColumn("salt", salt.cast("int")).withColumns(
+        {"first_doc_id": F.min("doc_id").over(holders), "last": F.max("doc_id").over(holders)}
     )
-    hits = every.join(shared, ["h1", "h2"]).select("doc_id", "row", "low", "high", "first_doc_id")
+    met = stage.keep(met.where(is_heavy | (F.col("first_doc_id") != F.col("last"))).drop("salt"), "met")
+    hits = met
+    if heavy:
+        whole = met.where(is_heavy).groupBy("h1", "h2").agg(F.min("first_doc_id").alias("_first"), F.max("last").alias("_last"))
+        # at most one row for each heavy digest, but for chance ones that agree in half of their bits
+        hits = met.join(F.broadcast(whole), ["h1", "h2"], "left").withColumns(
+            {"first_doc_id": F.coalesce("_first", "first_doc_id"), "last": F.coalesce("_last", "last")}
+        )
+    hits = hits.where("first_doc_id != last").select("doc_id", "row", "low", "high", "first_doc_id")
     ordered = hits.repartition("doc_id", "row").sortWithinPartitions("doc_id", "row", "low", "high")
     return ordered.mapInArrow(_swept, PASSAGES).withColumn("kept", F.col("first_doc_id") == F.col("doc_id"))
 
 
+def heavy_digests(docs: DataFrame, least_chars: int, bits: int) -> list[int]:
+    """`h1` of digests that hold at least HEAVY of the runs in a sample of the rows."""
+    seen = Observation()
+    counts = digested_runs(docs.sample(SAMPLED, seed=1), least_chars, bits).groupBy("h1").agg(F.count("*").alias("n"))
+    most = counts.observe(seen, F.sum("n").alias("runs")).orderBy(F.desc("n")).limit(int(1 / HEAVY)).collect()
+    return [r.h1 for r in most if r.n >= max(LEAST_HEAVY, HEAVY * seen.get["runs"])]
+
+
 def without(text: Column, spans: Column) -> Column:
     """The text less the spans (start, end), an array in order without overlaps."""
 
