@@ -291,21 +291,40 @@ _INNER, _FIRST, _LAST = 0, 1, 2
 def compared(docs: DataFrame, rank: np.ndarray, s: Settings, stage: Stage) -> DataFrame:
     """Fingerprints of each row, of its edited text, and how alike both and the next row's are."""
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for batch in batches:
+            raw = batch.column(1).cast(pa.binary()).to_pylist()
+            packed = pa.array([codec.compress(t, asbytes=True) for t in raw], pa.binary())
+            size = pa.array([len(t) for t in raw], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed, size, *batch.columns[2:]], names=["doc_id", "packed", "size", "_text", "_row"])
+
+    def unpacked(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[str]]]:
+        """Rows of about 2 MB of text at once."""
+        codec = pa.Codec("zstd")
+        ids, sizes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+        held, begin = 0, 0
+        for i, n in enumerate(sizes):
+            held += n
+            if held > 2 << 20 or i + 1 == len(sizes):
+                raw = batch.column(1).slice(begin, i + 1 - begin).to_pylist()
+                yield ids[begin : i + 1], [codec.decompress(t, m, asbytes=True).decode() for t, m in zip(raw, sizes[begin : i + 1])]
+                held, begin = 0, i + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, part, blank = [], [], None, [[], [], [], [], [], []]
+        ids, texts, part = [], [], None
         for batch in batches:
-            for row, found in byte_slices(batch.column(1), 2 << 20):
+            for more_ids, more in unpacked(batch):
                 if part is None:
-                    part = batch.column(2)[0].as_py()
-                    first = found[0].as_py()
-                    yield _batch([[None], *([None] for _ in blank)], part, _FIRST, [first])
-                ids += batch.column(0).slice(row, len(found)).to_pylist()
-                texts += found.to_pylist()
+                    part = batch.column(3)[0].as_py()
+                    yield _batch([[None]] * 7, part, _FIRST, more[:1])
+                ids += more_ids
+                texts += more
                 if len(ids) > 1:
                     yield _batch(_columns(ids[:-1], texts[:-1], texts[1:], rank, s), part, _INNER, [None] * (len(ids) - 1))
                     ids, texts = ids[-1:], texts[-1:]
         if ids:
-            yield _batch([ids, *([None] for _ in blank)], part, _LAST, texts)
+            yield _batch([ids, *[[None]] * 6], part, _LAST, texts)
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,8 +335,10 @@ def compared(docs: DataFrame, rank: np.ndarray, s: Settings, stage: Stage) -> Da
     order = [F.asc_nulls_last("doc_id"), F.asc("_text"), F.asc("_row")]
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     given = given.withColumns({"_text": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
-    dealt = given.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = dealt.select("doc_id", "text", F.spark_partition_id().alias("part"))
+    # texts are the bulk of what the exchange moves, and the codec of shuffles does little to prose
+    packed = given.select("doc_id", "text", "_text", "_row").mapInArrow(pack, "doc_id long, packed binary, size long, _text long, _row long")
+    dealt = packed.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = dealt.select("doc_id", "packed", "size", F.spark_partition_id().alias("part"))
     # filters are mostly noise to a fast codec, but have far fewer ones than zeros
     found = stage.keep(rows.mapInArrow(run, NEAR), "found", compression="zstd")
     # one first and one last row of each partition that has rows
@@ -328,7 +349,7 @@ def compared(docs: DataFrame, rank: np.ndarray, s: Settings, stage: Stage) -> Da
     texts = firsts.select(F.col("part").alias("next"), F.col("text").alias("following"))
     lasts = found.where(F.col("edge") == _LAST).select("part", "doc_id", "text").join(following, "part").join(texts, "next")
     closed = lasts.select("doc_id", "text", "following").mapInArrow(close, NEAR)
-    written = [F.base64(c).alias(c) for c in ("fingerprint", "edited_fingerprint")]
+    written = [F.translate(F.base64(c), "\r\n", "").alias(c) for c in ("fingerprint", "edited_fingerprint")]
     every = found.where(F.col("edge") == _INNER).union(closed)
     return every.select("doc_id", "n_chars", "edited_sha256", *written, "near_edited", "near_next")
 
