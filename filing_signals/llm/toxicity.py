@@ -97,17 +97,35 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFram
     return rows.select("sample_key", "doc_id", "label", "text").mapInArrow(run, FEATURES)
 
 
-def ftrl(rows: list[np.ndarray], labels: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, float]:
-    """(buckets, weights, bias) with all weights that are not zero. One pass per epoch, in order."""
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0), 0.0
+def compacted(parts: list[tuple[np.ndarray, np.ndarray]], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, offsets, used): all rows' features as places in `used`, the buckets found in enough rows.
+
+    `parts` are (buckets, offsets) of some rows each; they are taken out one by one, so that the sample is held
+    once.
+    """
     texts = np.zeros(1 << s.bits, np.int32)
-    for r in rows:
-        texts[r] += 1  # a text has each of its features once
+    for buckets, _ in parts:
+        texts += np.bincount(buckets, minlength=1 << s.bits).astype(np.int32)  # a row has each of its features once
     used = np.flatnonzero(texts >= s.least_texts)
     place = np.full(1 << s.bits, -1, np.int32)
     place[used] = np.arange(len(used))
-    rows = [p[p >= 0] for p in (place[r] for r in rows)]
+    found, ends = [], [np.zeros(1, np.int64)]
+    while parts:
+        buckets, offsets = parts.pop(0)
+        at = place[buckets]
+        kept = at >= 0
+        before = np.concatenate([[0], np.cumsum(kept)])
+        ends.append(ends[-1][-1] + before[offsets[1:]])
+        found.append(at[kept])
+    return np.concatenate([np.zeros(0, np.int32), *found]), np.concatenate(ends), used
+
+
+def ftrl(parts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, float]:
+    """(buckets, weights, bias) with all weights that are not zero. One pass per epoch, in order."""
+    if not len(labels):
+        return np.zeros(0, np.int64), np.zeros(0), 0.0
+    places, offsets, used = compacted(parts, s)
+    rows = [places[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
     z, n = np.zeros(len(used) + 1), np.zeros(len(used) + 1)  # the last place is the bias
     rate = lambda n: (s.beta + np.sqrt(n)) / s.alpha
 
@@ -137,15 +155,14 @@ def train(sample: DataFrame, s: Settings) -> list[tuple[int, float]]:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[np.ndarray] = []
-        labels: list[int] = []
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        labels: list[np.ndarray] = []
         for batch in batches:
             lists = batch.column(1)
-            at = lists.offsets.to_numpy()
-            values = lists.values.to_numpy()
-            rows.extend(values[a:b].copy() for a, b in zip(at[:-1], at[1:]))
-            labels.extend(batch.column(0).to_pylist())
-        bucket, weight, bias = ftrl(rows, np.array(labels, float), s)
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            parts.append((lists.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0]))
+            labels.append(batch.column(0).to_numpy(zero_copy_only=False))
+        bucket, weight, bias = ftrl(parts, np.concatenate([np.zeros(0), *labels]), s)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(bucket, -1)), pa.array(np.append(weight, bias))], names=["bucket", "weight"]
         )

@@ -143,7 +143,9 @@ def test_ftrl_equals_a_plain_version():
     s = toxicity.Settings(bits=10, epochs=3, l1=0.7, least_texts=2)
     rows = [np.unique(r.choice(200, r.integers(0, 40), p=np.arange(1, 201) / 20100)).astype(np.int32) for _ in range(150)]
     labels = np.array([float(7 in x or r.random() < 0.1) for x in rows])
-    buckets, weights, bias = toxicity.ftrl(rows, labels, s)
+    ends = lambda part: np.cumsum([0, *(len(x) for x in part)])
+    parts = [(np.concatenate(part), ends(part)) for part in (rows[:60], rows[60:])]
+    buckets, weights, bias = toxicity.ftrl(parts, labels, s)
     plain, plain_bias = brute.ftrl([x.tolist() for x in rows], labels.tolist(), s)
     assert set(buckets.tolist()) == set(plain) and 0 < len(plain) < 200
     assert all(abs(plain[b] - w) < 1e-9 for b, w in zip(buckets.tolist(), weights)) and abs(bias - plain_bias) < 1e-9
