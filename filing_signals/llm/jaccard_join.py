@@ -38,6 +38,8 @@ from filing_signals.llm.words import byte_slices, mixed, split_words, window_has
 BAND_GROWTH = 1.6
 #: Segments per unit of the largest H of a band: some segments stay empty.
 SPARE = 1.25
+#: Bytes of text whose sets are held at once, so that a Python worker stays small.
+SLICE_BYTES = 1 << 20
 #: Comparisons of the sets of one subset that a task makes; more are dealt to further tasks.
 COMPARED_AT_ONCE = 1_000_000
 #: Ids (of texts to fetch, of copies) are broadcast up to this many (at most 32 bytes each), and joined by
@@ -200,7 +202,7 @@ def described(docs: DataFrame, k: int, threshold: Threshold) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, texts in byte_slices(batch.column(1)):
+            for row, texts in byte_slices(batch.column(1), SLICE_BYTES):
                 sets = shingle_sets(texts, k)
                 segments = Segments(sets, threshold)
                 n = np.diff(sets.offsets)
@@ -240,7 +242,7 @@ def tokens(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, texts in byte_slices(batch.column(1)):
+            for row, texts in byte_slices(batch.column(1), SLICE_BYTES):
                 sets = shingle_sets(texts, k)
                 lists = pa.ListArray.from_arrays(pa.array(sets.offsets.astype(np.int32)), pa.array(_signed(sets.tokens)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(sets)), lists], names=["doc_id", "tokens"])
@@ -253,7 +255,7 @@ def sketches(docs: DataFrame, k: int, threshold: Threshold, per_word: int = 16)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, texts in byte_slices(batch.column(1)):
+            for row, texts in byte_slices(batch.column(1), SLICE_BYTES):
                 sets = shingle_sets(texts, k)
                 segments = Segments(sets, threshold)
                 n = np.diff(sets.offsets)
