@@ -477,14 +477,20 @@ def time_weight(spark, sf):
     return C.with_time_weight(docs, docs).select("doc_id", "date", "time_weight")
 
 
+def cosines_by_shuffle(v: DataFrame, centroids: DataFrame) -> DataFrame:
+    pairs = pairing.with_each_by_shuffle(v, ["vec_id"], centroids, "t")
+    sim = vectors.semantic_similarity(F.col("embedding"), F.col("t.vector"))
+    return pairs.select("vec_id", F.col("t.theme_id").alias("theme_id"), rounded("semantic_sim", sim))
+
+
 @query
 def semantic_cosine(spark, sf):
-    """Every vector with every label's mean vector."""
+    """Every vector with every label's mean vector: one matrix product while these are few."""
     centroids = staged(X.label_centroids(spark, sf))
+    v = X.spread(X.vectors(spark, sf).select("vec_id", "embedding"), "vec_id")
     if not pairing.is_small(centroids):
-        raise ValueError("too many labels for one matrix product")
+        return cosines_by_shuffle(v, centroids)
     small = sorted(centroids.collect(), key=lambda r: r["theme_id"])
-    v = X.spread(X.vectors(spark, sf).select("vec_id", "embedding"), "vec_id")
     v = v.withColumn(
         "_sims", vectors.semantic_similarities(F.col("embedding"), [r["vector"] for r in small])
     )
@@ -503,9 +509,7 @@ def semantic_cosine_shuffled(spark, sf):
     v = X.vectors(spark, sf).select(
         "vec_id", F.when(F.col("vec_id") % 7 != 0, F.col("embedding")).alias("embedding")
     )
-    pairs = pairing.with_each_by_shuffle(v, ["vec_id"], X.label_centroids(spark, sf), "t")
-    sim = vectors.semantic_similarity(F.col("embedding"), F.col("t.vector"))
-    return pairs.select("vec_id", F.col("t.theme_id").alias("theme_id"), rounded("semantic_sim", sim))
+    return cosines_by_shuffle(v, X.label_centroids(spark, sf))
 
 
 @query
@@ -539,7 +543,10 @@ def indel_ratio(spark, sf):
         "theme_id", scores.keyword_text(F.col("keywords")).alias("kw_text")
     )
     s = X.sentences(spark, sf).withColumn("text", F.lower("text"))
-    pairs = pairing.with_each(s, feats.collect(), feats.schema, "t")
+    if pairing.is_small(feats):
+        pairs = pairing.with_each(s, feats.collect(), feats.schema, "t")
+    else:
+        pairs = pairing.with_each_by_shuffle(s, ["doc_id", "sentence_id"], feats, "t")
     return pairs.select(
         "doc_id",
         "sentence_id",
@@ -566,6 +573,12 @@ def scored(spark, sf) -> DataFrame:
     return C.score(X.toned_sentences(spark, sf), X.documents(spark, sf), X.themes(spark))
 
 
+def scored_of(spark, sf, sentences: DataFrame) -> DataFrame:
+    """Scores of sentences that are stored, and so not extracted again."""
+    toned = pairing.join_dimension(sentences, X.tones(spark, sf), ["doc_id"])
+    return C.score(toned, X.documents(spark, sf), X.themes(spark))
+
+
 def score_columns(df: DataFrame) -> DataFrame:
     measures = [
         "semantic_sim",
@@ -650,7 +663,8 @@ def top_themes_of_company(spark, sf):
 
 @query
 def top_evidence(spark, sf):
-    best = R.top_evidence(scored(spark, sf), X.sentences(spark, sf), k=5)
+    s = staged(X.sentences(spark, sf))
+    best = R.top_evidence(scored_of(spark, sf, s), s, k=5)
     return best.select(
         "company_id", "theme_id", "rank", "doc_id", "sentence_id", "text", rounded("final_score_100")
     )
@@ -664,8 +678,9 @@ def top_evidence_of_pair(spark, sf):
 
 @query
 def evidence_report(spark, sf):
-    s = staged(scored(spark, sf))
-    report = R.evidence_report(C.roll_up(s), X.themes(spark), s, X.sentences(spark, sf), 3, 5)
+    sentences = staged(X.sentences(spark, sf))
+    s = staged(scored_of(spark, sf, sentences))
+    report = R.evidence_report(C.roll_up(s), X.themes(spark), s, sentences, 3, 5)
     return report.select(
         "company_id",
         "theme_id",

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,6 +88,8 @@ def _needed_letter(pattern: str) -> str:
 _COMPILED = [(_needed_letter(p), re.compile(p), r) for p, r in RULES]
 _MEMO: dict[str, str] = {}
 _MEMO_ROOM = 500_000
+#: Characters of a string whose positions fit a 64-bit word with room for a carry.
+_WORD_BITS = 60
 
 
 def encode_token(token: str) -> str:
@@ -133,6 +136,36 @@ def indel(masks: dict[str, int], size: int, other: str) -> float:
     return 2.0 * (size - row.bit_count()) / total
 
 
+def indels(texts: list[str], other: str) -> np.ndarray:
+    """`indel` of each text with one string, a character of all texts at a time.
+
+    The string's positions are the bits, so it has at most as many characters as a word holds; a longer
+    one is compared text by text.
+    """
+    sizes = np.array([len(t) for t in texts], np.int64)
+    total = sizes + len(other)
+    if len(other) > _WORD_BITS or not len(texts):
+        return np.array([indel(char_masks(t), len(t), other) for t in texts], np.float64)
+    symbols = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    known, which = np.unique(symbols, return_inverse=True)
+    bits = char_masks(other)
+    masks = np.array([bits.get(chr(c), 0) for c in known], np.uint64)
+    hits_of = masks[which] if len(symbols) else np.zeros(0, np.uint64)
+    longest_first = np.argsort(-sizes, kind="stable")
+    starts = (np.cumsum(sizes) - sizes)[longest_first]
+    ordered = sizes[longest_first]
+    full = np.uint64((1 << len(other)) - 1)
+    row = np.full(len(texts), full, np.uint64)
+    for j in range(int(ordered[0])):
+        n = int(np.searchsorted(-ordered, -j))  # texts with a character here
+        part = row[:n]
+        hit = part & hits_of[starts[:n] + j]
+        row[:n] = ((part + hit) | (part - hit)) & full
+    lcs = np.zeros(len(texts), np.int64)
+    lcs[longest_first] = len(other) - np.bitwise_count(row).astype(np.int64)
+    return np.where(total > 0, 2.0 * lcs / np.maximum(total, 1), 1.0)
+
+
 @F.arrow_udf(T.StringType())
 def phonetic_code(text: pa.Array) -> pa.Array:
     """Metaphone code string of a text."""
@@ -169,14 +202,12 @@ def phonetic_similarities(code: Column, keyword_codes: list[str]) -> Column:
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def to_all(codes: pa.Array) -> pa.Array:
-        out = []
-        for a in codes.to_pylist():
-            if a:
-                masks = char_masks(a)
-                out.append([indel(masks, len(a), b) if b else 0.0 for b in keyword_codes])
-            else:
-                out.append([0.0] * len(keyword_codes))
-        return pa.array(out, pa.list_(pa.float64()))
+        rows = [a or "" for a in codes.to_pylist()]
+        spoken = np.array([bool(a) for a in rows])
+        each = [np.where(spoken, indels(rows, b), 0.0) if b else np.zeros(len(rows)) for b in keyword_codes]
+        flat = np.stack(each, axis=1).ravel() if each else np.zeros(0)
+        ends = np.arange(len(rows) + 1, dtype=np.int32) * len(keyword_codes)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
     return to_all(code)
 

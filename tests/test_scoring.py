@@ -263,3 +263,17 @@ def test_dry_run_writes_nothing_and_store_is_idempotent(spark, inputs, tmp_path)
         )
 
     assert snapshot() == snapshot()
+
+
+def test_indels_of_many_texts_equal_one_by_one():
+    import random
+
+    from filing_signals.functions.phonetic import char_masks, indel, indels
+
+    r = random.Random(6)
+    word = lambda n: "".join(r.choice("ABKLMNRSTéX 0") for _ in range(n))
+    texts = [word(r.randrange(0, 90)) for _ in range(200)] + ["", "ABK"]
+    for other in ("", "A", word(12), word(60), word(61), word(150)):
+        wanted = [indel(char_masks(t), len(t), other) for t in texts]
+        assert indels(texts, other).tolist() == wanted
+    assert indels([], "A").tolist() == []
