@@ -77,6 +77,10 @@ UNION ALL SELECT 'p' || page_id, 'gone' FROM pages WHERE page_id IN (SELECT item
 UNION ALL SELECT 'p' || page_id, 'changed' FROM pages
   WHERE page_id IN (SELECT doc_id FROM labels) AND page_id NOT IN (SELECT item_id FROM benchmark)""",
     "encoded_once": f"WITH {SENTS} SELECT doc_id, sentence_id, {_HEX} AS vector FROM sents",
+    "tones_by_model": f"""WITH {SENTS}, toned AS (SELECT doc_id, sentence_id, CAST(
+  CAST('0x' || substr(md5(text), 2, 1) AS INTEGER) / 16.0 * CASE CAST('0x' || substr(md5(text), 1, 1) AS INTEGER) % 3
+    WHEN 0 THEN 1 WHEN 1 THEN -1 ELSE 0 END AS DOUBLE) AS signed_confidence FROM sents)
+SELECT *, trunc(signed_confidence)::DOUBLE AS polarity FROM toned""",
     "scores_page_after": f"""WITH {SENTS}, {DOCS} SELECT doc_id, sentence_id, text, company_id, date
 FROM sents JOIN docs USING (doc_id) ORDER BY doc_id, sentence_id LIMIT 1000 OFFSET 2000""",
     "scores_after_key": f"""WITH {SENTS} SELECT * FROM sents WHERE (doc_id, sentence_id) > ('5', 3)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from contract import fixtures as X
 from contract.queries import company_columns, query, rounded, scored, stray
-from filing_signals.functions import text
+from filing_signals.functions import scores, text
 from filing_signals.operators import rules
 from filing_signals.operators.seek import SortedTable
 from filing_signals.plans import counted
@@ -181,6 +181,25 @@ def encoded_once(spark, sf):
     return found.select("doc_id", "sentence_id", F.array_join(F.col("vector").cast("array<string>"), " ").alias("vector"))
 
 
+def tone_model():
+    """A tone and its confidence from two digits of a text's md5."""
+    import hashlib
+
+    def run(texts: list[str]) -> list[tuple[str, float]]:
+        digits = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+        return [(("POSITIVE", "negative", "LABEL_1")[int(d[0], 16) % 3], int(d[1], 16) / 16) for d in digits]
+
+    return run
+
+
+@query
+def tones_by_model(spark, sf):
+    """Signed confidence and stored polarity of each sentence from a caller's classifier."""
+    said = X.sentences(spark, sf).withColumn("tone", scores.classify(F.col("text"), lambda: tone_model()))
+    signed = scores.signed_confidence(F.col("tone.label"), F.col("tone.confidence"))
+    return said.select("doc_id", "sentence_id", signed.alias("signed_confidence"), scores.stored_polarity(signed).alias("polarity"))
+
+
 @query
 def scores_page_after(spark, sf):
     """The third page of 1,000 sentences, each page asked for by the last key of the one before."""
