@@ -19,6 +19,8 @@ from pyspark.sql.types import StructType
 
 from filing_signals.llm.words import byte_slices, mixed, split_words
 
+#: Log-odds are held between this and its negative.
+CERTAIN = 35.0
 FEATURES = "sample_key long, doc_id long, label int, features array<int>"
 
 
@@ -123,7 +125,7 @@ def compacted(parts: list[tuple[np.ndarray, np.ndarray]], s: Settings) -> tuple[
 def ftrl(parts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, float]:
     """(buckets, weights, bias) with all weights that are not zero. One pass per epoch, in order."""
     if not len(labels):
-        return np.zeros(0, np.int64), np.zeros(0), 0.0
+        return np.zeros(0, np.int64), np.zeros(0), -CERTAIN  # nothing is known to be toxic
     places, offsets, used = compacted(parts, s)
     rows = [places[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
     z, n = np.zeros(len(used) + 1), np.zeros(len(used) + 1)  # the last place is the bias
@@ -138,7 +140,7 @@ def ftrl(parts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Sett
             zx, nx = z[at], n[at]
             w = weights(zx, nx)
             w[-1] = -zx[-1] / (rate(nx[-1]) + s.l2)  # the bias has no L1 term
-            g = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - y
+            g = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -CERTAIN, CERTAIN))) - y
             after = nx + g * g
             z[at] = zx + g - (rate(after) - rate(nx)) * w
             n[at] = after
@@ -195,7 +197,7 @@ def score(docs: DataFrame, fitted: list[tuple[int, float]], bits: int, carry: bo
                 pairs = np.unique((owner[hit] << bits) | bucket[hit])
                 found = weights[np.searchsorted(buckets, pairs & ((1 << bits) - 1))] if len(pairs) else np.zeros(0)
                 total = bias + np.bincount(pairs >> bits, found, len(part))
-                p = 1.0 / (1.0 + np.exp(-np.clip(total, -35, 35)))
+                p = 1.0 / (1.0 + np.exp(-np.clip(total, -CERTAIN, CERTAIN)))
                 out = {"doc_id": batch.column(0).slice(row, len(part)), "score": pa.array(p)}
                 if carry:
                     out["row"] = whole.slice(row, len(part))
@@ -216,7 +218,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), carry
     """`doc_id`, `held_out`, `score`, `predicted` of every row of `docs`, and `row` with `carry`.
 
     Learns from `labels.toxic` of rows that are not held out, at most `s.sample_rows` of them; the
-    label table is read at once, when this is called. Without labels every score is 0.5. A null or
+    label table is read at once, when this is called. Without labels no text is
+    toxic, and every score is next to 0. A null or
     empty text has the score of the bias alone; a row without an id is scored and never learnt from. Rows that repeat
     are scored alike and learnt from once; long texts are read whole; an empty table gives no rows. Only
     `doc_id` and `text` of the documents are read, unless they are carried, and only the text makes the score.

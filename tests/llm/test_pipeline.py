@@ -31,7 +31,7 @@ def test_run_equals_plain_stages(spark):
 
 def test_stages_are_registered_in_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "n-gram jaccard join", "benchmark decontamination", "packing"]
-    assert {f"op{n}_" for n in range(1, 11)} <= {q.split("_")[0] + "_" for q in queries()} and "pipeline" in queries()
+    assert {f"op{n}_" for n in range(1, 14)} <= {q.split("_")[0] + "_" for q in queries()} and "pipeline" in queries()
 
 
 @pytest.mark.parametrize("k", range(5))
@@ -47,3 +47,9 @@ def test_stage_takes_awkward_rows(spark, k):
     else:
         assert out.count() > 0
     assert step(spark, docs.limit(0), SF).count() == 0
+
+
+def test_nothing_is_toxic_without_labels(spark, tmp_path):
+    docs = brute.awkward(spark)
+    spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.without_toxic(spark, docs, str(tmp_path)).count() == docs.count()

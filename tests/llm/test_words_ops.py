@@ -134,7 +134,7 @@ def test_toxicity_of_awkward_rows(spark):
     assert all(r.row.label == "label" for r in rows)
     assert len({r.score for r in rows if not r.row.text}) == 1
     none = toxicity.toxicity(docs, labels.limit(0)).collect()
-    assert {r.score for r in none} == {0.5}
+    assert len({r.score for r in none}) == 1 and {r.predicted for r in none} == {0} and none[0].score < 1e-9
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
 
 
