@@ -223,16 +223,19 @@ class Miner:
         self.s, self.stage, self.spark = s, stage, vectors.sparkSession
         finite = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
         given = vectors.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & finite)
-        whole = F.transform("embedding", lambda x: F.floor(s.scale * x.cast("double")).cast("double"))
+        # in the narrowest type that holds them, since rows cross two exchanges
+        extent = F.greatest(F.abs(F.array_max("embedding").cast("double")), F.abs(F.array_min("embedding").cast("double")))
+        largest = (given.agg(F.max(extent)).first()[0] or 0.0) * s.scale + 1
+        kind = "smallint" if largest < 1 << 15 else "int" if largest < 1 << 31 else "double"
+        whole = F.transform("embedding", lambda x: F.floor(s.scale * x.cast("double")).cast(kind))
         rows = given.select(
             F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
             whole.alias("vector"), is_anchor.alias("is_anchor"),
         )
         rows = rows.withColumn("key", F.xxhash64("label", "vector")).dropDuplicates(["vec_id", "key"])
         self.rows = self.stage.keep(rows, "rows")
-        largest = F.max(F.greatest(F.abs(F.array_max("vector")), F.abs(F.array_min("vector"))))
-        found = self.rows.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width"), largest.alias("largest"))
-        self.n, self.width, self.largest = found.first()
+        found = self.rows.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width"))
+        (self.n, self.width), self.largest = found.first(), largest
 
     def placed(self) -> DataFrame:
         """Rows in order of label and of the halves of the most spread coordinates, in shards."""
@@ -240,7 +243,7 @@ class Miner:
         dims = [r.pos for r in spread.orderBy(F.desc("v"), "pos").limit(PLACED_BY).collect()]
         order: list[Column] = [F.col("label")]
         if dims:
-            at = [F.coalesce(F.get("vector", F.lit(d)), F.lit(0.0)) for d in dims]
+            at = [F.coalesce(F.get("vector", F.lit(d)).cast("double"), F.lit(0.0)) for d in dims]
             middles = self.rows.agg(*(F.percentile_approx(c, 0.5).alias(f"m{i}") for i, c in enumerate(at))).first()
             order += [c > m for c, m in zip(at, middles)]
         cores = self.spark.sparkContext.defaultParallelism
