@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that are worked on at once.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 2 << 20
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -31,6 +31,8 @@ def byte_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int
         # take() copies the slice, so that offsets start at 0 and the buffers are its own
         yield row, texts.slice(row, stop - row).take(pa.array(np.arange(stop - row)))
         row = stop
+    # a worker stays for later tasks: what this batch needed goes back to the system
+    pa.default_memory_pool().release_unused()
 
 
 def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
