@@ -89,24 +89,34 @@ class SnapshotTable:
         Incoming rows are needed more than once, so they are staged: what makes them (scoring,
         say) runs once, and joins are planned from their true size. `unique=True` skips the key
         check where rows are unique by how they were made (a group-by on the key, a join of
-        keyed tables). The first load has nothing to merge with.
+        keyed tables). The first load has nothing to merge with and is written in place.
         """
         rows = conform(incoming, self.relation)
-        first = not any(done for _, done in self._versions())
-        if first and unique:
-            return self.write(rows)
+        if not any(done for _, done in self._versions()):
+            return self.write(rows) if unique else self._first(rows)
         folder = staging_folder(self.spark)
         try:
             rows = staged(rows, folder)
             if not unique:
                 require_unique(rows, self.relation.keys)
-            if first:
-                return self.write(rows)
             return self.write(upsert(self.read(), rows, self.relation.keys, replace_by))
         finally:
             fs, path = self._files(folder)
             fs.delete(path, True)
 
+    def _first(self, rows: DataFrame) -> DataFrame:
+        """Store the first rows: written once, checked where they lie, and only then a finished snapshot."""
+        folder = self._folder(max((v for v, _ in self._versions()), default=0) + 1)
+        fs, path = self._files(folder)
+        try:
+            rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(folder)
+            require_unique(self.spark.read.schema(self.relation.schema).parquet(folder), self.relation.keys)
+        except Exception:
+            fs.delete(path, True)
+            raise
+        fs.create(self._files(f"{folder}/_SUCCESS")[1]).close()
+        return self.read()
+
     def delete(self, keys: DataFrame, key: str) -> DataFrame:
         """Drop the rows whose `key` is among those of `keys`; the rest is a new snapshot."""
         return self.write(cascade_delete(self.read(), keys, key))
