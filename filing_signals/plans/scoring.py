@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from filing_signals import fixed
 from filing_signals.functions import phonetic, scores, vectors
 from filing_signals.operators import pairing
+from filing_signals.plans.rollup import RolledScores
 from filing_signals.schemas import COMPANY_SCORES, SENTENCE_SCORES
 from filing_signals.sources.snapshots import SnapshotTable
 
@@ -159,15 +160,23 @@ def store(
     scored: DataFrame,
     dry_run: bool = False,
     replace_documents: bool = False,
+    buckets: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Merge scores into the stored table, then refresh every company score from all of it.
 
+    With `buckets` both go by batch (`rollup.RolledScores`): a batch reads and writes the buckets of its
+    documents and groups, and company scores come from sums that it is added to.
+
     A key that comes twice (a tone or label table with two rows for a document, say) raises and
     leaves the stored table as it was. The rollup reads the new snapshot, so scoring itself runs once. A dry run writes nothing and
     returns both results unwritten.
     """
     if dry_run:
         return scored, roll_up(scored)
+    if buckets is not None:
+        rolled = RolledScores(spark, root, buckets)
+        companies = rolled.add(scored, replace_documents)
+        return rolled.scores.read(), companies
     replace_by = "doc_id" if replace_documents else None
     stored = SnapshotTable(spark, root, SENTENCE_SCORES).upsert(scored, replace_by)
     companies = SnapshotTable(spark, root, COMPANY_SCORES).upsert(roll_up(stored), unique=True)

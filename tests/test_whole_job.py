@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from filing_signals.operators.upsert import ConstraintError
 from filing_signals.plans import load, manifest, reports, scoring, sentences
-from filing_signals.schemas import SENTENCES_CSV, THEMES
+from filing_signals.schemas import SENTENCES, SENTENCES_CSV, THEMES
 from filing_signals.sources import landed
 from filing_signals.sources.snapshots import SnapshotTable
 
@@ -19,7 +19,8 @@ def index(*filings):
     return json.dumps({"filings": {"recent": dict(zip(names, map(list, zip(*filings))))}})
 
 
-def test_whole_job(spark, tmp_path):
+@pytest.mark.parametrize("buckets", [None, 8])
+def test_whole_job(spark, tmp_path, buckets):
     listing = spark.createDataFrame(
         [(0, "AA.A", "Alpha"), (1, "BB", "Beta"), (2, "ZZ", "Unmapped")], "pos int, Symbol string, Security string"
     )
@@ -50,7 +51,7 @@ def test_whole_job(spark, tmp_path):
             (folder / name).write_text(PAGE.format(texts[name]), encoding="utf-8")
 
     landed.write_csv(docs, str(tmp_path / "manifest_csv"))
-    stored = load.load_documents(spark, str(tmp_path / "db"), str(tmp_path / "manifest_csv"))
+    stored = load.load_documents(spark, str(tmp_path / "db"), str(tmp_path / "manifest_csv"), buckets=buckets)
     assert [(r["doc_id"], r["ticker"], r["source_type"], str(r["date"])) for r in stored.orderBy("doc_id").collect()] == [
         ("D001", "AA-A", "10-K", "2024-02-05"),
         ("D002", "AA-A", "10-Q", "2024-02-01"),
@@ -66,8 +67,8 @@ def test_whole_job(spark, tmp_path):
 
     with pytest.raises(ConstraintError, match="not stored"):
         load.create_tables(spark, str(tmp_path / "empty"))
-        load.load_sentences(spark, str(tmp_path / "empty"), str(tmp_path / "clean_csv"))
-    sents = load.load_sentences(spark, str(tmp_path / "db"), str(tmp_path / "clean_csv"))
+        load.load_sentences(spark, str(tmp_path / "empty"), str(tmp_path / "clean_csv"), buckets=buckets)
+    sents = load.load_sentences(spark, str(tmp_path / "db"), str(tmp_path / "clean_csv"), buckets=buckets)
     assert sorted((r["doc_id"], r["sentence_id"], r["text"]) for r in sents.collect()) == [
         ("D001", 0, "Artificial intelligence drives our growth this year"),
         ("D001", 1, "Supply chains were under strain"),
@@ -84,7 +85,7 @@ def test_whole_job(spark, tmp_path):
     toned = sents.withColumn("label", F.when(F.col("text").contains("strain"), "NEGATIVE").otherwise("POSITIVE"))
     toned = toned.withColumn("confidence", F.lit(0.9))
     scored = scoring.score(toned, stored, themes)
-    kept, by_company = scoring.store(spark, str(tmp_path / "db"), scored)
+    kept, by_company = scoring.store(spark, str(tmp_path / "db"), scored, buckets=buckets)
     assert kept.count() == 8 and by_company.count() == 4
     top = reports.top_themes(by_company, themes, k=1)
     best = {}
@@ -96,3 +97,6 @@ def test_whole_job(spark, tmp_path):
     assert report[("11", "SC")].startswith("the supply chain recovered later | ")
     landed.write_csv(reports.top_themes(by_company, themes), str(tmp_path / "report_csv"))
     assert tuple(reports.counts(stored, sents).first()) == (3, 4)
+    load.delete_documents(spark, str(tmp_path / "db"), stored.where("doc_id = 'D001'"), buckets=buckets)
+    left = load.stored_table(spark, str(tmp_path / "db"), SENTENCES, buckets).read()
+    assert [r["doc_id"] for r in left.collect()] == ["D003"]
