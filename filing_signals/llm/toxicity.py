@@ -179,7 +179,7 @@ def score(docs: DataFrame, fitted: list[tuple[int, float]], bits: int, carry: bo
 
     With `carry`, the whole input row comes along as the struct `row`.
     """
-    bias = sum(w for b, w in fitted if b < 0)
+    bias = sum(w for b, w in fitted if b < 0) if fitted else -CERTAIN  # nothing was learnt
     ordered = sorted((b, w) for b, w in fitted if b >= 0)
     sent = docs.sparkSession.sparkContext.broadcast(  # at most 2^bits pairs, whatever the corpus
         (np.array([b for b, _ in ordered], np.int64), np.array([w for _, w in ordered], float))
