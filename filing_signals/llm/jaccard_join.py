@@ -40,6 +40,8 @@ BAND_GROWTH = 1.6
 SPARE = 1.25
 #: Bytes of text whose sets are held at once, so that a Python worker stays small.
 SLICE_BYTES = 1 << 20
+#: Sets that share a subset from which on pairs are told apart from those of the sets' other such subsets.
+HOT_ROWS = 16
 #: Comparisons of the sets of one subset that a task makes; more are dealt to further tasks.
 COMPARED_AT_ONCE = 1_000_000
 #: Ids (of texts to fetch, of copies) are broadcast up to this many (at most 32 bytes each), and joined by
@@ -250,8 +252,8 @@ def tokens(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, tokens array<long>")
 
 
-def sketches(docs: DataFrame, k: int, threshold: Threshold, per_word: int = 16) -> DataFrame:
-    """SKETCHES of each text's set, one row for each of its schemes, at four bits a token."""
+def sketches(docs: DataFrame, k: int, threshold: Threshold, per_word: int = 8) -> DataFrame:
+    """SKETCHES of each text's set, one row for each of its schemes, at eight bits a token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,10 +352,14 @@ class JaccardJoin:
             F.count("*").alias("comps"), F.sum("n").alias("rows"), F.max(F.struct("n", "comp")).alias("most")
         )
         groups = groups.where("comps > 1").select(
-            "subset", F.col("most.comp").alias("largest"),
+            "subset", "rows", F.col("most.comp").alias("largest"),
             F.ceil(F.col("rows") * (F.col("rows") - F.col("most.n")) / COMPARED_AT_ONCE).cast("int").alias("deals"),
         )
-        opened = self.stage.keep(left_in.join(groups, "subset"), "open")
+        # sets that nearly link share many subsets; of those that many hold, the rarest gives the pair
+        hot = F.when(F.col("rows") >= HOT_ROWS, F.col("subset"))
+        rarer = Window.partitionBy("doc_id", "parity").orderBy("rows", "subset").rowsBetween(Window.unboundedPreceding, -1)
+        opened = left_in.join(groups, "subset").withColumn("earlier", F.when(hot.isNotNull(), F.collect_list(hot).over(rarer)))
+        opened = self.stage.keep(opened.drop("rows"), "open")
         if opened.isEmpty():
             return None
         ids = self.stage.keep(opened.select("doc_id").distinct(), "open-ids")
@@ -365,6 +371,7 @@ class JaccardJoin:
             (F.col("y.comp") == F.col("y.largest")) | (F.col("x.doc_id") < F.col("y.doc_id"))
         )
         may_link = self.sized("x", "y") & (differing(F.col("x.bits"), F.col("y.bits")) <= self.most("x", "y"))
+        may_link = may_link & ~F.coalesce(F.arrays_overlap("x.earlier", "y.earlier"), F.lit(False))
         same = (F.col("x.subset") == F.col("y.subset")) & (F.col("x.deal") == F.col("y.deal"))
         return x.join(y, same & once & may_link).select(
             F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")

@@ -90,6 +90,7 @@ def around_passages(seed, n=120):
 )
 def test_jaccard_components_equal_all_pairs(spark, monkeypatch, rows, k, percent):
     monkeypatch.setattr(jaccard_join, "COMPARED_AT_ONCE", 50)  # so that subsets are dealt
+    monkeypatch.setattr(jaccard_join, "HOT_ROWS", 3)
     out = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), k, percent).collect()
     assert {r.doc_id: r.component_id for r in out} == brute.jaccard(rows, k, percent)
     assert {r.doc_id: r.n_shingles for r in out} == {i: len(brute.shingles(t, k)) for i, t in rows}
