@@ -222,7 +222,8 @@ class Decontamination:
         keys = own.groupBy("size", "hash").agg(F.bit_or("forms").alias("item_forms"))
         shared = F.col("forms").bitwiseAND(F.col("item_forms"))
         found = _windowed(self.docs, _DOC, sizes).join(self.small(self.stage.keep(keys, "keys")), ["size", "hash"])
-        found = found.where(shared != 0).select(*_DOC, "pos", "size", "hash", shared.alias("forms")).distinct()
+        # written as it comes, by the scan alone; rows of repeated documents are told apart later, among the likely
+        found = found.where(shared != 0).select(*_DOC, "pos", "size", "hash", shared.alias("forms"))
         each = lambda df: df.withColumn("form", F.explode(F.array(F.lit(STRICT), F.lit(LOOSE)))).where("forms & form != 0").drop("forms")
         return each(own), each(self.stage.keep(found, "found"))
 
@@ -243,7 +244,7 @@ class Decontamination:
         pair = ["doc_id", *_ITEM]
         docs = self.small(self.stage.keep(likely.select("doc_id").distinct(), "likely-docs"))
         of_items = _runs(own.join(F.broadcast(likely.select(*_ITEM).distinct()) if likely.count() <= self.s.broadcast_rows else likely.select(*_ITEM).distinct(), _ITEM), _ITEM, "item_pos", "item")
-        of_docs = _runs(found.join(docs, "doc_id"), _DOC, "pos", "doc")
+        of_docs = _runs(found.join(docs, "doc_id").distinct(), _DOC, "pos", "doc")
         met = of_docs.join(likely, "doc_id").join(of_items, [*_ITEM, "form", "size", "hash"])
         place = [*_DOC, *_ITEM, "form", "shift"]
         lined = met.select(*_DOC, *_ITEM, "n_windows", "form", "size", F.explode(_alignments()).alias("a")).select("*", "a.*")
