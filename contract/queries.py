@@ -593,7 +593,7 @@ def score_columns(df: DataFrame) -> DataFrame:
         "theme_score",
     ]
     return df.select(
-        "doc_id", "sentence_id", "company_id", "theme_id", *[rounded(m) for m in measures]
+        "doc_id", "sentence_id", "company_id", "theme_id", *[scores.rounded(F.col(m)).alias(m) for m in measures]
     )
 
 

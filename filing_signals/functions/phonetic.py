@@ -14,11 +14,13 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filing_signals.functions.text import tokens
+from filing_signals.functions.words import split_words
 
 # Metaphone rewriting rules, in order, as (pattern, replacement).
 RULES: list[tuple[str, str]] = [
@@ -103,16 +105,7 @@ def encode_token(token: str) -> str:
 
 def encode_text(text: str) -> str:
     """Codes of a text's tokens joined by a space; each distinct token is coded once."""
-    memo = _MEMO
-    codes = []
-    for token in text.lower().split():
-        code = memo.get(token)
-        if code is None:
-            if len(memo) >= _MEMO_ROOM:
-                memo.clear()
-            code = memo[token] = encode_token(token)
-        codes.append(code)
-    return " ".join(codes).strip()
+    return " ".join(codes_of(text.lower().split())).strip()
 
 
 def char_masks(text: str) -> dict[str, int]:
@@ -136,56 +129,113 @@ def indel(masks: dict[str, int], size: int, other: str) -> float:
     return 2.0 * (size - row.bit_count()) / total
 
 
-def indels(texts: list[str], other: str) -> np.ndarray:
-    """`indel` of each text with one string, a character of all texts at a time.
+def _characters(texts: list[str]) -> tuple[np.ndarray, list[str]]:
+    """All characters of all texts as numbers, and the character of each number."""
+    joined = "".join(texts)
+    if joined.isascii():
+        return np.frombuffer(joined.encode("ascii"), np.uint8), [chr(c) for c in range(128)]
+    known, which = np.unique(np.frombuffer(joined.encode("utf-32-le"), np.uint32), return_inverse=True)
+    return which, [chr(c) for c in known]
+
 
-    The string's positions are the bits, so it has at most as many characters as a word holds; a longer
-    one is compared text by text.
+def indels_each(texts: list[str], others: list[str]) -> list[np.ndarray]:
+    """`indel` of each text with each of some strings, a character of all texts at a time.
+
+    A string's positions are the bits, so it has at most as many characters as a word holds; a longer
+    one is compared text by text. Texts are laid out once for all strings.
     """
+    if not texts:
+        return [np.zeros(0) for _ in others]
     sizes = np.array([len(t) for t in texts], np.int64)
-    total = sizes + len(other)
-    if len(other) > _WORD_BITS or not len(texts):
-        return np.array([indel(char_masks(t), len(t), other) for t in texts], np.float64)
-    symbols = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    known, which = np.unique(symbols, return_inverse=True)
-    bits = char_masks(other)
-    masks = np.array([bits.get(chr(c), 0) for c in known], np.uint64)
-    hits_of = masks[which] if len(symbols) else np.zeros(0, np.uint64)
+    which, known = _characters(texts)
     longest_first = np.argsort(-sizes, kind="stable")
     starts = (np.cumsum(sizes) - sizes)[longest_first]
-    ordered = sizes[longest_first]
-    full = np.uint64((1 << len(other)) - 1)
-    row = np.full(len(texts), full, np.uint64)
-    for j in range(int(ordered[0])):
-        n = int(np.searchsorted(-ordered, -j))  # texts with a character here
-        part = row[:n]
-        hit = part & hits_of[starts[:n] + j]
-        row[:n] = ((part + hit) | (part - hit)) & full
-    lcs = np.zeros(len(texts), np.int64)
-    lcs[longest_first] = len(other) - np.bitwise_count(row).astype(np.int64)
-    return np.where(total > 0, 2.0 * lcs / np.maximum(total, 1), 1.0)
+    # how many texts have a character at each place
+    holding = len(texts) - np.cumsum(np.bincount(sizes))[:-1]
+
+    def against(other: str) -> np.ndarray:
+        if len(other) > _WORD_BITS:
+            return np.array([indel(char_masks(t), len(t), other) for t in texts], np.float64)
+        bits = char_masks(other)
+        hits_of = np.array([bits.get(ch, 0) for ch in known], np.uint64)[which]
+        full = np.uint64((1 << len(other)) - 1)
+        row = np.full(len(texts), full, np.uint64)
+        for j, n in enumerate(holding.tolist()):
+            part = row[:n]
+            hit = part & hits_of[starts[:n] + j]
+            row[:n] = ((part + hit) | (part - hit)) & full
+        lcs = np.zeros(len(texts), np.int64)
+        lcs[longest_first] = len(other) - np.bitwise_count(row).astype(np.int64)
+        total = sizes + len(other)
+        return np.where(total > 0, 2.0 * lcs / np.maximum(total, 1), 1.0)
+
+    return [against(other) for other in others]
+
+
+def indels(texts: list[str], other: str) -> np.ndarray:
+    """`indel` of each text with one string."""
+    return indels_each(texts, [other])[0]
+
+
+def codes_of(tokens: list[str]) -> list[str]:
+    """Codes of lower-case tokens; each distinct one is coded once."""
+    memo = _MEMO
+    codes = []
+    for token in tokens:
+        code = memo.get(token)
+        if code is None:
+            if len(memo) >= _MEMO_ROOM:
+                memo.clear()
+            code = memo[token] = encode_token(token)
+        codes.append(code)
+    return codes
+
+
+def encode_texts(texts: pa.Array) -> pa.Array:
+    """`encode_text` of each text; null for a null one. A code goes by the letters a to z of a token, which
+    Arrow lowers as Python does."""
+    sizes, words = split_words(pc.utf8_lower(texts))
+    codes = pa.array(codes_of(words.dictionary.to_pylist()), pa.string())
+    ends = np.zeros(len(texts) + 1, np.int32)
+    np.cumsum(sizes, out=ends[1:])
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), codes.take(words.indices)), " ")
+    return pc.if_else(texts.is_null(), pa.scalar(None, pa.string()), pc.utf8_trim(joined, " "))
 
 
 @F.arrow_udf(T.StringType())
 def phonetic_code(text: pa.Array) -> pa.Array:
     """Metaphone code string of a text."""
-    return pa.array(
-        [None if t is None else encode_text(t) for t in text.to_pylist()], pa.string()
-    )
+    return encode_texts(text)
+
+
+def indels_of_pairs(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """`indel` of each pair of strings without nulls.
+
+    The strings of the side with fewer distinct ones are taken one after another, each with all its
+    partners at a time.
+    """
+    a, b = (x.dictionary_encode() for x in (left, right))
+    if len(a.dictionary) < len(b.dictionary):
+        a, b = b, a
+    texts, others = (x.dictionary.to_pylist() for x in (a, b))
+    rows, partner = (x.indices.to_numpy().astype(np.int64) for x in (a, b))
+    out = np.zeros(len(rows))
+    order = np.argsort(partner, kind="stable")
+    ends = np.cumsum(np.bincount(partner, minlength=len(others)))
+    for k, other in enumerate(others):
+        places = order[ends[k - 1] if k else 0 : ends[k]]
+        met, back = np.unique(rows[places], return_inverse=True)
+        out[places] = indels([texts[i] for i in met], other)[back]
+    return out
 
 
 @F.arrow_udf(T.DoubleType())
 def indel_ratio(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Indel ratio of two strings, in [0, 1]. Rows of one left string side by side share its masks."""
-    out, seen, masks = [], None, {}
-    for a, b in zip(left.to_pylist(), right.to_pylist()):
-        if a is None or b is None:
-            out.append(None)
-            continue
-        if a != seen:
-            seen, masks = a, char_masks(a)
-        out.append(indel(masks, len(a), b))
-    return pa.array(out, pa.float64())
+    """Indel ratio of two strings, in [0, 1]; null where either is."""
+    known = pc.and_(left.is_valid(), right.is_valid())
+    found = np.zeros(len(left))
+    found[np.asarray(known)] = indels_of_pairs(left.filter(known), right.filter(known))
+    return pc.if_else(known, pa.array(found, pa.float64()), pa.scalar(None, pa.float64()))
 
 
 def phonetic_similarity(code: Column, keyword_code: Column) -> Column:
@@ -194,22 +244,23 @@ def phonetic_similarity(code: Column, keyword_code: Column) -> Column:
     return F.when(silent, F.lit(0.0)).otherwise(indel_ratio(code, keyword_code))
 
 
-def phonetic_similarities(code: Column, keyword_codes: list[str]) -> Column:
-    """Similarities of one code to each of a bounded list of keyword codes, as an array.
+def phonetic_similarities(text: Column, keyword_codes: list[str]) -> Column:
+    """Similarities of one text's code to each of a bounded list of keyword codes, as an array.
 
-    One Arrow hop per sentence rather than per (sentence, theme) pair.
+    One Arrow hop per sentence rather than per (sentence, theme) pair; the code itself stays in the task.
     """
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
-    def to_all(codes: pa.Array) -> pa.Array:
-        rows = [a or "" for a in codes.to_pylist()]
-        spoken = np.array([bool(a) for a in rows])
-        each = [np.where(spoken, indels(rows, b), 0.0) if b else np.zeros(len(rows)) for b in keyword_codes]
+    def to_all(texts: pa.Array) -> pa.Array:
+        rows = [a or "" for a in encode_texts(texts).to_pylist()]
+        spoken = np.array([bool(a) for a in rows], bool)
+        heard = dict(zip(said := [b for b in keyword_codes if b], indels_each(rows, said)))
+        each = [np.where(spoken, heard[b], 0.0) if b else np.zeros(len(rows)) for b in keyword_codes]
         flat = np.stack(each, axis=1).ravel() if each else np.zeros(0)
         ends = np.arange(len(rows) + 1, dtype=np.int32) * len(keyword_codes)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
-    return to_all(code)
+    return to_all(text)
 
 
 def vocabulary(df: DataFrame, text: str = "text") -> DataFrame:

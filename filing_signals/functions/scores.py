@@ -50,6 +50,17 @@ def final_score(raw: Column, weight: Column) -> Column:
     return F.greatest(F.lit(-100.0), F.least(F.lit(100.0), F.lit(100.0) * raw * weight))
 
 
+def rounded(c: Column, digits: int = 6) -> Column:
+    """`F.round` of a double, which goes through a decimal text only where it has to.
+
+    A value whose place is clear of a half is a whole number divided by a power of ten, and that quotient is
+    the double nearest to the rounded decimal. Halves, large values and NaN are left to `F.round`.
+    """
+    scaled = c * float(10**digits)
+    clear = (F.abs(c) < 1e6) & (F.abs(scaled - F.floor(scaled) - 0.5) > 1e-3)
+    return F.when(clear, F.floor(scaled + 0.5) / float(10**digits)).otherwise(F.round(c, digits))
+
+
 def keyword_text(keywords: Column) -> Column:
     """Keywords split on comma, semicolon or bar, trimmed and joined by one space; null gives ''."""
     parts = F.transform(F.split(F.coalesce(keywords, F.lit("")), "[,;|]"), lambda p: F.trim(p))

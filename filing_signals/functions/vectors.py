@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from filing_signals import fixed
 from filing_signals.functions.text import bind, tokens
+from filing_signals.functions.words import split_words
 
 
 def _norm(v: Column) -> Column:
@@ -125,6 +126,72 @@ def term_similarity(words: Column, norm: Column, terms: Column, terms_norm: Colu
     return F.when(scale > 0, dot.cast("double") / scale).otherwise(F.lit(0.0))
 
 
+def _counted(texts: pa.Array) -> tuple[pa.StringArray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens of a batch; (text, token) as one number each, in order, with its count; and the length
+    of each text's count vector."""
+    sizes, words = split_words(texts)
+    rows = np.repeat(np.arange(len(texts), dtype=np.int64), sizes)
+    width = max(len(words.dictionary), 1)
+    cells = np.sort(rows * width + words.indices.to_numpy())
+    first = np.flatnonzero(np.diff(cells, prepend=-1))
+    counts = np.diff(first, append=len(cells))
+    cells = cells[first]
+    squares = np.bincount(cells // width, counts.astype(np.float64) ** 2, len(texts))
+    return words.dictionary, cells, counts, np.sqrt(squares)
+
+
+def _cosine(dots: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.divide(dots.astype(np.float64), scale, out=np.zeros(len(dots)), where=scale > 0)
+
+
+def term_similarities(lowered: Column, themes: Sequence) -> Column:
+    """`term_similarity` of a lower-case text to each of a bounded list of rows with `terms` and `norm`, as an
+    array. Tokens of an Arrow batch are counted together, and no array of them leaves the task."""
+    given = [([(t["term"], t["n"]) for t in r["terms"] or []], r["norm"] or 0.0) for r in themes]
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def to_all(texts: pa.Array) -> pa.Array:
+        known, cells, counts, norms = _counted(texts)
+        width, n = max(len(known), 1), len(texts)
+        places = {t: i for i, t in enumerate(known.to_pylist())}
+        rows, tokens_of = cells // width, cells % width
+        out = np.zeros((n, len(given)))
+        for k, (terms, norm) in enumerate(given):
+            weights = np.zeros(width)
+            for term, times in terms:
+                if term in places:
+                    weights[places[term]] = times
+            hit = np.flatnonzero(weights[tokens_of])
+            dots = np.bincount(rows[hit], weights[tokens_of[hit]] * counts[hit], n)
+            out[:, k] = _cosine(dots, norms * norm)
+        offsets = np.arange(n + 1, dtype=np.int32) * len(given)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(out.ravel()))
+
+    return to_all(lowered)
+
+
+@F.arrow_udf(T.DoubleType())
+def term_similarity_of_text(lowered: pa.Array, terms: pa.Array, terms_norm: pa.Array) -> pa.Array:
+    """`term_similarity` of pairs of a lower-case text and a `term_counts` vector. A text that comes in several
+    pairs of a batch is counted once."""
+    texts = pc.fill_null(lowered, "").dictionary_encode()
+    known, cells, counts, norms = _counted(texts.dictionary)
+    width, n = max(len(known), 1), len(lowered)
+    row_of = texts.indices.to_numpy().astype(np.int64)
+    sizes = pc.fill_null(pc.list_value_length(terms), 0).to_numpy()
+    pairs = np.repeat(np.arange(n), sizes)
+    flat = terms.flatten()
+    token = pc.fill_null(pc.index_in(flat.field("term"), value_set=known), -1).to_numpy()
+    times = flat.field("n").to_numpy().astype(np.float64)
+    met = np.flatnonzero(token >= 0)
+    wanted = row_of[pairs[met]] * width + token[met]
+    place = np.minimum(np.searchsorted(cells, wanted), max(len(cells) - 1, 0))
+    held = np.flatnonzero(cells[place] == wanted) if len(cells) else np.zeros(0, np.int64)
+    dots = np.bincount(pairs[met[held]], times[met[held]] * counts[place[held]], n)
+    scale = norms[row_of] * pc.fill_null(terms_norm, 0.0).to_numpy() if n else np.zeros(0)
+    return pa.array(_cosine(dots, scale), pa.float64())
+
+
 def lower_tokens(text: Column) -> Column:
     return tokens(F.lower(text))
 

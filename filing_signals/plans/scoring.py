@@ -59,42 +59,35 @@ def pair_similarities(
     """Every sentence with every theme: theme_id, semantic_sim and phonetic_sim.
 
     With a `vector` column on both sides meaning is their cosine, else the cosine of lower-case
-    term counts. Codes, tokens and vectors are made once per sentence, before pairing.
-    Themes under the size limit are handed to every task; beyond it pairs come from a salted
+    term counts. Themes under the size limit are handed to every task, and a sentence is compared with
+    all of them before pairing, so that pairs carry numbers only; beyond it pairs come from a salted
     shuffle join. Both give the same rows.
     """
     dense = "vector" in rows.columns and "vector" in themes.columns
     feats = theme_features(themes, dense)
-    made = ["_code", "_words", "_norm", "_t", "_t_pos", "_sem", "_phon"]
-    base = rows.withColumn("_code", phonetic.phonetic_code("text"))
-    if not dense:
-        words = vectors.lower_tokens(F.col("text"))
-        base = base.withColumn("_words", words).withColumn("_norm", vectors.term_norm(words))
+    made = ["_code", "_lower", "_t", "_t_pos", "_sem", "_phon"]
+    lowered = F.lower("text")
 
     if pairing.is_small(themes, small_bytes):
         small = sorted(feats.collect(), key=lambda r: r["theme_id"])
-        base = base.withColumn(
-            "_phon", phonetic.phonetic_similarities(F.col("_code"), [r["kw_code"] for r in small])
-        )
-        shared = feats
         if dense:
-            base = base.withColumn(
-                "_sem",
-                vectors.semantic_similarities(F.col("vector"), [r["vector"] for r in small]),
-            )
-            small = [(r["theme_id"],) for r in small]
-            shared = feats.select("theme_id")
-        pairs = pairing.with_each(base, small, shared.schema, "_t")
+            meaning = vectors.semantic_similarities(F.col("vector"), [r["vector"] for r in small])
+        else:
+            meaning = vectors.term_similarities(lowered, small)
+        sound = phonetic.phonetic_similarities(lowered, [r["kw_code"] for r in small])
+        base = rows.withColumns({"_sem": meaning, "_phon": sound})
+        pairs = pairing.with_each(base, [(r["theme_id"],) for r in small], feats.select("theme_id").schema, "_t")
         phon = F.element_at("_phon", F.col("_t_pos") + 1)
-        sem = F.element_at("_sem", F.col("_t_pos") + 1) if dense else None
+        sem = F.element_at("_sem", F.col("_t_pos") + 1)
     else:
+        base = rows.withColumn("_code", phonetic.phonetic_code("text"))
+        base = base if dense else base.withColumn("_lower", lowered)
         pairs = pairing.with_each_by_shuffle(base, ["doc_id", "sentence_id"], feats, "_t")
         phon = phonetic.phonetic_similarity(F.col("_code"), F.col("_t.kw_code"))
-        sem = vectors.semantic_similarity(F.col("vector"), F.col("_t.vector")) if dense else None
-    if sem is None:
-        sem = vectors.term_similarity(
-            F.col("_words"), F.col("_norm"), F.col("_t.terms"), F.col("_t.norm")
-        )
+        if dense:
+            sem = vectors.semantic_similarity(F.col("vector"), F.col("_t.vector"))
+        else:
+            sem = vectors.term_similarity_of_text(F.col("_lower"), F.col("_t.terms"), F.col("_t.norm"))
     return (
         pairs.withColumn("theme_id", F.col("_t.theme_id"))
         .withColumn("semantic_sim", sem)

@@ -277,3 +277,52 @@ def test_indels_of_many_texts_equal_one_by_one():
         wanted = [indel(char_masks(t), len(t), other) for t in texts]
         assert indels(texts, other).tolist() == wanted
     assert indels([], "A").tolist() == []
+
+
+def test_rounded_equals_round(spark):
+    draw = random.Random(5)
+    values = [0.0, -0.0, 0.5, 1e-7, -1e-7, 5e-7, -5e-7, 1.0000005, 0.1234565, -0.1234565, 2.5e-6, 1e12, -1e300, None]
+    values += [float("nan"), float("inf"), float("-inf"), 123456.7890125, 0.30000000000000004, 1e6, 999999.9999995]
+    values += [draw.uniform(-100, 100) for _ in range(20_000)] + [(2 * draw.randrange(10**7) + 1) / 2e6 for _ in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    c = F.col("x")
+    both = df.select(c, scores.rounded(c).alias("a"), F.round(c, 6).alias("b")).collect()
+    assert [r for r in both if repr(r.a) != repr(r.b)] == []
+
+
+def test_batch_similarities_equal_row_by_row(spark):
+    texts = ["The rates, the end", " a\u00a0b\x1cA  a ", "", None, "   ", "\u0130stanbul \u212aelvin kn\u00efght", "12 34", "the", "x " * 200]
+    themes = ["the the end", "a b", "", "kelvin istanbul", "night rates " * 9]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, x string").coalesce(1)
+    kw = spark.createDataFrame([(j, t) for j, t in enumerate(themes)], "j long, y string").coalesce(1)
+    y = vectors.lower_tokens(F.col("y"))
+    feats = kw.select("j", vectors.term_counts(y).alias("terms"), vectors.term_norm(y).alias("norm"), phonetic.phonetic_code("y").alias("kw_code"))
+    small = sorted(feats.collect(), key=lambda r: r["j"])
+    lower, x = F.lower("x"), vectors.lower_tokens(F.col("x"))
+    arrays = df.select("i", vectors.term_similarities(lower, small).alias("sem"), phonetic.phonetic_similarities(lower, [r["kw_code"] for r in small]).alias("phon"))
+    pairs = df.withColumn("code", phonetic.phonetic_code("x")).crossJoin(feats)
+    one = pairs.select(
+        "i", "j", "code", "x",
+        vectors.term_similarity(x, vectors.term_norm(x), F.col("terms"), F.col("norm")).alias("sem"),
+        vectors.term_similarity_of_text(lower, F.col("terms"), F.col("norm")).alias("sem_of_text"),
+        phonetic.phonetic_similarity(F.col("code"), F.col("kw_code")).alias("phon"),
+        "kw_code",
+    ).collect()
+    got = {r["i"]: r for r in arrays.collect()}
+    assert len(one) == len(texts) * len(themes)
+    for r in one:
+        assert r["sem"] == r["sem_of_text"] == got[r["i"]]["sem"][r["j"]]
+        assert r["phon"] == got[r["i"]]["phon"][r["j"]]
+        assert r["code"] == (None if r["x"] is None else encode_text(r["x"]))
+        a, b = r["code"] or "", r["kw_code"]
+        want = phonetic.indel(phonetic.char_masks(a), len(a), b) if a and b else 0.0
+        assert r["phon"] == want
+
+
+def test_scoring_keeps_no_tokens_in_its_plan(spark, capsys):
+    """Tokens of sentences are counted in Arrow batches: pairs carry numbers, and no lambda runs per term."""
+    s = spark.createDataFrame([("a", 0, "the end of it")], "doc_id string, sentence_id int, text string")
+    t = spark.createDataFrame([("T", "the", "end")], "theme_id string, theme string, keywords string")
+    C.pair_similarities(s, t).explain()
+    plan = capsys.readouterr().out
+    assert "array_remove" not in plan and "split(" not in plan
