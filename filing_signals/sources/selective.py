@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filing_signals.sources.snapshots import remove, staged, staging_folder
+
 
 def store_selective(
     df: DataFrame,
@@ -23,15 +25,22 @@ def store_selective(
 
     A value that holds many rows is spread over several files: ranges go by the columns and then by a
     hash of the row. `distinct` is the number of values in a file that its Bloom filters are made for.
+
+    Ranges are found from a sample of all rows, so rows are staged: what makes them (scoring, say) runs once.
     """
     spread = F.xxhash64(*df.columns)
     ranges = [*[F.col(c) for c in columns], spread]
-    dealt = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
-    writer = dealt.sortWithinPartitions(*columns).write.option("parquet.block.size", str(group_bytes))
-    for c in columns:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
-        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{c}", str(distinct))
-    writer.parquet(path)
+    folder = staging_folder(df.sparkSession)
+    try:
+        rows = staged(df, folder)
+        dealt = rows.repartitionByRange(files, *ranges) if files else rows.repartitionByRange(*ranges)
+        writer = dealt.sortWithinPartitions(*columns).write.option("parquet.block.size", str(group_bytes))
+        for c in columns:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+            writer = writer.option(f"parquet.bloom.filter.expected.ndv#{c}", str(distinct))
+        writer.parquet(path)
+    finally:
+        remove(df.sparkSession, folder)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

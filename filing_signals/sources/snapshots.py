@@ -34,6 +34,12 @@ def staged(df: DataFrame, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a staged result that nothing reads again."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class SnapshotTable:
     """A keyed relation stored as numbered snapshot folders, the highest finished one current.
 
