@@ -339,14 +339,16 @@ def landed_pages(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Pages written as one file each; a manifest that lists pages and documents; the match."""
     folder = landed.plain_path(F.lit(staging := staging_folder(spark)))
     pages = X.table(spark, sf, "pages", "page_id", "html")
-    pages.write.partitionBy("page_id").text(staging)
+    landed.land(pages, staging, "page_id", "html")
     files = landed.landed_files(spark, staging, "*.txt").select(
         F.regexp_replace("file_path", "/[^/]*$", "").alias("file_path"),
         text.html_to_text(F.col("text")).alias("text"),
     )
     listed = pages.select(
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("doc_id"),
-        F.concat(folder, F.lit("/page_id="), F.col("page_id").cast("string")).alias("file_path"),
+        F.concat(
+            folder, F.lit("/"), landed.shard_of(F.col("page_id")), F.lit("/page_id="), F.col("page_id").cast("string")
+        ).alias("file_path"),
     ).unionByName(
         X.table(spark, sf, "documents", "doc_id").select(
             F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc_id"),

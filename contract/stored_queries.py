@@ -23,6 +23,7 @@ from filing_signals.schemas import DOCUMENTS, SENTENCE_SCORES, SENTENCES
 from filing_signals.sources import inventory, selective
 from filing_signals.sources.buckets import BucketTable
 from filing_signals.sources.copartitioned import Copartitioned
+from filing_signals.sources.landed import land
 from filing_signals.sources.registry import IdRegistry
 from filing_signals.sources.snapshots import SnapshotTable, staged, staging_folder
 
@@ -144,7 +145,7 @@ def landed_changes(spark, sf):
     folder, state = staging_folder(spark), staging_folder(spark)
     pages = X.table(spark, sf, "pages", "page_id", "html")
     name = F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("name")
-    pages.select(name, "html").write.partitionBy("name").text(folder)
+    land(pages.select(name, "html"), folder, "name", "html")
 
     def listing() -> DataFrame:
         files = inventory.listing(spark, folder, "*.txt")
@@ -153,12 +154,11 @@ def landed_changes(spark, sf):
     kept = inventory.Inventory(spark, state)
     kept.accept(listing())
     again = pages.join(X.table(spark, sf, "labels", F.col("doc_id").alias("page_id")), "page_id", "left_semi")
-    dynamic = again.select(name, F.concat("html", F.lit("<!-- again -->")).alias("html")).write.mode("overwrite")
-    dynamic.option("partitionOverwriteMode", "dynamic").partitionBy("name").text(folder)
+    land(again.select(name, F.concat("html", F.lit("<!-- again -->")).alias("html")), folder, "name", "html", overwrite=True)
     more = X.table(spark, sf, "documents", "doc_id", "text").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("name"), F.coalesce("text", F.lit("")).alias("text")
     )
-    more.write.mode("append").partitionBy("name").text(folder)
+    land(more, folder, "name", "text")
     listed = X.table(spark, sf, "benchmark", F.concat(F.lit("p"), F.col("item_id").cast("string")).alias("file_path"))
     now = listing().join(listed, "file_path", "left_anti")
     return kept.look(staged(now)).select(F.col("file_path").alias("name"), "change")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filing_signals.schemas import Relation
-from filing_signals.sources.landed import plain_path
+from filing_signals.sources.landed import gathered, plain_path
 from filing_signals.sources.snapshots import SnapshotTable
 
 INVENTORY = Relation(
@@ -29,7 +29,8 @@ def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     )
-    return files.select(plain_path(F.col("path")).alias("file_path"), "length", F.col("modificationTime").alias("modified"))
+    seen = files.select(plain_path(F.col("path")).alias("file_path"), "length", F.col("modificationTime").alias("modified"))
+    return gathered(seen, 512)
 
 
 def changes(before: DataFrame, now: DataFrame) -> DataFrame:

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Iterator
+from urllib.parse import unquote, urlparse
+
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,11 +93,75 @@ def ticker_map_rows(df: DataFrame, json: str = "json") -> DataFrame:
     return entries.select("e.ticker", F.col("e.cik_str").cast("long").alias("cik_num"))
 
 
+#: Folders over which files of their own are dealt, so that they are listed in as many tasks.
+SHARDS = 256
+_NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+
+
+def shard_of(name: Column) -> Column:
+    """The folder of a name, from its checksum; null for a null name."""
+    return F.concat(F.lit("shard="), (F.crc32(name.cast("string").cast("binary")) % SHARDS).cast("string"))
+
+
+def land(df: DataFrame, folder: str, name: str, text: str, overwrite: bool = False) -> None:
+    """Write each row's text and a line end to `folder/shard=…/name=…/`, one file per name and task.
+
+    `overwrite` drops what lies there under the incoming names first. Tasks write plain files where they
+    can reach the folder as a path: a committer's temporary folders and renames cost many times the
+    file itself, and its last step is one loop over all of them. Elsewhere Spark's writer is used.
+    """
+    named = F.coalesce(F.col(name).cast("string"), F.lit(_NO_NAME))
+    rows = df.select(shard_of(named).alias("shard"), named.alias("name"), F.col(text).alias("text"))
+    where = urlparse(folder)
+    if where.scheme not in ("", "file"):
+        plain = rows.select(F.regexp_replace("shard", "^shard=", "").alias("shard"), F.col("name").alias(name), "text")
+        writer = plain.write.mode("overwrite" if overwrite else "append").partitionBy("shard", name)
+        writer.option("partitionOverwriteMode", "dynamic").text(folder)
+        return
+    root = unquote(where.path) if where.scheme else folder
+
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs = pafs.LocalFileSystem()
+        for batch in batches:
+            for shard, key in zip(*(c.to_pylist() for c in batch.columns)):
+                if fs.get_file_info(at := f"{root}/{shard}/{name}={key}").type != pafs.FileType.NotFound:
+                    fs.delete_dir(at)
+            yield pa.record_batch({"n": [batch.num_rows]})
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, part, made = pafs.LocalFileSystem(), TaskContext.get().partitionId(), ""
+        for batch in batches:
+            for shard, key, said in zip(*(c.to_pylist() for c in batch.columns)):
+                at = f"{root}/{shard}/{name}={key}"
+                path = f"{at}/part-{run}-{part:05d}.txt"
+                if at != made:  # rows are sorted, so this is the first of its name
+                    fs.create_dir(made := at)
+                    stream = fs.open_output_stream(path)
+                else:
+                    stream = fs.open_append_stream(path)
+                with stream:
+                    stream.write(f"{said or ''}\n".encode())
+            yield pa.record_batch({"n": [batch.num_rows]})
+
+    if overwrite:
+        rows.select("shard", "name").distinct().mapInArrow(drop, "n long").agg(F.sum("n")).collect()
+    run = uuid.uuid4().hex[:8]
+    rows.sortWithinPartitions("shard", "name").mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
 def plain_path(path):
     """Path without its URI scheme and authority, as a manifest writes it."""
     return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "")
 
 
+def gathered(files: DataFrame, splits: int = 64) -> DataFrame:
+    """A scan of many small files with `splits` of its splits in a task. Spark counts some MB for opening a
+    file, so its own splits hold a few each, and tasks cost more than what they do. A cluster's cores stay busy
+    where there are fewer files."""
+    least = 4 * files.sparkSession.sparkContext.defaultParallelism
+    return files.coalesce(max(least, files.rdd.getNumPartitions() // splits))
+
+
 def landed_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """One row per file under `root`: file_path and its text, invalid UTF-8 bytes dropped.
 
@@ -102,7 +173,7 @@ def landed_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFram
         .option("pathGlobFilter", pattern)
         .load(root)
     )
-    return files.select(
+    return gathered(files).select(
         plain_path(F.col("path")).alias("file_path"), decode_tolerant(F.col("content")).alias("text")
     )
 

@@ -370,3 +370,56 @@ def test_filters_skip_stored_rows(spark, tmp_path):
     # a company that holds a quarter of all rows is not one task's
     sizes = Counter(x.f for x in spark.read.parquet(f"{tmp_path}/s").where("company_id = 'hot'").select(F.input_file_name().alias("f")).collect())
     assert len(sizes) >= 3
+
+
+# -- landing files and rows that are made once -------------------------------------------------
+
+
+def test_land_writes_a_file_per_name_without_a_committer(spark, tmp_path):
+    from filing_signals.sources import landed
+
+    rows = [("p1", "a\nb"), ("p2", None), ("p1", "again"), (None, "x"), ("p3", "\u00e9")]
+    df = spark.createDataFrame(rows, "name string, text string").coalesce(1)
+    landed.land(df, f"file://{tmp_path}/f", "name", "text")
+
+    def held():
+        files = landed.landed_files(spark, f"{tmp_path}/f", "*.txt")
+        key = F.regexp_extract("file_path", "name=([^/]*)/", 1)
+        return sorted((r[0], sorted(r[1].splitlines())) for r in files.select(key, "text").collect())
+
+    first = [("__HIVE_DEFAULT_PARTITION__", ["x"]), ("p1", ["a", "again", "b"]), ("p2", [""]), ("p3", ["\u00e9"])]
+    assert held() == first
+    landed.land(spark.createDataFrame([("p1", "new")], "name string, text string"), f"file://{tmp_path}/f", "name", "text", overwrite=True)
+    landed.land(spark.createDataFrame([("p3", "more")], "name string, text string"), f"file://{tmp_path}/f", "name", "text")
+    assert held() == [first[0], ("p1", ["new"]), first[2], ("p3", ["more"]), first[3]]
+    names = [p.name for p in (tmp_path / "f").rglob("*")]
+    assert not [n for n in names if n.endswith(".crc") or n in ("_SUCCESS", "_temporary")]
+    shards = [p for p in (tmp_path / "f").iterdir()]
+    assert shards and all(p.name.startswith("shard=") for p in shards)
+
+
+def test_selective_rows_are_made_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(i):
+        made.add(1)
+        return i
+
+    df = spark.range(0, 1000, 1, 4).select(F.concat(F.lit("c"), F.col("id") % 7).alias("company_id"), seen("id").alias("x"))
+    assert selective.store_selective(df, f"{tmp_path}/once", ["company_id"], files=4).count() == 1000
+    assert made.value == 1000
+
+
+def test_a_listing_of_many_files_takes_few_tasks(spark, tmp_path):
+    for i in range(400):
+        (tmp_path / f"d{i % 40}").mkdir(exist_ok=True)
+        (tmp_path / f"d{i % 40}" / f"{i}.txt").write_text("x")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        seen = inventory.listing(spark, str(tmp_path), "*.txt")
+        assert seen.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+        assert seen.count() == 400
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
