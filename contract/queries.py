@@ -167,10 +167,10 @@ def clean_keep_copies(spark, sf):
 
 @query
 def stage_counts(spark, sf):
-    """Rows after each cleaning stage."""
-    raw = stray(spark, sf)
-    distinct = S.drop_exact_copies(S.usable(raw))
-    kept = S.ratio_filters(distinct, digit_thresh=0.05)
+    """Rows after each cleaning stage. What several stages start from is staged, so that it is made once."""
+    raw = staged(stray(spark, sf))
+    distinct = staged(S.drop_exact_copies(S.usable(raw)))
+    kept = staged(S.ratio_filters(distinct, digit_thresh=0.05))
     trimmed = S.trim_lengths(kept)
     stages = {
         "1 read": raw,

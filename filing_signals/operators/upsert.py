@@ -79,11 +79,16 @@ def constraint_report(
     """One row per rule of a relation with the number of violations.
 
     Key: keys held more than once. NOT NULL: rows with a null. Reference: rows without a parent.
+
+    Every rule looks at all rows, so keys and whether the other columns are null are staged, and what makes
+    the rows runs once.
     """
+    from filing_signals.sources.snapshots import staged  # which imports this module
+
     nulls = [f.name for f in relation.schema if not f.nullable and f.name in df.columns]
-    counted = df.agg(
-        *[F.count_if(F.col(c).isNull()).alias(f"not_null:{c}") for c in nulls]
-    )
+    keys = list(dict.fromkeys([*relation.keys, *(parents or {})]))
+    df = staged(df.select(*keys, *[F.col(c).isNull().alias(f"null:{c}") for c in nulls]))
+    counted = df.agg(*[F.count_if(F.col(f"`null:{c}`")).alias(f"not_null:{c}") for c in nulls])
     per_rule = F.explode(
         F.array(
             *[

@@ -36,20 +36,23 @@ class EncodedTexts:
 
     def missing(self, texts: DataFrame) -> DataFrame:
         """(digest, text) of distinct texts without a stored vector. One text per digest crosses the
-        exchange; repeats combine on the map side."""
-        keyed = texts.where(F.col("text").isNotNull()).select(F.sha2("text", 256).alias("digest"), "text")
-        first = keyed.groupBy("digest").agg(F.first("text").alias("text"))
-        return first.join(self.table.read().select("digest"), "digest", "left_anti")
+        exchange; repeats combine on the map side. Digests are moved as bytes, at half their length."""
+        keyed = texts.where(F.col("text").isNotNull()).select(F.unhex(F.sha2("text", 256)).alias("_key"), "text")
+        first = keyed.groupBy("_key").agg(F.first("text").alias("text"))
+        fresh = first.join(self.table.read().select(F.unhex("digest").alias("_key")), "_key", "left_anti")
+        return fresh.select(F.lower(F.hex("_key")).alias("digest"), "text")
 
     def encode(self, texts: DataFrame, partitions: int | None = None) -> DataFrame:
         """`texts` with `vector`, null for a null text; new results are stored first.
 
-        New texts are dealt by digest, so that no task gets all long ones, and sorted by length inside,
-        so that the texts of a model's batch are of about one length and need little padding.
+        New texts come dealt by digest, so that no task gets all long ones (`partitions` deals them anew), and are
+        sorted by length inside, so that the texts of a model's batch are of about one length and need little
+        padding.
         """
         fresh = staged(self.missing(texts))
         if not fresh.isEmpty():
-            dealt = fresh.repartition(partitions, "digest") if partitions else fresh.repartition("digest")
+            dealt = fresh.repartition(partitions, "digest") if partitions else fresh
             ordered = dealt.sortWithinPartitions(F.length("text"), "digest")
             self.table.upsert(ordered.select("digest", encode(F.col("text"), self.model, self.batch).alias("vector")), unique=True)
-        return texts.withColumn("digest", F.sha2("text", 256)).join(self.table.read(), "digest", "left").drop("digest")
+        stored = self.table.read().select(F.unhex("digest").alias("_key"), "vector")
+        return texts.withColumn("_key", F.unhex(F.sha2("text", 256))).join(stored, "_key", "left").drop("_key")

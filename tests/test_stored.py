@@ -423,3 +423,35 @@ def test_a_listing_of_many_files_takes_few_tasks(spark, tmp_path):
         assert seen.count() == 400
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_encoding_moves_short_digests_once(spark, tmp_path, capsys):
+    from filing_signals.plans.encoded import EncodedTexts
+
+    rows = [("a", 0, "one"), ("a", 1, None), ("b", 0, "one"), ("b", 1, "two")]
+    df = spark.createDataFrame(rows, "doc_id string, sentence_id int, text string")
+    encoded = EncodedTexts(spark, str(tmp_path), lambda: lambda texts: [[float(len(t)), 1.0] for t in texts])
+    encoded.missing(df).explain()
+    assert "hashpartitioning(_key" in capsys.readouterr().out
+    got = {(r["doc_id"], r["sentence_id"]): r["vector"] for r in encoded.encode(df).collect()}
+    assert got == {("a", 0): [3.0, 1.0], ("a", 1): None, ("b", 0): [3.0, 1.0], ("b", 1): [3.0, 1.0]}
+    assert encoded.missing(df).isEmpty() and encoded.table.read().count() == 2
+
+
+def test_constraint_report_makes_rows_once(spark):
+    from filing_signals.operators.upsert import constraint_report
+    from filing_signals.schemas import SENTENCES
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(t):
+        made.add(1)
+        return t
+
+    rows = [("a", 0, "x"), ("a", 0, "y"), ("b", 0, None), (None, 1, "z"), ("c", None, "z")]
+    df = spark.createDataFrame(rows, "doc_id string, sentence_id int, text string").withColumn("doc_id", seen("doc_id"))
+    parents = spark.createDataFrame([("a",), ("c",)], "doc_id string")
+    got = {r["rule"]: r["violations"] for r in constraint_report(SENTENCES, df, {"doc_id": parents}).collect()}
+    assert got["key:doc_id,sentence_id"] == 1 and got["reference:doc_id"] == 1 and got["not_null:doc_id"] == 1
+    assert made.value == len(rows)
