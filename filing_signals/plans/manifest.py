@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from filing_signals import fixed
 from filing_signals.functions import text
 from filing_signals.operators.numbering import number_rows
+from filing_signals.operators.pairing import SMALL_BYTES, is_small
 from filing_signals.operators.ranking import top_per_group
 
 
@@ -58,11 +59,14 @@ def manifest(
 
     The number depends on the run; `keyed` adds `filing_key`, which does not: a load that should
     find a filing again under another number can use it as `doc_id`. `one_per_filing` keeps a filing once when two share classes list its company.
+
+    Companies are handed to all tasks only where their measured size, once for each form, allows: Spark's
+    estimate leaves out what `posexplode` adds. Otherwise both sides are sorted and merged.
     """
-    wanted = valid_companies(companies).select(
-        "*", F.posexplode(F.array(*[F.lit(f) for f in forms])).alias("form_pos", "form")
-    )
-    rows = wanted.join(latest, ["cik_num", "form"])
+    valid = valid_companies(companies)
+    wanted = valid.select("*", F.posexplode(F.array(*[F.lit(f) for f in forms])).alias("form_pos", "form"))
+    small = is_small(valid, SMALL_BYTES // max(1, len(forms)))
+    rows = (F.broadcast(wanted) if small else wanted.hint("merge")).join(latest, ["cik_num", "form"])
     if one_per_filing:
         rows = top_per_group(
             rows,

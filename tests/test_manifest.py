@@ -96,3 +96,19 @@ def test_filing_keys_last(spark):
     one = {r.doc_id: r.filing_key for r in M.manifest(companies.where("position = 2"), latest, "base", ["10-K"], keyed=True).collect()}
     assert both == {"D001": "0000000005/12/a.htm", "D002": "0000000006/34/b.htm"}
     assert one == {"D001": "0000000006/34/b.htm"}
+
+
+def test_companies_are_broadcast_by_their_size_with_all_forms(spark, monkeypatch):
+    joined = []
+    number = M.number_rows
+    monkeypatch.setattr(M, "number_rows", lambda df, *a: joined.append(df) or number(df, *a))
+    key = F.col("id")
+    listed = spark.range(40_000).select(key.cast("int").alias("position"), key.cast("string").alias("ticker"), key.alias("cik_num"))
+    few = listed.where("id < 30")
+    day, name = F.lit("2024-01-02").alias("filingDate"), F.lit("d.htm").alias("primaryDocument")
+    latest = spark.range(60).select(key.alias("cik_num"), F.lit("f7").alias("form"), day, key.cast("string").alias("accessionNumber"), name)
+    forms = [f"f{i}" for i in range(40)]
+    counts = [M.manifest(c, latest, "x", forms).count() for c in (listed, few)]
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in joined]
+    assert counts == [60, 30]
+    assert "strategy=merge" in plans[0] and "strategy=broadcast" in plans[1]
