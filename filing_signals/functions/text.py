@@ -19,7 +19,8 @@ from filing_signals import fixed
 WS_RUN = rf"[\P{{Graph}}&&[{fixed.WHITE_SPACE}]]+"
 KEPT = fixed.KEPT.replace("A-Za-z0-9", r"\p{Alnum}")
 NOT_KEPT = f"[^{KEPT}]"
-NOT_KEPT_RUN = f"{NOT_KEPT}+"
+# Runs outside the kept set, but for a single space, which is what they become.
+NOT_KEPT_RUN = f"{NOT_KEPT}{NOT_KEPT}+|[^{KEPT} ]"
 SPLIT = rf"[{fixed.SENTENCE_END}]+|\n+"
 
 # Comments and elements without readable text. One alternation, so whichever opens first wins;
@@ -119,7 +120,8 @@ def html_to_text(c: Column) -> Column:
 def clean_sentence(c: Column) -> Column:
     """Characters outside the kept set become spaces, runs collapse; null gives ''.
 
-    Kept-set complement and white space are replaced together: a run of both is one space.
+    Kept-set complement and white space are replaced together: a run of both is one space. A single
+    space is no match, as most of them are single.
     """
     return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), NOT_KEPT_RUN, " "))
 
@@ -160,10 +162,10 @@ def digit_ratio(c: Column) -> Column:
 
 
 def clean_digit_ratio(c: Column) -> Column:
-    """`digit_ratio` of a cleaned text: its only white space is ' ' and its digits are 0-9, so
-    plain character replacement does without regular expressions."""
-    size = F.length(F.translate(c, " ", ""))
-    hits = size - F.length(F.translate(c, " 0123456789", ""))
+    """`digit_ratio` of a cleaned text: its only white space is ' ' and its digits are 0-9. Blanks are
+    replaced as bytes and digits by the run, since `translate` looks up each character."""
+    size = F.length(F.replace(c, F.lit(" "), F.lit("")))
+    hits = F.length(c) - F.length(F.regexp_replace(c, "[0-9]+", ""))
     return F.when(size == 0, F.lit(1.0)).otherwise(hits.cast("double") / size.cast("double"))
 
 

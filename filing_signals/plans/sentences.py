@@ -11,6 +11,7 @@ from filing_signals.operators.numbering import number_rows
 from filing_signals.operators.pairing import is_small
 from filing_signals.operators.ranking import first_rows
 from filing_signals.sources.landed import landed_files, match_manifest, require_columns
+from filing_signals.sources.snapshots import staged
 
 
 def extract(
@@ -144,11 +145,11 @@ def clean(
     symbol_on: str = "clean",
 ) -> DataFrame:
     """The strict cleaning chain. Length quantiles see distinct rows after the ratio filters and
-    before texts are deduplicated; the shuffle behind the distinct rows is done once and read by
-    the quantiles and by the rest of the chain."""
+    before texts are deduplicated; filtered rows are staged, so that texts are cleaned once for the
+    quantiles and for the rest of the chain."""
     rows = drop_exact_copies(usable(sentences))
     rows = ratio_filters(rows, symbol_thresh, digit_thresh, symbol_on)
-    rows = trim_lengths(rows, trim_share)
+    rows = trim_lengths(staged(rows) if trim_share > 0 else rows, trim_share)
     return renumber(rows if keep_copies else keep_first_texts(rows))
 
 

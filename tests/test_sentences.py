@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from filing_signals.functions import text as tx
 from filing_signals.operators.numbering import number_rows
 from filing_signals.plans import sentences as S
 from filing_signals.sources.landed import MissingColumns
@@ -139,3 +140,24 @@ def test_copies_combine_before_the_shuffle(spark):
     df = spark.createDataFrame([("d", 1, "t")], SCHEMA)
     assert "partial_min" in plan(S.keep_first_texts(df))
     assert plan(S.drop_exact_copies(df)).count("HashAggregate") == 2
+
+
+def test_texts_are_cleaned_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda t: (seen.add(1), t)[1])
+    plain = S.ratio_filters
+    monkeypatch.setattr(S, "ratio_filters", lambda df, *a: plain(df.withColumn("text", counted("text")), *a))
+    rows = [(f"d{i % 7}", i, f"this is sentence number {i} of its text") for i in range(300)]
+    got = S.clean(spark.createDataFrame(rows + rows, "doc_id string, sentence_id int, text string"))
+    assert got.count() > 0
+    assert seen.value == 300
+
+
+def test_cleaning_passes_over_single_spaces(spark):
+    said = ["a b", " a  b ", "a b", "a-b", "a - b", "é", "\t", "", "a,b. c", "a \n", "\U0001f600a\U0001f600 \U0001f600b", "1 2 3", None]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(said)], "i int, t string")
+    got = got.select("i", tx.clean_sentence(F.col("t")).alias("t"), tx.clean_digit_ratio(tx.clean_sentence(F.col("t"))).alias("r")).collect()
+    for i, t, r in sorted(got):
+        want = re.sub(r"[^A-Za-z0-9,.]+", " ", said[i] or "").strip(" ")
+        dense = want.replace(" ", "")
+        assert (t, r) == (want, sum(c.isdigit() for c in dense) / len(dense) if dense else 1.0)
