@@ -17,10 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from filing_signals.llm.staging import Stage
 from filing_signals.llm.words import byte_slices, mixed, split_words
 
 #: Log-odds are held between this and its negative.
 CERTAIN = 35.0
+#: Bits of one of Spark's bitmaps.
+_BITMAP = 1 << 15
 FEATURES = "sample_key long, doc_id long, label int, features array<int>"
 
 
@@ -99,27 +102,70 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, s: Settings) -> DataFram
     return rows.select("sample_key", "doc_id", "label", "text").mapInArrow(run, FEATURES)
 
 
+def frequent(sample: DataFrame, s: Settings) -> np.ndarray:
+    """Whether each bucket is found in enough rows of the sample: one bit each comes to the driver."""
+    found = sample.select(F.explode("features").alias("bucket"))  # a row has each of its features once
+    found = found.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") >= s.least_texts)
+    # 2^15 buckets a row; the function counts numbers from 1
+    number, place = F.bitmap_bucket_number(F.col("bucket") + 1), F.bitmap_bit_position(F.col("bucket") + 1)
+    bits = np.zeros((-(-(1 << s.bits) // _BITMAP), _BITMAP), bool)
+    for r in found.groupBy(number.alias("i")).agg(F.bitmap_construct_agg(place).alias("b")).collect():
+        bits[r.i - 1] = np.unpackbits(np.frombuffer(r.b, np.uint8), bitorder="little")
+    return bits.ravel()[: 1 << s.bits]
+
+
+def with_frequent(sample: DataFrame, s: Settings) -> DataFrame:
+    """(sample_key, doc_id, label, features) of a written sample with its frequent features alone."""
+    sent = sample.sparkSession.sparkContext.broadcast(frequent(sample, s))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(3)
+            for a, b in row_runs(lists.offsets.to_numpy().astype(np.int64)):
+                part = lists.slice(a, b - a)
+                buckets = part.flatten().to_numpy()
+                offsets = part.offsets.to_numpy().astype(np.int64)
+                kept = sent.value[buckets]
+                ends = np.concatenate([[0], np.cumsum(kept)])[offsets - offsets[0]]
+                fewer = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(buckets[kept]))
+                here = [batch.column(i).slice(a, b - a) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*here, fewer], names=["sample_key", "doc_id", "label", "features"])
+
+    return sample.mapInArrow(run, FEATURES)
+
+
+def row_runs(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """(first, end) of runs of rows with about `most` features, at least one row each."""
+    row = 0
+    while row < len(offsets) - 1:
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + most, "right")) - 1)
+        yield row, end
+        row = end
+
+
 def compacted(parts: list[tuple[np.ndarray, np.ndarray]], s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(places, offsets, used): all rows' features as places in `used`, the buckets found in enough rows.
 
-    `parts` are (buckets, offsets) of some rows each; they are taken out one by one, so that the sample is held
-    once.
+    `parts` are (buckets, offsets) of some rows each; they are taken out one by one, and looked at some rows
+    at a time, so that the sample is held once.
     """
     texts = np.zeros(1 << s.bits, np.int32)
     for buckets, _ in parts:
-        texts += np.bincount(buckets, minlength=1 << s.bits).astype(np.int32)  # a row has each of its features once
+        for a in range(0, len(buckets), 1 << s.bits):
+            texts += np.bincount(buckets[a : a + (1 << s.bits)], minlength=1 << s.bits).astype(np.int32)  # a row has each of its features once
     used = np.flatnonzero(texts >= s.least_texts)
     place = np.full(1 << s.bits, -1, np.int32)
     place[used] = np.arange(len(used))
-    found, ends = [], [np.zeros(1, np.int64)]
+    found, ends = np.zeros(int(texts[used].sum(dtype=np.int64)), np.int32), [np.zeros(1, np.int64)]
     while parts:
         buckets, offsets = parts.pop(0)
-        at = place[buckets]
-        kept = at >= 0
-        before = np.concatenate([[0], np.cumsum(kept)])
-        ends.append(ends[-1][-1] + before[offsets[1:]])
-        found.append(at[kept])
-    return np.concatenate([np.zeros(0, np.int32), *found]), np.concatenate(ends), used
+        for a, b in row_runs(offsets):
+            at = place[buckets[offsets[a] : offsets[b]]]
+            kept = at >= 0
+            before = np.concatenate([[0], np.cumsum(kept)]) + ends[-1][-1]
+            found[before[0] : before[-1]] = at[kept]
+            ends.append(before[offsets[a + 1 : b + 1] - offsets[a]])
+    return found, np.concatenate(ends), used
 
 
 def ftrl(parts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, float]:
@@ -152,9 +198,11 @@ def ftrl(parts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, s: Sett
 def train(sample: DataFrame, s: Settings) -> list[tuple[int, float]]:
     """(bucket, weight) pairs, the bias under bucket -1.
 
-    FTRL is a sequential method, so the bounded sample's features meet in one task, in the order of
-    the sample key.
+    FTRL is a sequential method, so the bounded sample's frequent features meet in one task, in the order of
+    the sample key. They are counted and the others left out before, in many tasks, from the written sample.
     """
+    stage = Stage(sample.sparkSession, "toxicity")
+    sample = with_frequent(stage.keep(sample, "sample"), s)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, np.ndarray]] = []
@@ -171,7 +219,9 @@ def train(sample: DataFrame, s: Settings) -> list[tuple[int, float]]:
 
     one = sample.repartition(1).sortWithinPartitions("sample_key", "doc_id", F.xxhash64("features"))
     fitted = one.select("label", "features").mapInArrow(run, "bucket long, weight double")
-    return [(r.bucket, r.weight) for r in fitted.collect()]  # at most one row per bucket of the table
+    found = [(r.bucket, r.weight) for r in fitted.collect()]  # at most one row per bucket of the table
+    stage.drop("sample")
+    return found
 
 
 def score(docs: DataFrame, fitted: list[tuple[int, float]], bits: int, carry: bool = False) -> DataFrame:

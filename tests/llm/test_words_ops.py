@@ -160,3 +160,22 @@ def test_repeated_rows_do_not_fill_the_sample(spark):
     known = [r.doc_id for r in labels.where(~toxicity.held_out("doc_id")).orderBy(F.xxhash64("doc_id")).collect()]
     assert len(sample) == 20 and {r.doc_id for r in sample} <= set(known[:20])
     assert sum(r.doc_id == 1 for r in toxicity.labelled_sample(docs, labels, toxicity.Settings()).collect()) <= 2
+
+
+def test_rare_features_are_left_out_before_training(spark, monkeypatch):
+    s = toxicity.Settings(bits=16, least_texts=3)
+    rows = [(i, i, i % 2, sorted({5, 40_000 + i % 7, 60_000 + i})) for i in range(12)] + [(12, 12, 0, [])]
+    sample = spark.createDataFrame(rows, toxicity.FEATURES).repartition(3)
+    often = {b for b in range(1 << 16) if sum(b in r[3] for r in rows) >= 3}
+    assert set(np.flatnonzero(toxicity.frequent(sample, s)).tolist()) == often
+    reached = []
+    plain = toxicity.with_frequent
+    monkeypatch.setattr(toxicity, "with_frequent", lambda *a: reached.append(plain(*a).collect()) or plain(*a))
+    toxicity.train(sample, s)
+    assert sorted(tuple(r) for r in reached[0]) == [(*r[:3], [b for b in r[3] if b in often]) for r in rows]
+
+
+def test_runs_of_rows_cover_all():
+    offsets = np.array([0, 3, 3, 20, 21, 22])
+    assert list(toxicity.row_runs(offsets, 4)) == [(0, 2), (2, 3), (3, 5)]
+    assert list(toxicity.row_runs(np.zeros(1, int))) == []
