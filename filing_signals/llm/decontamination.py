@@ -53,7 +53,7 @@ class Settings:
 
 
 def _unslotted(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), _NUMBER + _NAME + _UNIT + _MARK, "    ")
+    return F.regexp_replace(F.coalesce(text, F.lit("")), f"[{_NUMBER}-{_MARK}]", " ")
 
 
 def marked(text: Column) -> Column:
@@ -95,45 +95,31 @@ def slots(text: Column) -> Column:
     )
 
 
-def windows(tokens: Column, sizes: list[int]) -> Column:
-    """(pos, size, hash, forms) of the windows of each size over marked tokens.
-
-    `forms` is STRICT, LOOSE or, for one row where they do not differ, the sum of both.
-    """
-
-    def of_size(h: Column, n: int) -> Column:
-        def one(hashes: Column, forms: int, i: Column) -> Column:
-            value = F.xxhash64(F.slice(hashes, i + 1, F.lit(n)))
-            return F.struct(i.alias("pos"), F.lit(n).alias("size"), value.alias("hash"), F.lit(forms).alias("forms"))
-
-        # starts of windows with a marked token
-        near = lambda at: F.sequence(F.greatest(at - n + 1, F.lit(0)), F.least(at, F.size(h["strict"]) - n))
-        differ = F.array_distinct(F.flatten(F.transform(h["marks"], near)))
-        none = F.array().cast("array<struct<pos:int,size:int,hash:bigint,forms:int>>")
-
-        def both(differ: Column) -> Column:
-            same = F.array_except(F.sequence(F.lit(0), F.size(h["strict"]) - n), differ)
-            return F.concat(
-                F.transform(same, lambda i: one(h["strict"], STRICT | LOOSE, i)),
-                F.transform(differ, lambda i: one(h["strict"], STRICT, i)),
-                F.transform(differ, lambda i: one(h["loose"], LOOSE, i)),
-            )
-
-        return F.when(F.size(h["strict"]) >= n, bind(differ, both)).otherwise(none)
-
-    def hashed(t: Column) -> Column:
-        at = F.transform(t, lambda x, i: F.when(F.startswith(x, F.lit(_MARK)), i))
-        return F.struct(
-            F.transform(t, lambda x: F.xxhash64(_strict(x))).alias("strict"),
-            F.transform(t, lambda x: F.xxhash64(_loose(x))).alias("loose"),
-            F.filter(at, lambda i: i.isNotNull()).alias("marks"),
-        )
-
-    return bind(bind(tokens, hashed), lambda h: F.concat(*(of_size(h, n) for n in sizes)))
+def _hashed(tokens: Column) -> Column:
+    """Hashes of marked tokens in both forms."""
+    of = lambda form: F.transform(tokens, lambda t: F.xxhash64(form(t)))
+    return F.struct(of(_strict).alias("strict"), of(_loose).alias("loose"))
 
 
 def _windowed(given: DataFrame, key: list[str], sizes: list[int]) -> DataFrame:
-    return given.select(*key, F.explode(windows(marked(F.col("text")), sizes)).alias("w")).select(*key, "w.*")
+    """(key, pos, size, hash, forms) of the windows of each size over the texts' marked tokens.
+
+    `forms` is STRICT, LOOSE or, for one row where they do not differ, the sum of both. Windows are columns over
+    a text's exploded places, and not arrays made by lambdas, so that Spark compiles them.
+    """
+    both = F.inline(F.array(bind(marked(F.col("text")), _hashed)))
+    places = given.select(*key, both).select(*key, "strict", "loose", F.posexplode("strict").alias("pos", "token"))
+    value = lambda form, n: F.xxhash64(*(F.get(form, F.col("pos") + k) for k in range(n)))
+    values = [value(form, n).alias(f"{form}_{n}") for form in ("strict", "loose") for n in sizes]
+    hashed = places.select(*key, "pos", F.size("strict").alias("tokens"), *values)
+
+    def of_size(n: int) -> list[Column]:
+        strict, loose = F.col(f"strict_{n}"), F.col(f"loose_{n}")
+        one = lambda h, same, other: F.struct(F.lit(n).alias("size"), h.alias("hash"), F.when(strict == loose, same).otherwise(other).alias("forms"))
+        return [one(strict, STRICT | LOOSE, STRICT), one(loose, 0, LOOSE)]
+
+    rows = hashed.select(*key, "pos", "tokens", F.inline(F.array(*(w for n in sizes for w in of_size(n)))))
+    return rows.where("forms != 0 AND pos + size <= tokens").select(*key, "pos", "size", "hash", "forms")
 
 
 def _slots_by_place(given: DataFrame, key: list[str]) -> DataFrame:

@@ -452,3 +452,24 @@ def test_empty_lists_of_known_licenses_match_nothing(spark):
     docs = spark.createDataFrame([(1, license_scan.TEXTS["MIT"]), (2, "Released under the MIT licence!")], "doc_id long, text string")
     assert license_scan.license_scan(docs, texts={}, notices={}).count() == 0
     assert {r.scope for r in license_scan.license_scan(docs, texts={}).collect()} == {"line"}
+
+
+def test_windows_are_made_by_compiled_code(spark):
+    text = "Alice paid Bob 30 dollars. She saw Carol in Paris, for 5 km \x02 and \x04home. Then Dan left"
+    docs = spark.createDataFrame([(1, text), (2, "one two"), (3, ""), (4, None)], "doc_id long, text string")
+    rows = decontamination._windowed(docs, ["doc_id"], [3, 2])
+    marked = {r.doc_id: r.m for r in docs.select("doc_id", decontamination.marked(F.col("text")).alias("m")).collect()}
+    want = []
+    for i, tokens in marked.items():
+        forms = {decontamination.STRICT: [t.lstrip("\x04") for t in tokens], decontamination.LOOSE: ["\x02" if t.startswith("\x04") else t for t in tokens]}
+        for n in (3, 2):
+            for at in range(len(tokens) - n + 1):
+                strict, loose = (tuple(forms[f][at : at + n]) for f in (decontamination.STRICT, decontamination.LOOSE))
+                want += [(i, at, n, strict, 3)] if strict == loose else [(i, at, n, strict, 1), (i, at, n, loose, 2)]
+    got = rows.collect()
+    assert sorted((r.doc_id, r.pos, r["size"], r.forms) for r in got) == sorted((i, at, n, f) for i, at, n, _, f in want)
+    hash_of = {(r.doc_id, r.pos, r["size"], r.forms): r.hash for r in got}
+    values = {w: hash_of[i, at, n, f] for i, at, n, w, f in want}
+    assert all(hash_of[i, at, n, f] == values[w] for i, at, n, w, f in want) and len(set(values.values())) == len(values)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lambdafunction") <= 4  # tokens are hashed by lambdas, windows are not
