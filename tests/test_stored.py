@@ -455,3 +455,27 @@ def test_constraint_report_makes_rows_once(spark):
     got = {r["rule"]: r["violations"] for r in constraint_report(SENTENCES, df, {"doc_id": parents}).collect()}
     assert got["key:doc_id,sentence_id"] == 1 and got["reference:doc_id"] == 1 and got["not_null:doc_id"] == 1
     assert made.value == len(rows)
+
+
+def test_tokens_are_looked_up_once_a_chunk(spark, tmp_path, monkeypatch):
+    from filing_signals.plans import dictionary
+
+    monkeypatch.setattr(dictionary, "CHUNK_BYTES", 600)
+    rows = [("a", i, f"The the Knight {'said ' * (i % 4)}word{i % 5} 42 {i}\tof") for i in range(60)]
+    df = sentences(spark, rows + [("b", 0, ""), ("b", 1, "x" * 2000), ("b", 2, None)]).repartition(3, "sentence_id")
+    odd = df.unionByName(df.select(F.lit(None).cast("string").alias("doc_id"), "sentence_id", "text").limit(4))
+    codes = CodeDictionary(spark, str(tmp_path), buckets=4)
+    wanted = df.select("doc_id", "sentence_id", F.coalesce(phonetic_code("text"), F.lit("")).alias("code"))
+    joined = []
+    plain = codes.learn
+    monkeypatch.setattr(codes, "learn", lambda tokens: joined.append(tokens) or plain(tokens))
+    found = codes.codes(odd)
+    rows_of = lambda d: sorted(tuple(r) for r in d.collect())
+    assert rows_of(found.where("doc_id IS NOT NULL")) == rows_of(wanted)
+    assert [r.code for r in found.where("doc_id IS NULL").collect()] == [""] * 4
+    said = dictionary._in_chunks(df.select("doc_id", "sentence_id", F.lower("text").alias("lowered")))
+    held = [(c, set(t.split())) for c, t in said.where("lowered IS NOT NULL").select("chunk", "lowered").collect()]
+    chunks = {c: set().union(*(t for d, t in held if d == c)) for c, _ in held}
+    pairs = said.select("chunk", "lowered").mapInArrow(dictionary._distinct_tokens, "chunk long, token string")
+    assert rows_of(pairs) == sorted((c, t) for c, of in chunks.items() for t in of)
+    assert len(chunks) > 3 and "Explode" not in found._jdf.queryExecution().optimizedPlan().toString()
