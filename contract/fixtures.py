@@ -72,7 +72,9 @@ def tones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toned_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return join_dimension(sentences(spark, sf_dir), tones(spark, sf_dir), ["doc_id"])
+    """Sentences with their document's tone, joined as long as a document is one row."""
+    toned = join_dimension(texts(spark, sf_dir), tones(spark, sf_dir), ["doc_id"])
+    return S.extract(toned, keep=["label", "confidence"])
 
 
 def filings(spark: SparkSession, sf_dir: str) -> DataFrame:

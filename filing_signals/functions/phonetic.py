@@ -11,6 +11,8 @@ Codes may differ from other Metaphone programs on rare words, as published versi
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -90,8 +92,10 @@ def _needed_letter(pattern: str) -> str:
 _COMPILED = [(_needed_letter(p), re.compile(p), r) for p, r in RULES]
 _MEMO: dict[str, str] = {}
 _MEMO_ROOM = 500_000
-#: Characters of a string whose positions fit a 64-bit word with room for a carry.
-_WORD_BITS = 60
+#: Characters of a string whose positions fit a 64-bit word.
+_WORD_BITS = 64
+#: Texts that are worth an array operation; the ends of fewer longer ones are read one by one.
+_FEW_TEXTS = 16
 
 
 def encode_token(token: str) -> str:
@@ -103,6 +107,28 @@ def encode_token(token: str) -> str:
     return code
 
 
+def _for_lines(pattern: str, replacement: str) -> Callable[[str], str]:
+    """A rule for many tokens at once, a token a line. Plain letters need no regular expression: a
+    replacement holds no letter that is still to be coded."""
+    letters = re.fullmatch(r"\[([a-z]+)\]", pattern)
+    plain = [pattern] if pattern.isalpha() else list(letters[1]) if letters else []
+    if plain:
+        return lambda lines: reduce(lambda done, part: done.replace(part, replacement), plain, lines)
+    compiled = re.compile(pattern.replace("[^", r"[^\n"), re.MULTILINE)
+    return lambda lines: compiled.sub(replacement, lines)
+
+
+_BY_LINES = [_for_lines(p, r) for p, r in RULES]
+
+
+def encode_tokens(tokens: list[str]) -> list[str]:
+    """`encode_token` of each token; tokens hold no white space."""
+    lines = "\n".join(tokens)
+    for rule in _BY_LINES:
+        lines = rule(lines)
+    return lines.split("\n") if tokens else []
+
+
 def encode_text(text: str) -> str:
     """Codes of a text's tokens joined by a space; each distinct token is coded once."""
     return " ".join(codes_of(text.lower().split())).strip()
@@ -129,47 +155,72 @@ def indel(masks: dict[str, int], size: int, other: str) -> float:
     return 2.0 * (size - row.bit_count()) / total
 
 
-def _characters(texts: list[str]) -> tuple[np.ndarray, list[str]]:
-    """All characters of all texts as numbers, and the character of each number."""
-    joined = "".join(texts)
-    if joined.isascii():
-        return np.frombuffer(joined.encode("ascii"), np.uint8), [chr(c) for c in range(128)]
-    known, which = np.unique(np.frombuffer(joined.encode("utf-32-le"), np.uint32), return_inverse=True)
-    return which, [chr(c) for c in known]
+def _characters(texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """All characters of all texts as numbers, the character of each number, and the texts' sizes."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    held = texts.buffers()[2]
+    data = np.frombuffer(held, np.uint8)[ends[0] : ends[-1]] if held else np.zeros(0, np.uint8)
+    if not len(data) or data.max() < 128:
+        return data, [chr(c) for c in range(128)], np.diff(ends).astype(np.int64)
+    points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    known, which = np.unique(points, return_inverse=True)
+    return which, [chr(c) for c in known], pc.utf8_length(texts).to_numpy().astype(np.int64)
+
 
+def _read_on(row: int, hits: list[int], full: int) -> int:
+    """The positions still free after the characters that hit those of `hits`."""
+    for bits in hits:
+        hit = row & bits
+        if hit:
+            row = ((row + hit) | (row - hit)) & full
+    return row
 
-def indels_each(texts: list[str], others: list[str]) -> list[np.ndarray]:
+
+def indels_each(texts: list[str] | pa.Array, others: list[str]) -> list[np.ndarray]:
     """`indel` of each text with each of some strings, a character of all texts at a time.
 
-    A string's positions are the bits, so it has at most as many characters as a word holds; a longer
-    one is compared text by text. Texts are laid out once for all strings.
+    A string's positions are the bits of the narrowest word that has room for them; what a sum carries beyond
+    them is never looked at. A string longer than a word is compared text by text. The characters at a place are
+    fetched once for all strings; places that few texts reach, as one very long text has, are left to plain numbers.
     """
-    if not texts:
+    if not len(texts):
         return [np.zeros(0) for _ in others]
-    sizes = np.array([len(t) for t in texts], np.int64)
-    which, known = _characters(texts)
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    which, known, sizes = _characters(texts)
     longest_first = np.argsort(-sizes, kind="stable")
     starts = (np.cumsum(sizes) - sizes)[longest_first]
     # how many texts have a character at each place
     holding = len(texts) - np.cumsum(np.bincount(sizes))[:-1]
 
-    def against(other: str) -> np.ndarray:
-        if len(other) > _WORD_BITS:
-            return np.array([indel(char_masks(t), len(t), other) for t in texts], np.float64)
+    short = [other for other in dict.fromkeys(others) if len(other) <= _WORD_BITS]
+    masks, rows = [], []
+    for other in short:
+        word = next(w for w in (np.uint8, np.uint16, np.uint32, np.uint64) if len(other) <= np.iinfo(w).bits)
         bits = char_masks(other)
-        hits_of = np.array([bits.get(ch, 0) for ch in known], np.uint64)[which]
-        full = np.uint64((1 << len(other)) - 1)
-        row = np.full(len(texts), full, np.uint64)
-        for j, n in enumerate(holding.tolist()):
+        masks.append(np.array([bits.get(ch, 0) for ch in known], word))
+        rows.append(np.full(len(texts), (1 << len(other)) - 1, word))
+    together = int((holding >= _FEW_TEXTS).sum())
+    for j, n in enumerate(holding[:together].tolist()):
+        at = which[starts[:n] + j].astype(np.intp)
+        for mask, row in zip(masks, rows):
             part = row[:n]
-            hit = part & hits_of[starts[:n] + j]
-            row[:n] = ((part + hit) | (part - hit)) & full
+            hit = part & mask[at]
+            np.bitwise_or(part + hit, part - hit, out=part)
+    for i in range(int(holding[together]) if together < len(holding) else 0):
+        rest = which[starts[i] + together : starts[i] + sizes[longest_first[i]]]
+        for mask, row in zip(masks, rows):
+            row[i] = _read_on(int(row[i]), mask[rest].tolist(), np.iinfo(row.dtype).max)
+
+    found = {}
+    for other, row in zip(short, rows):
+        left = np.bitwise_count(row & row.dtype.type((1 << len(other)) - 1))
         lcs = np.zeros(len(texts), np.int64)
-        lcs[longest_first] = len(other) - np.bitwise_count(row).astype(np.int64)
+        lcs[longest_first] = len(other) - left.astype(np.int64)
         total = sizes + len(other)
-        return np.where(total > 0, 2.0 * lcs / np.maximum(total, 1), 1.0)
-
-    return [against(other) for other in others]
+        found[other] = np.where(total > 0, 2.0 * lcs / np.maximum(total, 1), 1.0)
+    for other in set(others) - set(short):
+        found[other] = np.array([indel(char_masks(t), len(t), other) for t in texts.to_pylist()], np.float64)
+    return [found[other] for other in others]
 
 
 def indels(texts: list[str], other: str) -> np.ndarray:
@@ -178,16 +229,16 @@ def indels(texts: list[str], other: str) -> np.ndarray:
 
 
 def codes_of(tokens: list[str]) -> list[str]:
-    """Codes of lower-case tokens; each distinct one is coded once."""
+    """Codes of lower-case tokens without white space; those not met before are coded together, each once."""
     memo = _MEMO
-    codes = []
-    for token in tokens:
-        code = memo.get(token)
-        if code is None:
-            if len(memo) >= _MEMO_ROOM:
-                memo.clear()
-            code = memo[token] = encode_token(token)
-        codes.append(code)
+    codes = list(map(memo.get, tokens))
+    fresh = list(dict.fromkeys(t for t, code in zip(tokens, codes) if code is None))
+    if fresh:
+        made = dict(zip(fresh, encode_tokens(fresh)))
+        if len(memo) + len(made) > _MEMO_ROOM:
+            memo.clear()
+        memo.update(made)
+        codes = [made[t] if code is None else code for t, code in zip(tokens, codes)]
     return codes
 
 
@@ -195,7 +246,7 @@ def encode_texts(texts: pa.Array) -> pa.Array:
     """`encode_text` of each text; null for a null one. A code goes by the letters a to z of a token, which
     Arrow lowers as Python does."""
     sizes, words = split_words(pc.utf8_lower(texts))
-    codes = pa.array(codes_of(words.dictionary.to_pylist()), pa.string())
+    codes = pa.array(codes_of(words.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.string())
     ends = np.zeros(len(texts) + 1, np.int32)
     np.cumsum(sizes, out=ends[1:])
     joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), codes.take(words.indices)), " ")
@@ -252,8 +303,8 @@ def phonetic_similarities(text: Column, keyword_codes: list[str]) -> Column:
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def to_all(texts: pa.Array) -> pa.Array:
-        rows = [a or "" for a in encode_texts(texts).to_pylist()]
-        spoken = np.array([bool(a) for a in rows], bool)
+        rows = pc.fill_null(encode_texts(texts), "")
+        spoken = pc.binary_length(rows).to_numpy() > 0
         heard = dict(zip(said := [b for b in keyword_codes if b], indels_each(rows, said)))
         each = [np.where(spoken, heard[b], 0.0) if b else np.zeros(len(rows)) for b in keyword_codes]
         flat = np.stack(each, axis=1).ravel() if each else np.zeros(0)

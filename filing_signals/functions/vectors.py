@@ -147,20 +147,22 @@ def _cosine(dots: np.ndarray, scale: np.ndarray) -> np.ndarray:
 def term_similarities(lowered: Column, themes: Sequence) -> Column:
     """`term_similarity` of a lower-case text to each of a bounded list of rows with `terms` and `norm`, as an
     array. Tokens of an Arrow batch are counted together, and no array of them leaves the task."""
-    given = [([(t["term"], t["n"]) for t in r["terms"] or []], r["norm"] or 0.0) for r in themes]
+    given = [
+        (pa.array([t["term"] for t in r["terms"] or []], pa.string()), [t["n"] for t in r["terms"] or []], r["norm"] or 0.0)
+        for r in themes
+    ]
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def to_all(texts: pa.Array) -> pa.Array:
         known, cells, counts, norms = _counted(texts)
         width, n = max(len(known), 1), len(texts)
-        places = {t: i for i, t in enumerate(known.to_pylist())}
         rows, tokens_of = cells // width, cells % width
         out = np.zeros((n, len(given)))
-        for k, (terms, norm) in enumerate(given):
+        for k, (terms, times, norm) in enumerate(given):
             weights = np.zeros(width)
-            for term, times in terms:
-                if term in places:
-                    weights[places[term]] = times
+            for place, n_times in zip(pc.index_in(terms, value_set=known).to_pylist(), times):
+                if place is not None:
+                    weights[place] = n_times
             hit = np.flatnonzero(weights[tokens_of])
             dots = np.bincount(rows[hit], weights[tokens_of[hit]] * counts[hit], n)
             out[:, k] = _cosine(dots, norms * norm)

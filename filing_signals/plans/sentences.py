@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,14 +17,15 @@ from filing_signals.sources.snapshots import staged
 
 
 def extract(
-    docs: DataFrame, text: str = "text", min_len: int = fixed.MIN_SENTENCE_LENGTH
+    docs: DataFrame, text: str = "text", min_len: int = fixed.MIN_SENTENCE_LENGTH, keep: Sequence[str] = ()
 ) -> DataFrame:
     """One row per kept sentence, numbered from 0 in text order inside its document.
 
-    A narrow projection: the number is the position in the already filtered array.
+    A narrow projection: the number is the position in the already filtered array. `keep` names columns of the
+    document that its sentences carry, so that they need not be joined to it.
     """
     sentences = tx.sentence_array(F.col(text), min_len)
-    return docs.select("doc_id", F.posexplode(sentences).alias("sentence_id", "text"))
+    return docs.select("doc_id", F.posexplode(sentences).alias("sentence_id", "text"), *keep)
 
 
 def extract_html(

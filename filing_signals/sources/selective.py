@@ -7,6 +7,8 @@ hold it, whatever the order of the rest.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,15 +28,16 @@ def store_selective(
     A value that holds many rows is spread over several files: ranges go by the columns and then by a
     hash of the row. `distinct` is the number of values in a file that its Bloom filters are made for.
 
-    Ranges are found from a sample of all rows, so rows are staged: what makes them (scoring, say) runs once.
+    Ranges are found from a sample of all rows, so rows are staged with their hash: what makes them (scoring,
+    say) runs once. 16 bits of the hash, which Parquet keeps as a dictionary, let a value reach 65,536 files.
     """
-    spread = F.xxhash64(*df.columns)
-    ranges = [*[F.col(c) for c in columns], spread]
+    spread = next(c for c in (f"_spread{i}" for i in count()) if c not in df.columns)
     folder = staging_folder(df.sparkSession)
     try:
-        rows = staged(df, folder)
+        rows = staged(df.withColumn(spread, F.xxhash64(*df.columns).bitwiseAND(0xFFFF).cast("int")), folder)
+        ranges = [*columns, spread]
         dealt = rows.repartitionByRange(files, *ranges) if files else rows.repartitionByRange(*ranges)
-        writer = dealt.sortWithinPartitions(*columns).write.option("parquet.block.size", str(group_bytes))
+        writer = dealt.sortWithinPartitions(*columns).drop(spread).write.option("parquet.block.size", str(group_bytes))
         for c in columns:
             writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
             writer = writer.option(f"parquet.bloom.filter.expected.ndv#{c}", str(distinct))

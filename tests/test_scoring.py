@@ -326,3 +326,48 @@ def test_scoring_keeps_no_tokens_in_its_plan(spark, capsys):
     C.pair_similarities(s, t).explain()
     plan = capsys.readouterr().out
     assert "array_remove" not in plan and "split(" not in plan
+
+
+def test_tokens_coded_together_equal_one_by_one():
+    import random
+
+    from filing_signals.functions.phonetic import encode_tokens
+
+    r = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz" * 2 + "aeioucghstw'-,9\u00e9"
+    words = ["gh", "h", "", "mb", "sigh", "ahem", *["".join(r.choice(letters) for _ in range(r.randrange(1, 9))) for _ in range(5000)]]
+    assert encode_tokens(words) == [encode_token(w) for w in words]
+    assert encode_tokens([]) == [] and encode_tokens([""]) == [""]
+
+
+def test_one_very_long_text_is_read_alone(monkeypatch):
+    import random
+
+    from filing_signals.functions import phonetic
+
+    r = random.Random(5)
+    texts = ["".join(r.choice("KXT 0RN\u00e9") for _ in range(n)) for n in [*[r.randrange(40) for _ in range(60)], 5000, 700]]
+    read, real = [], phonetic._read_on
+    monkeypatch.setattr(phonetic, "_read_on", lambda row, hits, full: read.append(len(hits)) or real(row, hits, full))
+    others = ["K PR", "UNT NXT", "X" * 9 + "T" * 8, "NK" * 32, "RT" * 33]
+    for other, found in zip(others, phonetic.indels_each(texts, others)):
+        assert found.tolist() == [phonetic.indel(phonetic.char_masks(t), len(t), other) for t in texts]
+    assert max(read) > 4900
+
+
+def test_sentences_meet_their_tones_as_documents(spark, tmp_path, monkeypatch):
+    from contract import fixtures
+    from filing_signals.operators import pairing
+
+    text = "The first sentence of this text. And a second one, as long; short. "
+    spark.createDataFrame([(i, text * i) for i in range(6)] + [(2, text), (None, text), (9, None)], "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    wanted = fixtures.toned_sentences(spark, str(tmp_path)).collect()
+    assert len(wanted) == 2 * (1 + 2 * (2 + 1) + 3 + 4 + 5) and {r.label for r in wanted if r.doc_id == "2"} == {"NEGATIVE"}
+    monkeypatch.setattr(pairing, "is_small", lambda *_: False)
+    merged = fixtures.toned_sentences(spark, str(tmp_path))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("SortMergeJoin") < plan.index("Exchange")
+    assert sorted(merged.collect(), key=str) == sorted(wanted, key=str)

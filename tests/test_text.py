@@ -127,3 +127,14 @@ def test_names(spark):
 
 def test_decode_drops_bad_bytes(spark):
     assert one(spark, bytearray(b"a\xffb\xc3\xa9\xe2\x82"), tx.decode_tolerant, "binary") == "abé"
+
+
+def test_sentences_cut_at_their_ends_equal_those_cut_first(spark):
+    import random
+
+    r = random.Random(6)
+    texts = ["".join(r.choice(" ab1,.!?;\n\t\u00a0-\u00e9") for _ in range(r.randrange(60))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(tx.sentence_array(F.col("t"), 2).alias("s"))
+    for t, row in zip(texts, df.collect()):
+        spaced = re.sub(r"[^A-Za-z0-9,\n]+", " ", re.sub(r"[.!?;\n]+", "\n", t)).strip(" ")
+        assert row.s == [x for x in re.split(" ?\n ?", spaced) if len(x) >= 2]
