@@ -30,9 +30,10 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
-def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text) of every document."""
-    raw = spread(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id")
+def texts(spark: SparkSession, sf_dir: str, dealt: bool = True) -> DataFrame:
+    """(doc_id, text) of every document, `dealt` to all cores or as the files are split."""
+    raw = table(spark, sf_dir, "documents", "doc_id", "text")
+    raw = spread(raw, "doc_id") if dealt else raw
     return raw.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
 
 
@@ -73,7 +74,8 @@ def tones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def toned_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences with their document's tone, joined as long as a document is one row."""
-    toned = join_dimension(texts(spark, sf_dir), tones(spark, sf_dir), ["doc_id"])
+    undealt = texts(spark, sf_dir, dealt=False)
+    toned = join_dimension(texts(spark, sf_dir), tones(spark, sf_dir), ["doc_id"], undealt=undealt)
     return S.extract(toned, keep=["label", "confidence"])
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from html.entities import html5
+from string import ascii_letters, digits
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ NOT_KEPT = f"[^{KEPT}]"
 # Runs outside the kept set, but for a single space, which is what they become.
 NOT_KEPT_RUN = f"{NOT_KEPT}{NOT_KEPT}+|[^{KEPT} ]"
 SPLIT = rf"[{fixed.SENTENCE_END}]+|\n+"
+# Runs of what a text loses before it is cut. With each character named, a class is one table look-up.
+_NAMED = ascii_letters + digits
+NOT_IN_PIECES = rf"[^{_NAMED},{fixed.SENTENCE_END}\n]+"
 
 # Comments and elements without readable text. One alternation, so whichever opens first wins;
 # an element left open runs to the end of the page.
@@ -135,14 +139,15 @@ def sentence_array(c: Column, min_len: int = fixed.MIN_SENTENCE_LENGTH) -> Colum
     """Split, clean and keep sentences of at least `min_len` characters, in text order.
 
     For a positive minimum the whole text is cleaned by one regular expression before it is
-    cut, which avoids a lambda per sentence; it leaves the sentence ends, where the text is then cut. What lies between
-    two of them has one blank at most at either side, and an empty piece is too short anyway. At 0 a piece that only
+    cut; it leaves the sentence ends, where the text is then cut. What lies between two of them is plain ASCII with one
+    blank at most at either side, and only what may be long enough is trimmed. At 0 a piece that only
     cleaning empties is kept, so the pieces have to be looked at one by one.
     """
     if min_len <= 0:
         return F.transform(split_sentences(c), clean_sentence)
-    spaced = F.trim(F.regexp_replace(c, rf"[^\p{{Alnum}},{fixed.SENTENCE_END}\n]+", " "))
-    return F.filter(F.split(spaced, rf" ?[{fixed.SENTENCE_END}\n] ?"), lambda s: F.length(s) >= min_len)
+    pieces = F.split(F.trim(F.regexp_replace(c, NOT_IN_PIECES, " ")), rf"[{fixed.SENTENCE_END}\n]")
+    trimmed = F.transform(F.filter(pieces, lambda s: F.octet_length(s) >= min_len), lambda s: F.trim(s))
+    return F.filter(trimmed, lambda s: F.octet_length(s) >= min_len)
 
 
 def ratio_over(c: Column, char_class: str) -> Column:

@@ -19,15 +19,19 @@ def is_small(dim: DataFrame, limit: int = SMALL_BYTES) -> bool:
 
 
 def join_dimension(
-    df: DataFrame, dim: DataFrame, keys: list[str], limit: int = SMALL_BYTES
+    df: DataFrame, dim: DataFrame, keys: list[str], limit: int = SMALL_BYTES, undealt: DataFrame | None = None
 ) -> DataFrame:
     """Inner join of a large table with one keyed by `keys`.
 
     The dimension is broadcast only when its measured size allows. Otherwise both sides are
     sorted and merged, where AQE splits the partitions of a hot key. Left to its estimates,
     Spark may take the large side for the small one: it does not foresee what `explode` adds.
+
+    Where `df` was dealt to more tasks by a shuffle, `undealt` are its rows before: a merge shuffles them anyway.
     """
-    return df.join(F.broadcast(dim) if is_small(dim, limit) else dim.hint("merge"), keys)
+    if is_small(dim, limit):
+        return df.join(F.broadcast(dim), keys)
+    return (df if undealt is None else undealt).join(dim.hint("merge"), keys)
 
 
 def with_each(df: DataFrame, rows: list, schema: T.StructType, alias: str) -> DataFrame:

@@ -371,3 +371,18 @@ def test_sentences_meet_their_tones_as_documents(spark, tmp_path, monkeypatch):
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Generate") < plan.index("SortMergeJoin") < plan.index("Exchange")
     assert sorted(merged.collect(), key=str) == sorted(wanted, key=str)
+
+
+def test_texts_that_meet_their_tones_by_a_merge_are_shuffled_once(spark, tmp_path, monkeypatch):
+    from contract import fixtures
+    from filing_signals.operators import pairing
+
+    docs = [(i, "One sentence that is long enough. Another sentence that is long enough.") for i in range(20)] + [(3, "A copied key comes once more here."), (None, "No key, so no sentence is kept.")]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1), (3, 0), (3, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    dealt = fixtures.toned_sentences(spark, str(tmp_path))
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()  # few splits: dealt to all cores
+    monkeypatch.setattr(pairing, "is_small", lambda *_: False)
+    merged = fixtures.toned_sentences(spark, str(tmp_path))
+    assert "REPARTITION_BY_NUM" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert sorted(merged.collect(), key=str) == sorted(dealt.collect(), key=str)

@@ -411,6 +411,50 @@ def test_selective_rows_are_made_once(spark, tmp_path):
     assert made.value == 1000
 
 
+def test_selective_rows_go_straight_to_their_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(selective, "staged", lambda *_: pytest.fail("rows were staged"))
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(i):
+        made.add(1)
+        return i
+
+    rows = spark.range(0, 60_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("c"), F.col("id") % 101)).alias("company_id"),
+        F.concat(F.lit("T"), F.col("id") % 4).alias("theme_id"),
+        seen("id").alias("x"),
+    )
+    wanted = Counter(map(tuple, rows.collect()))
+    before = made.value
+    sizes = [f"spark.sql.adaptive.{c}" for c in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")]
+    for size in sizes:
+        spark.conf.set(size, "8k")
+    try:
+        stored = selective.store_selective(rows, f"{tmp_path}/s", ["company_id", "theme_id"], group_bytes=1 << 16)
+    finally:
+        for size in sizes:
+            spark.conf.unset(size)
+    assert made.value - before == 60_000
+    assert Counter(map(tuple, stored.collect())) == wanted
+    for company in ("c17", "hot", "absent"):
+        found = selective.read_selective(spark, f"{tmp_path}/s", company_id=company, theme_id="T1")
+        assert Counter(map(tuple, found.collect())) == Counter({r: n for r, n in wanted.items() if r[:2] == (company, "T1")})
+        assert scanned(found, "numOutputRows") <= (0.5 if company == "hot" else 0.15) * 60_000
+    # a value of many rows is not one task's
+    assert stored.where("company_id = 'hot' AND theme_id = 'T1'").select(F.input_file_name()).distinct().count() >= 2
+
+
+def test_selective_rows_without_adaptive_plans(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 4).select(F.concat(F.lit("c"), F.col("id") % 7).alias("company_id"), "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stored = selective.store_selective(df, f"{tmp_path}/s", ["company_id"])
+        assert contents(stored) == contents(df)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_a_listing_of_many_files_takes_few_tasks(spark, tmp_path):
     for i in range(400):
         (tmp_path / f"d{i % 40}").mkdir(exist_ok=True)
