@@ -144,7 +144,9 @@ def land(df: DataFrame, folder: str, name: str, text: str, overwrite: bool = Fal
             yield pa.record_batch({"n": [batch.num_rows]})
 
     if overwrite:
-        rows.select("shard", "name").distinct().mapInArrow(drop, "n long").agg(F.sum("n")).collect()
+        # Names are small, so that a number of tasks of its own keeps AQE from putting them all into one.
+        names = rows.select("shard", "name").repartition(4 * df.sparkSession.sparkContext.defaultParallelism, "shard", "name")
+        names.distinct().mapInArrow(drop, "n long").agg(F.sum("n")).collect()
     run = uuid.uuid4().hex[:8]
     rows.sortWithinPartitions("shard", "name").mapInArrow(write, "n long").agg(F.sum("n")).collect()
 

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from filing_signals.functions.phonetic import phonetic_code
@@ -469,6 +470,33 @@ def test_a_listing_of_many_files_takes_few_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_a_listing_is_walked_by_the_tasks_and_holds_what_they_saw(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "landed"
+    shown = ["a.txt", "one/b.txt", "one/two/c.txt", "one/two/three/d e%20.txt", "_k=1/f.txt", "\u00e9/[g].txt", *[f"many/{i}.txt" for i in range(9)]]
+    for name in [*shown, "_h.txt", ".h.txt", "_hidden/h.txt", ".hidden/h.txt", "one/h._COPYING_", "one/h.htm"]:
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text(name)
+    (folder / "empty.txt").write_text("")
+    (folder / "nothing.txt").symlink_to(folder / "none")
+    (folder / "round.txt").symlink_to(folder / "round.txt")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{txt,md}").load(str(folder))
+    wanted = contents(files.select(F.regexp_replace("path", "^file:", "").alias("file_path"), "length", F.col("modificationTime").alias("modified")))
+    assert len(wanted) == len(shown)
+    for most in (1, 4, 20_000):
+        monkeypatch.setattr(inventory, "WALK", most)
+        seen = inventory.listing(spark, f"file://{folder}/", "*.{txt,md}")
+        assert contents(seen) == wanted
+        assert "binaryFile" not in executed(seen)  # whose index holds each file's status in the driver
+    (folder / "a.txt").write_text("longer than before")
+    (folder / "new.txt").write_text("x")
+    assert contents(seen) == wanted
+    assert inventory.listing(spark, f"{folder}/one/*", "*.txt").count() == 3
+    assert inventory.listing(spark, f"{folder}/{{one,many}}", "*.txt").count() == 12
+    assert inventory.listing(spark, f"{folder}/one/b.txt").count() == 1
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        inventory.listing(spark, f"{folder}/none")
+
+
 def test_encoding_moves_short_digests_once(spark, tmp_path, capsys):
     from filing_signals.plans.encoded import EncodedTexts
 
