@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contract import fixtures as X
-from contract.queries import company_columns, query, rounded, scored, stray
+from contract.queries import company_columns, query, rounded, scored, scored_of, stray
 from filing_signals.functions import scores, text
 from filing_signals.operators import rules
 from filing_signals.operators.seek import SortedTable
@@ -85,12 +85,15 @@ def clean_counted(spark, sf):
 
 @query
 def copartitioned_scores(spark, sf):
-    """Scores with their sentence and document, from tables in buckets of doc_id: no exchange."""
+    """Scores with their sentence and document, from tables in buckets of doc_id: no exchange.
+
+    Scores are made from the stored sentences, in the tasks of their buckets, so that they are not dealt either.
+    """
     folder = staging_folder(spark)
     store = Copartitioned(spark, folder, buckets=16, prefix=folder.rsplit("-", 1)[-1])
-    store.store(X.sentences(spark, sf), SENTENCES)
+    sentences = store.store(X.sentences(spark, sf), SENTENCES)
     store.store(X.documents(spark, sf), DOCUMENTS)
-    store.store(scored(spark, sf), SENTENCE_SCORES)
+    store.store(scored_of(spark, sf, sentences), SENTENCE_SCORES, dealt=True)
     documents = store.read(DOCUMENTS).select("doc_id", "date").hint("merge")
     rows = store.joined(SENTENCE_SCORES, SENTENCES).join(documents, "doc_id")
     return rows.select("doc_id", "sentence_id", "theme_id", "company_id", "text", "date", rounded("final_score_100"))

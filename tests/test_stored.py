@@ -4,6 +4,7 @@ import json
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -17,7 +18,7 @@ from filing_signals.plans import counted, rollup
 from filing_signals.plans.dictionary import CodeDictionary
 from filing_signals.plans.encoded import EncodedTexts
 from filing_signals.plans.lengths import LengthHistogram
-from filing_signals.schemas import DOCUMENTS, SENTENCES
+from filing_signals.schemas import DOCUMENTS, SENTENCE_SCORES, SENTENCES
 from filing_signals.sources import inventory, selective
 from filing_signals.sources.buckets import BucketTable, bucket_of
 from filing_signals.sources.copartitioned import Copartitioned
@@ -231,6 +232,31 @@ def test_bucketed_joins_have_no_exchange_and_no_sort(spark, tmp_path):
         spark.sql(f"DROP TABLE {store.name(relation)}")
 
 
+def test_rows_made_from_a_bucketed_table_are_neither_dealt_nor_shuffled_again(spark, tmp_path):
+    rows = [(f"d{i % 50}", i // 50, f"t{i}") for i in range(500)]
+    store = Copartitioned(spark, f"{tmp_path}/store", buckets=4, prefix="test_dealt")
+    held = spark.conf.get("spark.local.dir", None) or spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]
+    shuffled = lambda: {p.name for p in Path(held).rglob("shuffle_*.data")}
+    before = shuffled()
+    kept = store.store(sentences(spark, rows), SENTENCES)
+    assert not shuffled() - before  # what was shuffled for the write went with it
+    numbers = {f.name: F.lit(0.5) for f in SENTENCE_SCORES.schema if f.dataType.typeName() == "double"}
+    themes = F.explode(F.array(F.lit("T1"), F.lit("T2")))
+    made = kept.withColumns({"company_id": F.lit("c"), **numbers}).withColumn("theme_id", themes)
+    store.store(made, SENTENCE_SCORES, dealt=True)
+    assert len(list((tmp_path / "store" / SENTENCE_SCORES.name).glob("*.parquet"))) == 4  # a file for a bucket
+    joined = store.joined(SENTENCE_SCORES, SENTENCES).select("doc_id", "sentence_id", "theme_id", "text")
+    wanted = sorted((d, k, t, text) for d, k, text in rows for t in ("T1", "T2"))
+    assert contents(joined) == wanted
+    plan = executed(joined)  # keys are the bucket key and the number of the sentence
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and not re.search(r"\bSort \[", plan)
+    # rows that lie in other tasks go to their buckets all the same
+    store.store(made.repartition(3, "theme_id", "sentence_id"), SENTENCE_SCORES, dealt=True)
+    assert contents(store.joined(SENTENCE_SCORES, SENTENCES).select(*joined.columns)) == wanted
+    for relation in (SENTENCES, SENTENCE_SCORES):
+        spark.sql(f"DROP TABLE {store.name(relation)}")
+
+
 # -- dictionary, encoded texts -----------------------------------------------------------------
 
 
